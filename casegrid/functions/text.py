@@ -52,6 +52,14 @@ def _ascii_fold_tables() -> tuple[str, str, dict[str, str]]:
     return "".join(src), "".join(dst), multi
 
 
+def _char_class(chars) -> str:
+    """Regex class of the characters, written as ranges to keep matching cheap."""
+    codes = sorted(map(ord, chars))
+    starts = [x for i, x in enumerate(codes) if i == 0 or codes[i - 1] != x - 1]
+    ends = [x for i, x in enumerate(codes) if i + 1 == len(codes) or codes[i + 1] != x + 1]
+    return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{z:X}}}" for a, z in zip(starts, ends)) + "]"
+
+
 def ascii_fold(c) -> Column:
     """Decompose, then drop everything outside ASCII (é -> e, ﬁ -> fi, ß -> '')."""
     src, dst, multi = _ascii_fold_tables()
@@ -60,7 +68,7 @@ def ascii_fold(c) -> Column:
     spelled = F.array_join(
         F.transform(F.split(c, ""), lambda ch: F.coalesce(table[ch], ch)), ""
     )
-    has_multi = c.rlike("[" + "".join(multi) + "]")
+    has_multi = c.rlike(_char_class(multi))
     folded = F.regexp_replace(
         F.translate(F.when(has_multi, spelled).otherwise(c), src, dst),
         r"[^\x00-\x7F]+", "",
