@@ -122,7 +122,8 @@ def cyclic(c, period: int) -> tuple[Column, Column]:
 # --- labels --------------------------------------------------------------------
 
 def percent_label(share, digits: int = 1) -> Column:
-    return F.format_string(f"%.{digits}f%%", as_col(share))
+    share = as_col(share)
+    return F.when(share.isNotNull(), F.format_string(f"%.{digits}f%%", share))
 
 
 def significance(p) -> Column:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import as_col, normalize_text, strip
 
@@ -11,7 +14,7 @@ _RANGE = r"^(\d+)\s*(?:[-–]|to)\s*(\d+)$"
 _CONNECTOR = r"(?i)\band\b|[,&/]"
 
 # Aliases up to this many are compared inside each text row; more are joined.
-INLINE_ALIAS_LIMIT = 20_000
+INLINE_ALIAS_LIMIT = 5_000
 GRAM = 4
 
 
@@ -213,20 +216,21 @@ def _grams(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, pieces)))
 
 
-def contained_aliases_inline(texts: DataFrame, text: str, aliases: DataFrame) -> DataFrame:
-    """Small alias table: tested inside the text row, nothing is shuffled."""
-    table = aliases.agg(
-        F.collect_list(F.struct(*aliases.columns, _gram(F.col("alias")).alias("_gram")))
-    ).scalar()
-    grams = aliases.agg(F.collect_set(_gram(F.col("alias")))).scalar()
+def contained_aliases_inline(
+    texts: DataFrame, text: str, rows: list, schema: T.StructType
+) -> DataFrame:
+    """A few alias rows as a literal, tested inside each text row: no shuffle."""
+    entry = schema.simpleString()
+    table = F.from_json(F.lit(json.dumps([r.asDict() for r in rows])), f"array<{entry}>")
+    grams = F.array_distinct(F.transform(table, lambda a: _gram(a["alias"])))
     hits = F.filter(
         table,
-        lambda a: F.array_contains(F.col("_cand"), a["_gram"])
+        lambda a: F.array_contains(F.col("_cand"), _gram(a["alias"]))
         & F.contains(F.col(text), a["alias"]),
     )
     out = texts.withColumn("_cand", F.array_intersect(grams, _grams(F.col(text))))
     return out.select(*texts.columns, F.explode(hits).alias("_a")).select(
-        *texts.columns, *[F.col(f"_a.{c}").alias(c) for c in aliases.columns]
+        *texts.columns, *[F.col(f"_a.{c}").alias(c) for c in schema.names]
     )
 
 
@@ -253,9 +257,9 @@ def contained_aliases(
     inline_limit: int = INLINE_ALIAS_LIMIT,
 ) -> DataFrame:
     """Every (text, alias) with the normalised alias inside the normalised text."""
-    small = aliases.limit(inline_limit + 1).count() <= inline_limit
-    if small:
-        return contained_aliases_inline(texts, text, aliases)
+    head = aliases.limit(inline_limit + 1).collect()
+    if len(head) <= inline_limit:
+        return contained_aliases_inline(texts, text, head, aliases.schema)
     return contained_aliases_joined(texts, text_id, text, aliases)
 
 

@@ -146,28 +146,22 @@ def match_distinct_texts(
 
     home_districts = entries.filter(F.col("home") & (F.col("level") == "district"))
     if keywords:
-        by_name = (
-            home_districts.groupBy(F.lower("district").alias("_name"))
+        named = home_districts.filter(F.lower("district").isin([d.lower() for _, d in keywords]))
+        by_name = cut_lineage(
+            named.groupBy(F.lower("district").alias("_name"))
             .agg(F.min(F.struct("ordinal", *_PLACE)).alias("p"))
             .select("_name", *[F.col(f"p.{c}").alias(c) for c in _PLACE])
         )
-        present = by_name.agg(F.collect_set("_name")).scalar()  # home districts only
-        rules = F.filter(
-            F.array(
-                *[F.struct(F.lit(w).alias("w"), F.lit(d.lower()).alias("d")) for w, d in keywords]
-            ),
-            lambda r: F.array_contains(present, r["d"]),
-        )
-        hits = F.filter(
-            rules,
-            lambda r: F.contains(norm, r["w"])
-            | F.exists(F.col("tails"), lambda p: F.contains(p, r["w"])),
-        )
-        keyed = todo.filter("hint").withColumn("_name", F.get(hits, F.lit(0))["d"])
-        settle(
-            keyed.join(by_name, "_name")
-            .select("raw", *_PLACE, F.lit(K.KEYWORD_SCORE).alias("score"))
-        )
+        present = {r["_name"] for r in by_name.select("_name").collect()}  # <= keywords
+        rules = [(w, d.lower()) for w, d in keywords if d.lower() in present]
+        if rules:
+            keyed = todo.filter("hint").withColumn(
+                "_name", district_from_keyword("norm", "tails", rules)
+            )
+            settle(
+                keyed.join(by_name, "_name")
+                .select("raw", *_PLACE, F.lit(K.KEYWORD_SCORE).alias("score"))
+            )
 
     # home district aliases: inside the text, or holding a tail phrase
     fields = ["ordinal", "alias", *_PLACE]

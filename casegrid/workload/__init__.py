@@ -1,6 +1,6 @@
 """Registered queries: each operator bound to the given tables, with its SQL check."""
 
-from . import bindings, ingest, scalars
+from . import bindings, ingest, joins, scalars, summaries
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "bindings", "ingest", "scalars"]
+__all__ = ["ORACLES", "QUERIES", "bindings", "ingest", "joins", "scalars", "summaries"]
