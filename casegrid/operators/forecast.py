@@ -159,10 +159,9 @@ def fit_counts(
 # --- scores --------------------------------------------------------------------
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """R2, RMSE and MAE in one pass over the rows after their mean."""
+    """R2, RMSE and MAE in one pass."""
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    mean = df.agg(F.avg(y)).scalar()
-    rss, tss = F.sum((y - p) * (y - p)), F.sum((y - mean) * (y - mean))
+    rss, tss = F.sum((y - p) * (y - p)), F.var_pop(y) * F.count(y)
     return df.agg(
         (1 - F.try_divide(rss, tss)).alias("r2"),
         F.sqrt(F.avg((y - p) * (y - p))).alias("rmse"),
@@ -173,13 +172,14 @@ def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 def poisson_d2(df: DataFrame, actual="label", predicted="prediction") -> float:
     """Share of the Poisson deviance explained."""
     y, p = F.col(actual), F.col(predicted)
-    mean = df.agg(F.avg(y)).scalar()
-
-    def deviance(mu):
-        return F.sum(2 * (F.when(y > 0, y * F.ln(y / mu)).otherwise(0.0) - y + mu))
-
-    row = df.agg(deviance(p).alias("d"), deviance(mean).alias("d0")).first()
-    return 1.0 - row["d"] / row["d0"] if row["d0"] else 0.0
+    y_log_y = F.when(y > 0, y * F.ln(y)).otherwise(0.0)
+    row = df.agg(
+        F.sum(y_log_y).alias("yly"), F.sum(F.when(y > 0, y * F.ln(p)).otherwise(0.0)).alias("ylp"),
+        F.sum(y).alias("y"), F.sum(p).alias("p"), F.avg(y).alias("mean"),
+    ).first()
+    deviance = 2 * (row["yly"] - row["ylp"] - row["y"] + row["p"])
+    null_deviance = 2 * (row["yly"] - row["y"] * math.log(row["mean"])) if row["y"] else 0.0
+    return 1.0 - deviance / null_deviance if null_deviance else 0.0
 
 
 def _score(kind: str, scoring: str, scored: DataFrame) -> float:
