@@ -64,14 +64,15 @@ def ascii_fold(c) -> Column:
     """Decompose, then drop everything outside ASCII (é -> e, ﬁ -> fi, ß -> '')."""
     src, dst, multi = _ascii_fold_tables()
     c = as_col(c)
+    single = F.translate(c, src, dst)
+    # what is left outside ASCII is short, so the wide class below stays cheap
+    left = F.regexp_replace(single, r"[\x00-\x7F]+", "")
     table = F.from_json(F.lit(json.dumps(multi)), "map<string,string>")
     spelled = F.array_join(
-        F.transform(F.split(c, ""), lambda ch: F.coalesce(table[ch], ch)), ""
+        F.transform(F.split(single, ""), lambda ch: F.coalesce(table[ch], ch)), ""
     )
-    has_multi = c.rlike(_char_class(multi))
     folded = F.regexp_replace(
-        F.translate(F.when(has_multi, spelled).otherwise(c), src, dst),
-        r"[^\x00-\x7F]+", "",
+        F.when(left.rlike(_char_class(multi)), spelled).otherwise(single), r"[^\x00-\x7F]+", ""
     )
     return F.when(c.rlike(r"^\p{ASCII}*$"), c).otherwise(folded)
 

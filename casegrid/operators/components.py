@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
 
-def _state(edges: DataFrame) -> tuple:
-    """Size and content hash; equal states mean nothing moved."""
-    row = edges.agg(
-        F.count(F.lit(1)), F.sum(F.xxhash64("g", "u", "v").cast("decimal(38,0)"))
-    ).first()
-    return tuple(row)
+def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """Written edges with their number and content hash.
+
+    Both are observed while the rows are written; equal values from one round
+    to the next mean nothing moved.
+    """
+    seen = Observation()
+    content = F.sum(F.xxhash64("g", "u", "v").cast("decimal(38,0)"))
+    written = cut_lineage(
+        edges.observe(seen, F.count(F.lit(1)).alias("n"), content.alias("content"))
+    )
+    return written, (seen.get["n"], seen.get["content"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -44,18 +50,16 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     diameter.  Every round is written to the checkpoint folder, so the plan
     stays short and a lost executor costs at most one round.
     """
-    current = cut_lineage(
+    current, state = _settled(
         edges.select("g", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .filter(F.col("u") != F.col("v"))
         .distinct()
     )
-    state = _state(current)
     while state[0]:
-        current = cut_lineage(_small_star(_large_star(current)))
-        after = _state(current)
-        if after == state:
+        before = state
+        current, state = _settled(_small_star(_large_star(current)))
+        if state == before:
             break
-        state = after
     root = current.groupBy("g", F.col("u").alias("node")).agg(F.min("v").alias("root"))
     return nodes.join(root, ["g", "node"], "left").select(
         "g", "node", F.coalesce("root", "node").alias("component")

@@ -14,7 +14,7 @@ _RANGE = r"^(\d+)\s*(?:[-–]|to)\s*(\d+)$"
 _CONNECTOR = r"(?i)\band\b|[,&/]"
 
 # Aliases up to this many are compared inside each text row; more are joined.
-INLINE_ALIAS_LIMIT = 5_000
+INLINE_ALIAS_LIMIT = 2_000
 GRAM = 4
 
 
@@ -198,20 +198,17 @@ def _gram(alias: Column) -> Column:
     return F.substring(F.split_part(alias, F.lit(" "), F.lit(1)), 1, GRAM)
 
 
-def _grams(text: Column) -> Column:
-    """Distinct 1..GRAM character pieces of the distinct words of a text."""
+def _grams(text: Column, lengths: list[int]) -> Column:
+    """Distinct pieces of the given lengths from the distinct words of a text."""
     words = F.array_distinct(F.split(text, " "))
 
     def pieces(word):
         starts = F.sequence(F.lit(1), F.greatest(F.length(word), F.lit(1)))
-        return F.flatten(
-            F.transform(
-                starts,
-                lambda i: F.transform(
-                    F.sequence(F.lit(1), F.lit(GRAM)), lambda q: F.substring(word, i, q)
-                ),
-            )
-        )
+
+        def of_length(q: int) -> Column:
+            return F.transform(starts, lambda i: F.substring(word, i, q))
+
+        return F.flatten(F.array(*[of_length(q) for q in lengths]))
 
     return F.array_distinct(F.flatten(F.transform(words, pieces)))
 
@@ -222,14 +219,8 @@ def contained_aliases_inline(
     """A few alias rows as a literal, tested inside each text row: no shuffle."""
     entry = schema.simpleString()
     table = F.from_json(F.lit(json.dumps([r.asDict() for r in rows])), f"array<{entry}>")
-    grams = F.array_distinct(F.transform(table, lambda a: _gram(a["alias"])))
-    hits = F.filter(
-        table,
-        lambda a: F.array_contains(F.col("_cand"), _gram(a["alias"]))
-        & F.contains(F.col(text), a["alias"]),
-    )
-    out = texts.withColumn("_cand", F.array_intersect(grams, _grams(F.col(text))))
-    return out.select(*texts.columns, F.explode(hits).alias("_a")).select(
+    hits = F.filter(table, lambda a: F.contains(F.col(text), a["alias"]))
+    return texts.select(*texts.columns, F.explode(hits).alias("_a")).select(
         *texts.columns, *[F.col(f"_a.{c}").alias(c) for c in schema.names]
     )
 
@@ -243,7 +234,12 @@ def contained_aliases_joined(
     distinct candidates for the final check.
     """
     keyed = aliases.withColumn("_gram", _gram(F.col("alias")))
-    pieces = texts.select(text_id, F.explode(_grams(F.col(text))).alias("_gram"))
+    lengths = sorted(
+        r[0] for r in keyed.select(F.length("_gram")).distinct().collect()
+    )  # 1..GRAM
+    if not lengths:
+        return texts.join(aliases.limit(0).withColumn(text_id, F.lit(None)), text_id)
+    pieces = texts.select(text_id, F.explode(_grams(F.col(text), lengths)).alias("_gram"))
     candidates = pieces.join(keyed, "_gram").drop("_gram")
     return (
         texts.join(candidates, text_id)

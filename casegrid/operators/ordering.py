@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col
-from ..session import cut_lineage
+from ..session import materialize
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row in its lower 33 bits
 
@@ -15,14 +15,14 @@ _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row in its lower 33 bi
 def with_global_row_number(df: DataFrame, order: list, name: str = "rn") -> DataFrame:
     """Consecutive 1..n over a total order, computed in every partition at once.
 
-    Rows are range partitioned and sorted, written once to the checkpoint
+    Rows are range partitioned and sorted, written once to the shared
     folder so the layout cannot change, then each partition adds the number of
     rows in the partitions before it.  Only the per-partition counts (as many
     rows as partitions) meet in one place.
     """
     spark = df.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions", "200")), 1)
-    placed = cut_lineage(
+    placed = materialize(
         df.repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
         .withColumn("_mid", F.monotonically_increasing_id())

@@ -37,6 +37,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write wide rows once to the shared folder and go on from the files.
+
+    As safe as a checkpoint; Parquet also keeps column pruning for the readers
+    and gives the planner the true size of the rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(cpus: int = 8, app: str = "casegrid") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
