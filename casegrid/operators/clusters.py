@@ -7,7 +7,6 @@ import pandas as pd
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.values import cluster_color, percent_label
@@ -333,9 +332,3 @@ def nearest_center(df: DataFrame, features, centers: list[list[float]], out="clu
         *[F.struct(dist(c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(centers)]
     )
     return df.withColumn(out, F.array_min(ranked)["i"])
-
-
-def share_by_cluster(df: DataFrame, label="cluster") -> DataFrame:
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("size"))
-    total = F.sum("size").over(W.partitionBy())  # one row per cluster
-    return sizes.withColumn("share_pct", F.col("size") * 100.0 / total)

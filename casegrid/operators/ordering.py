@@ -137,21 +137,38 @@ def topk_semi(df: DataFrame, col: str, k: int) -> DataFrame:
     return df.join(top_values(df, col, k).select(col), col, "left_semi")
 
 
-def label_codes(df: DataFrame, col: str, unknown: str = "Unknown") -> DataFrame:
-    """Distinct labels (NULL counts as Unknown) with codes 0.. in sorted order."""
-    labels = df.select(F.coalesce(F.col(col).cast("string"), F.lit(unknown)).alias("label"))
-    numbered = with_global_row_number(labels.distinct(), ["label"], "_rn")
-    return numbered.select("label", (F.col("_rn") - 1).cast("int").alias("code"))
+def label_codes(df: DataFrame, cols: list[str], unknown: str = "Unknown") -> DataFrame:
+    """(field, label, code): codes 0.. in sorted label order for each column.
 
+    NULL counts as Unknown.  All columns are read in one pass.
+    """
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(c).alias("field"),
+                F.coalesce(F.col(c).cast("string"), F.lit(unknown)).alias("label"),
+            )
+            for c in cols
+        ]
+    )
+    distinct = df.select(F.inline(pairs)).distinct()
+    numbered = with_global_row_number(distinct, ["field", "label"], "_rn")
+    first = numbered.groupBy("field").agg(F.min("_rn").alias("_first"))  # a row per column
+    return numbered.join(first, "field").select(
+        "field", "label", (F.col("_rn") - F.col("_first")).cast("int").alias("code")
+    )
 
-def label_encode(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
+
+def label_encode(df: DataFrame, cols: list[str], suffix: str = "_code") -> DataFrame:
     """Fill NULL with Unknown and add the integer code of each label."""
-    codes = label_codes(df, col)
-    filled = df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit("Unknown")))
-    return filled.join(
-        codes.select(F.col("label").alias(col), F.col("code").alias(out or f"{col}_code")),
-        col, "left",
-    )
+    codes = label_codes(df, cols)
+    out = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("Unknown")) for c in cols})
+    for c in cols:
+        own = codes.filter(F.col("field") == c).select(
+            F.col("label").alias(c), F.col("code").alias(f"{c}{suffix}")
+        )
+        out = out.join(own, c, "left")
+    return out
 
 
 def position_code(c, order) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.values import age_cut, month_name, percent_label, season
+from ..session import materialize
 
 
 def _known(df: DataFrame, *cols) -> DataFrame:
@@ -221,7 +222,7 @@ def known_unknown(df: DataFrame, missing: Column) -> DataFrame:
 
 def share_of_total(df: DataFrame, col: str) -> DataFrame:
     counts = _known(df, col).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(W.partitionBy())  # one row per category
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("share_pct", F.col("n") * 100.0 / total)
 
 
@@ -238,47 +239,40 @@ def yearly_report(
 ) -> DataFrame:
     """Months, top places, age groups and genders for every year and overall.
 
-    One grouped pass: each row carries its four sections, and every section is
-    counted per year and over all years.  ``scope`` is the year or 'all'.
+    Each row adds one item to each of four sections; the items are counted per
+    year on the map side, and the overall counts are sums of the yearly ones.
+    ``scope`` is the year or 'all'.
     """
-    base = _report_base(df, year, month, location, age_group, gender)
-    counts = base.groupBy("scope", "section", "item").agg(F.count(F.lit(1)).alias("n"))
+    sections = {"month": month, "location": location, "age_group": age_group, "gender": gender}
+    pairs = F.array(
+        *[
+            F.struct(F.lit(s).alias("section"), F.col(c).cast("string").alias("item"))
+            for s, c in sections.items()
+        ]
+    )
+    yearly = (
+        df.filter(F.col(year).isNotNull())
+        .select(F.col(year).cast("string").alias("scope"), F.inline(pairs))
+        .filter(F.col("item").isNotNull())
+        .groupBy("scope", "section", "item").agg(F.count(F.lit(1)).alias("n"))
+    )
+    overall = yearly.groupBy(F.lit("all").alias("scope"), "section", "item").agg(
+        F.sum("n").alias("n")
+    )
+    counts = materialize(yearly.unionByName(overall))
     w = W.partitionBy("scope", "section").orderBy(F.desc("n"), "item")
     places = (
         counts.filter(F.col("section") == "location")
         .withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top)
         .drop("rank")
     )
-    others = counts.filter(F.col("section") != "location")
     fixed = [("month", str(m)) for m in range(1, 13)] + [("age_group", a) for a in age_order]
     fixed_items = F.array(
         *[F.struct(F.lit(s).alias("section"), F.lit(i).alias("item")) for s, i in fixed]
     )
-    scopes = base.select("scope").distinct().select("scope", F.inline(fixed_items))
-    shown = others.filter(
-        (F.col("section") == "gender")
-        | (F.col("section") == "month")
-        | F.col("item").isin(*age_order)
-    )
-    filled = (
-        scopes.join(
-            shown.filter(F.col("section") != "gender"), ["scope", "section", "item"], "left"
-        ).withColumn("n", F.coalesce("n", F.lit(0)))
+    scopes = counts.select("scope").distinct().select("scope", F.inline(fixed_items))
+    filled = scopes.join(counts, ["scope", "section", "item"], "left").withColumn(
+        "n", F.coalesce("n", F.lit(0))
     )
-    genders = shown.filter(F.col("section") == "gender")
+    genders = counts.filter(F.col("section") == "gender")
     return filled.unionByName(places).unionByName(genders)
-
-
-def _report_base(df, year, month, location, age_group, gender) -> DataFrame:
-    sections = {"month": month, "location": location, "age_group": age_group, "gender": gender}
-    pairs = F.array(
-        *[
-            F.struct(F.lit(s).alias("section"), F.col(c).cast("string").alias("item"))
-            for s, c in sections.items()
-        ]
-    )
-    scoped = df.filter(F.col(year).isNotNull()).select(
-        F.explode(F.array(F.lit("all"), F.col(year).cast("string"))).alias("scope"),
-        pairs.alias("pairs"),
-    )
-    return scoped.select("scope", F.inline("pairs")).filter(F.col("item").isNotNull())

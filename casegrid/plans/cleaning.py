@@ -10,6 +10,7 @@ from ..functions.values import age_cut, coerce_numeric, parse_date, parse_hour,
 from ..operators.ordering import dedup_first, label_encode, surrogate_id
 from ..operators.places import match_places
 from ..operators.quality import smart_fill, standardize_coordinates
+from ..session import materialize
 
 
 def with_date_parts(df: DataFrame, date="reported_date") -> DataFrame:
@@ -29,21 +30,20 @@ def clean_cases(
 ) -> DataFrame:
     """Dedup, fill, coordinates, dates, ages, codes: always in this order.
 
-    The age is made a number before the median is taken, as a text column has
-    none.
+    The unique rows are written once: the median and the label sets are read
+    from two columns of them instead of repeating the shuffle of all rows.  The
+    age is made a number before its median is taken, as text has none.
     """
     out = dedup_first(df, [key], row_id)
     if dict(out.dtypes).get("age") == "string":
         out = out.withColumn("age", coerce_numeric("age"))
-    out = smart_fill(out)
+    out = smart_fill(materialize(out))
     out = standardize_coordinates(out)
     out = with_date_parts(out)
     out = out.withColumns(
         {"age": coerce_numeric("age"), "age_group": age_cut(coerce_numeric("age"))}
     )
-    for col in encode:
-        out = label_encode(out, col)
-    return out
+    return label_encode(out, list(encode))
 
 
 def cleaning_report(

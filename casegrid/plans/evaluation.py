@@ -10,7 +10,7 @@ from ..operators import forecast as fc
 from ..operators.cluster_search import compare_methods, dbscan_grid, select_dbscan_params
 from ..operators.joins import attach_actuals, forecast_grid
 from ..operators.kmeans import best_k, fit_kmeans, k_sweep
-from ..operators.ordering import label_codes
+from ..operators.ordering import label_encode
 
 
 def evaluate_clustering(
@@ -32,10 +32,9 @@ def demographic_clusters(df: DataFrame, k_range=(2, 6), n_init=10, gender="gende
     known = df.filter(F.col(age).isNotNull()).withColumn(
         gender, F.coalesce(F.col(gender), F.lit("Unknown"))
     )
-    codes = label_codes(known, gender).select(
-        F.col("label").alias(gender), F.col("code").cast("double").alias("gender_code")
+    coded = label_encode(known, [gender]).withColumns(
+        {age: F.col(age).cast("double"), "gender_code": F.col(f"{gender}_code").cast("double")}
     )
-    coded = known.join(codes, gender).withColumn(age, F.col(age).cast("double"))
     features = [age, "gender_code"]
     k = best_k(k_sweep(coded, features, k_range, n_init=n_init)).first()["k_silhouette"]
     return fit_kmeans(coded, features, k=k, n_init=n_init).transform(coded)

@@ -17,9 +17,15 @@ def write_csv(df: DataFrame, path: str, columns: list[str] | None = None, mode="
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None,
                   mode="overwrite"):
-    """Cleaned cases are usually partitioned by year for later year filters."""
-    writer = df.write.mode(mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    """Cleaned cases are usually partitioned by year for later year filters.
+
+    Rows are rebalanced by the partition columns first, so a year is written by
+    as many tasks as its size asks for instead of by every task.
+    """
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode(mode).parquet(path)
 
 
 def write_json(df: DataFrame, path: str, mode="overwrite"):

@@ -568,4 +568,4 @@ SELECT *, CAST(dense_rank() OVER (ORDER BY gender) - 1 AS INTEGER) AS gender_cod
   CAST(dense_rank() OVER (ORDER BY district) - 1 AS INTEGER) AS district_code FROM f""")
 def label_encode(spark, sf):
     df = b.dirty(spark, sf).select("row_id", "gender", "district")
-    return od.label_encode(od.label_encode(df, "gender"), "district")
+    return od.label_encode(df, ["gender", "district"])
