@@ -14,7 +14,7 @@ from .. import constants as K
 from .clusters import davies_bouldin, silhouette_exact, silhouette_samples, silhouette_squared
 from .scaling import Scaler
 
-_PARALLEL_FITS = 4
+_PARALLEL_FITS = 8
 
 
 @dataclass(frozen=True)
@@ -50,18 +50,26 @@ def _vectors(df: DataFrame, scaler: Scaler) -> DataFrame:
     ).transform(scaled)
 
 
-def _best_fit(vectors: DataFrame, k: int, n_init: int, max_iter: int, seed: int):
-    """Best of several seeded starts; the fits overlap on the cluster."""
-    def one(i):
+def _best_fits(vectors: DataFrame, ks, n_init: int, max_iter: int, seed: int) -> dict:
+    """k -> (cost, model): best of several seeded starts for every k.
+
+    The fits are independent Spark jobs, so a few run at a time.
+    """
+    def one(task):
+        k, i = task
         model = KMeans(
             k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features",
             predictionCol="cluster",
         ).fit(vectors)
-        return model.summary.trainingCost, i, model
+        return k, model.summary.trainingCost, i, model
 
+    tasks = [(k, i) for k in ks for i in range(n_init)]
+    best: dict = {}
     with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-        cost, _, model = min(pool.map(one, range(n_init)), key=lambda r: (r[0], r[1]))
-    return model, cost
+        for k, cost, i, model in pool.map(one, tasks):
+            if k not in best or cost < best[k][0]:
+                best[k] = (cost, model)
+    return best
 
 
 def fit_kmeans(
@@ -72,7 +80,7 @@ def fit_kmeans(
     scaler = Scaler.fit(df, features)
     vectors = _vectors(df, scaler).select("_features").persist()
     try:
-        model, cost = _best_fit(vectors, k, n_init, max_iter, seed)
+        cost, model = _best_fits(vectors, [k], n_init, max_iter, seed)[k]
     finally:
         vectors.unpersist()
     return FittedKMeans(model, scaler, cost)
@@ -94,17 +102,21 @@ def k_sweep(
         "_features", *[f"_z_{c}" for c in features]
     ).persist()
     z = [f"_z_{c}" for c in features]
-    rows = []
+    ks = list(range(k_range[0], k_range[1] + 1))
+
+    def score(item):
+        k, (cost, model) = item
+        labelled = model.transform(vectors)
+        if exact:
+            sil = silhouette_exact(silhouette_samples(labelled, z)).first()[0]
+        else:
+            sil = silhouette_squared(labelled, z)
+        return k, float(cost), sil, davies_bouldin(labelled, z).first()[0]
+
     try:
-        for k in range(k_range[0], k_range[1] + 1):
-            model, cost = _best_fit(vectors, k, n_init, max_iter, seed)
-            labelled = model.transform(vectors)
-            if exact:
-                sil = silhouette_exact(silhouette_samples(labelled, z)).first()[0]
-            else:
-                sil = silhouette_squared(labelled, z)
-            db = davies_bouldin(labelled, z).first()[0]
-            rows.append((k, float(cost), sil, db))
+        fits = _best_fits(vectors, ks, n_init, max_iter, seed)
+        with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
+            rows = list(pool.map(score, fits.items()))
     finally:
         vectors.unpersist()
     name = "silhouette" if exact else "silhouette_squared"

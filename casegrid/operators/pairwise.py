@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def block_count(rows: int, block_rows: int) -> int:
-    return max(1, math.ceil(rows / block_rows))
+def block_count(rows: int, block_rows: int, tasks: int = 1, least_rows: int = 1) -> int:
+    """Blocks of at most block_rows, and about one per task if rows allow it."""
+    return max(1, math.ceil(rows / block_rows), min(tasks, rows // least_rows))
 
 
 def compare_blocks(
@@ -33,13 +34,20 @@ def compare_blocks(
 ) -> DataFrame:
     """Union of kernel(left block, right block) over all block pairs."""
 
+    spark = left.sparkSession
+    # a set number of partitions: the work of a pair does not show in its bytes
+    tasks = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    partitions = min(left_blocks * right_blocks, tasks)
+
     def place(df, key, own, own_blocks, other, other_blocks):
         return df.withColumns(
             {
                 own: F.pmod(F.xxhash64(key), F.lit(own_blocks)).cast("int"),
                 other: F.explode(F.sequence(F.lit(0), F.lit(other_blocks - 1))),
             }
-        )
+        ).repartition(partitions, "_lb", "_rb")
 
     lhs = place(left, left_key, "_lb", left_blocks, "_rb", right_blocks)
     rhs = place(right, right_key, "_rb", right_blocks, "_lb", left_blocks)

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,44 +34,58 @@ _ALIAS_BLOCK = 20_000
 _PLACE = ["city", "district", "barangay", "latitude", "longitude", "level"]
 
 
+def _letter_counts(texts) -> np.ndarray:
+    return np.array(
+        [np.bincount(np.frombuffer(t.encode("ascii"), np.uint8), minlength=128) for t in texts]
+    )
+
+
 def similarity_kernel(texts: pd.DataFrame, aliases: pd.DataFrame) -> pd.DataFrame:
     """Best alias per text and level: containment scores 1, else the match ratio.
 
-    An alias is skipped only if an upper bound of its ratio cannot beat the
-    best one so far, so the result equals the full comparison.
+    The letters two texts share bound their ratio from above.  Aliases are
+    tried from the greatest bound down and left out once it cannot reach the
+    best ratio so far, so the result equals the full comparison.
     """
-    table = aliases.sort_values(["ordinal", "alias"])
-    rows = list(table[["ordinal", "level", "alias", "home"]].itertuples(index=False))
+    table = aliases.sort_values(["ordinal", "alias"]).reset_index(drop=True)
+    names, ordinals = table["alias"].tolist(), table["ordinal"].tolist()
+    counts, lengths = _letter_counts(names), table["alias"].str.len().to_numpy()
+    home = table["home"].to_numpy(dtype=bool)
+    levels = {lv: np.flatnonzero(table["level"] == lv) for lv in table["level"].unique()}
+    text_counts = _letter_counts(texts["norm"])
     out = []
-    for t in texts.itertuples(index=False):
+    for t, own in zip(texts.itertuples(index=False), text_counts):
         matcher = SequenceMatcher(None, "", t.norm)
-        best: dict[str, tuple[float, str]] = {}
-        for ordinal, level, alias, home in rows:
-            if t.hint and not home:
-                continue
-            top = best.get(level, (0.0, ""))[0]
-            if top >= 1.0:
-                continue
-            if alias in t.norm:
-                best[level] = (1.0, ordinal)
-                continue
-            matcher.set_seq1(alias)
-            if matcher.real_quick_ratio() <= top or matcher.quick_ratio() <= top:
+        bound = 2.0 * np.minimum(counts, own).sum(axis=1) / (lengths + len(t.norm))
+        for level, members in levels.items():
+            if t.hint:
+                members = members[home[members]]
+            inside = next((i for i in members if names[i] in t.norm), None)
+            if inside is not None:
+                out.append((t.norm, t.hint, level, 1.0, ordinals[inside]))
                 continue
-            score = matcher.ratio()
-            if score > top:
-                best[level] = (score, ordinal)
-        out += [(t.norm, t.hint, lv, s, o) for lv, (s, o) in best.items()]
+            best = (0.0, "")
+            for i in members[np.argsort(-bound[members], kind="stable")]:
+                if bound[i] == 0.0 or bound[i] < best[0]:
+                    break
+                matcher.set_seq1(names[i])
+                score = matcher.ratio()
+                if score > best[0] or (score == best[0] > 0.0 and ordinals[i] < best[1]):
+                    best = (score, ordinals[i])
+            if best[0] > 0.0:
+                out.append((t.norm, t.hint, level, *best))
     return pd.DataFrame(out, columns=["norm", "hint", "level", "score", "ordinal"])
 
 
 def best_similar(texts: DataFrame, aliases: DataFrame) -> DataFrame:
     """(norm, hint, level, score, ordinal): best alias of each level."""
     texts, aliases = cut_lineage(texts), cut_lineage(aliases)
+    tasks = texts.sparkSession.sparkContext.defaultParallelism
     parts = compare_blocks(
         texts, aliases, similarity_kernel,
         "norm string, hint boolean, level string, score double, ordinal string",
-        block_count(texts.count(), _TEXT_BLOCK), block_count(aliases.count(), _ALIAS_BLOCK),
+        block_count(texts.count(), _TEXT_BLOCK, 4 * tasks, 8),
+        block_count(aliases.count(), _ALIAS_BLOCK),
         "norm", "alias",
     )
     least = F.min(F.struct((-F.col("score")).alias("s"), "ordinal"))
