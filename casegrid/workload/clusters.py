@@ -350,9 +350,58 @@ def dbscan_centers(spark, sf):
     return rounded(cluster_centers(points, labels, _XY))
 
 
-@query("dbscan_grid")
+_GRID_SQL = f"""WITH RECURSIVE {b.POINTS}, s AS (
+  SELECT avg(latitude) AS m1, stddev_pop(latitude) AS s1, avg(longitude) AS m2,
+         stddev_pop(longitude) AS s2 FROM points),
+ z AS (SELECT row_id, (latitude - m1) / s1 AS x, (longitude - m2) / s2 AS y FROM points, s),
+ p(eps, ms) AS (VALUES (0.15, 4), (0.15, 8), (0.25, 4), (0.25, 8)),
+ near AS (SELECT eps, ms, a.row_id AS i, z.row_id AS j,
+            sqrt((a.x - z.x) ** 2 + (a.y - z.y) ** 2) AS d FROM p, z a, z),
+ ball AS (SELECT eps, ms, i, j FROM near WHERE d <= eps),
+ core AS (SELECT eps, ms, i FROM ball GROUP BY ALL HAVING count(*) >= ms),
+ edges AS (SELECT n.* FROM ball n JOIN core a USING (eps, ms, i)
+           JOIN core c ON n.eps = c.eps AND n.ms = c.ms AND n.j = c.i),
+ walk AS (SELECT eps, ms, i, i AS root FROM core
+          UNION SELECT w.eps, w.ms, e.j, w.root FROM walk w
+          JOIN edges e ON w.eps = e.eps AND w.ms = e.ms AND w.i = e.i WHERE w.root < e.j),
+ comp AS (SELECT eps, ms, i, min(root) AS label FROM walk GROUP BY ALL),
+ border AS (SELECT n.eps, n.ms, n.i, min(c.label) AS label FROM ball n
+            JOIN comp c ON n.eps = c.eps AND n.ms = c.ms AND n.j = c.i GROUP BY ALL),
+ labels AS (SELECT p.eps, p.ms, z.row_id AS i, x, y, coalesce(c.label, o.label, -1) AS label
+   FROM p CROSS JOIN z LEFT JOIN comp c ON c.eps = p.eps AND c.ms = p.ms AND c.i = z.row_id
+   LEFT JOIN border o ON o.eps = p.eps AND o.ms = p.ms AND o.i = z.row_id),
+ inn AS (SELECT * FROM labels WHERE label <> -1),
+ d AS (SELECT a.eps, a.ms, a.i, a.label, z.label AS other, count(*) AS n, sum(near.d) AS dist
+   FROM inn a JOIN near ON near.eps = a.eps AND near.ms = a.ms AND near.i = a.i
+   JOIN inn z ON z.eps = a.eps AND z.ms = a.ms AND z.i = near.j GROUP BY ALL),
+ ab AS (SELECT eps, ms, i, max(CASE WHEN other = label THEN n END) AS n,
+    max(CASE WHEN other = label AND n > 1 THEN dist / (n - 1) END) AS a,
+    min(CASE WHEN other <> label THEN dist / n END) AS b FROM d GROUP BY eps, ms, i),
+ sil AS (SELECT eps, ms, avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s
+   FROM ab WHERE b IS NOT NULL GROUP BY eps, ms),
+ cent AS (SELECT eps, ms, label, avg(x) AS mx, avg(y) AS my FROM inn GROUP BY ALL),
+ sp AS (SELECT i.eps, i.ms, i.label, any_value(mx) AS mx, any_value(my) AS my,
+    avg(sqrt((x - mx) ** 2 + (y - my) ** 2)) AS s
+   FROM inn i JOIN cent USING (eps, ms, label) GROUP BY ALL),
+ r AS (SELECT a.eps, a.ms, a.label,
+    max((a.s + o.s) / sqrt((a.mx - o.mx) ** 2 + (a.my - o.my) ** 2)) AS r
+   FROM sp a JOIN sp o ON a.eps = o.eps AND a.ms = o.ms AND a.label <> o.label GROUP BY ALL),
+ db AS (SELECT eps, ms, avg(r) AS db FROM r GROUP BY ALL)
+SELECT CAST(l.eps AS DOUBLE) AS eps, CAST(l.ms AS INTEGER) AS min_samples,
+  count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters,
+  count(*) FILTER (label = -1) AS n_noise,
+  round(count(*) FILTER (label = -1) * 100.0 / count(*), 6) AS noise_pct,
+  round(any_value(sil.s), 6) AS silhouette, round(any_value(db.db), 6) AS davies_bouldin
+FROM labels l LEFT JOIN sil ON sil.eps = l.eps AND sil.ms = l.ms
+  LEFT JOIN db ON db.eps = l.eps AND db.ms = l.ms GROUP BY l.eps, l.ms"""
+
+
+@query("dbscan_grid", _GRID_SQL)
 def dbscan_grid(spark, sf):
-    return cs.dbscan_grid(b.points(spark, sf), _XY, (0.1, 0.25), (4, 8))
+    return rounded(
+        cs.dbscan_grid(b.points(spark, sf), _XY, (0.15, 0.25), (4, 8)), 6,
+        "noise_pct", "silhouette", "davies_bouldin",
+    )
 
 
 _GRID = b.CASES + """, grid AS (

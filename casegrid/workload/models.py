@@ -126,6 +126,35 @@ def poisson_fit(spark, sf):
     return spark.createDataFrame(rows, "feature string, coefficient double")
 
 
+_LAGGED = b.CASES + """, panel AS (
+  SELECT district, year, count(case_id) AS case_count, avg(latitude) AS latitude,
+         avg(longitude) AS longitude, avg(age) AS age FROM cases GROUP BY district, year),
+ lagged AS (SELECT *, lag(case_count) OVER (PARTITION BY district ORDER BY year) AS prev_count
+            FROM panel QUALIFY prev_count IS NOT NULL)"""
+
+
+@query("poisson_score_equations", f"WITH {_LAGGED} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature,
+        round(sum(case_count * {c}) / sum(case_count) / avg({c}), 5) AS weighted_mean
+        FROM lagged""" for c in K.PANEL_FEATURES)
+    + " UNION ALL SELECT 'total', round(CAST(sum(case_count) AS DOUBLE), 2) FROM lagged")
+def poisson_score_equations(spark, sf):
+    """Feature means weighted by the fitted counts of the unpenalised model.
+
+    A fit is the maximum of the likelihood exactly if these equal the means
+    weighted by the actual counts, which is what the SQL computes.
+    """
+    train = _train(spark, sf)
+    model = fc.fit_counts(train, "poisson", {"alpha": 0.0})
+    scored = model.predict(train, "mu")
+    values = [
+        F.round(F.sum(F.col("mu") * F.col(c)) / F.sum("mu") / F.avg(c), 5).alias(c)
+        for c in K.PANEL_FEATURES
+    ]
+    wide = scored.agg(*values, F.round(F.sum("mu"), 2).alias("total"))
+    return wide.unpivot([], wide.columns, "feature", "weighted_mean")
+
+
 @query("poisson_inference")
 def poisson_inference(spark, sf):
     train = _train(spark, sf).persist()
