@@ -11,7 +11,9 @@ Two full cells belong together when some point of one lies within eps of some
 point of the other.  That is decided on bounding boxes, which are split and
 compared again only while undecided; boxes with few points are compared point
 by point.  Very full cells are salted wherever their points take part in a
-join.  All parameter pairs run through the same joins under a parameter id.
+pairwise join; looking up the facts of a cell is a plain join on the cell, whose
+oversized partitions adaptive execution splits.  All parameter pairs run through
+the same joins under a parameter id.
 """
 
 from __future__ import annotations

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.values import cyclic, date_parts, r2_verdict, significance
+from ..session import materialize
 from .joins import previous_year_join
 from .ordering import latest_per_group, top_n, with_global_row_number
 from .scaling import Scaler, hash_split, one_hot
@@ -265,7 +266,7 @@ def train_and_score(
     test_share: float = 0.2,
 ) -> tuple[CountModel, DataFrame]:
     """Panel with lag, random split, model (searched if a grid is given), scores."""
-    frame = training_frame(cases, location, year).persist()
+    frame = materialize(training_frame(cases, location, year))
     train, test = hash_split(frame, [location, year], test_share)
     if grid:
         model, _ = grid_search(train, kind, grid, [location, year])

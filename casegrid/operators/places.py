@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import any_of, city_label, normalize_text, tail_phrases
 from ..functions.text import district_from_keyword
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 from .gazetteer import contained_aliases
 from .pairwise import block_count, compare_blocks
 
@@ -276,9 +276,14 @@ def _by_similarity(
 
 
 def match_places(df: DataFrame, text: str, aliases: DataFrame, home_city=K.HOME_CITY, **kw):
-    """Every row with its matched place; rows without one have level 'none'."""
-    found = cut_lineage(match_distinct_texts(df, text, aliases, home_city, **kw))
-    out = df.join(found.withColumnRenamed("raw", text), text, "left")
+    """Every row with its matched place; rows without one have level 'none'.
+
+    Columns of the same names that the rows already have are replaced.
+    """
+    # written with its true size, so a small result is broadcast to the rows
+    found = materialize(match_distinct_texts(df, text, aliases, home_city, **kw))
+    bare = df.drop(*_PLACE, "score")
+    out = bare.join(found.withColumnRenamed("raw", text), text, "left")
     return out.withColumns(
         {
             "city": city_label("city", home_city),

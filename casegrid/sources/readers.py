@@ -24,17 +24,20 @@ def canonical(df: DataFrame, required=()) -> DataFrame:
     return out.withColumns(gaps) if gaps else out
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
+) -> DataFrame:
     """CSV with a header and quoted fields; usual missing tokens become NULL.
 
-    A column of another type than text that does not parse becomes NULL.
+    A column of another type than text that does not parse becomes NULL.  Fields
+    with line breaks need ``multi_line``, which reads each file in one piece.
     """
     try:
         df = (
             spark.read.schema(schema)
             .option("header", True)
             .option("mode", "PERMISSIVE")
-            .option("multiLine", False)
+            .option("multiLine", multi_line)
             .option("escape", '"')
             .csv(path)
         )

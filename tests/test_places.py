@@ -9,6 +9,7 @@ import pytest
 
 from casegrid.operators import gazetteer as gz
 from casegrid.operators import places as pl
+from casegrid.plans.cleaning import clean_extract
 from casegrid.sources.readers import read_gazetteer
 
 PLACES = [
@@ -75,6 +76,26 @@ def test_home_hint_without_a_match_is_the_home_city(spark, tmp_path_factory):
     assert (r.city, r.level, r.score, r.latitude) == ("Manila City", "city", 0.55, None)
 
 
+def test_extract_plan_keeps_dated_rows_and_numbers_them(spark, tmp_path_factory):
+    path = tmp_path_factory.mktemp("gaz") / "places.json"
+    path.write_text(json.dumps(PLACES))
+    aliases = gz.alias_table(read_gazetteer(spark, str(path)))
+    rows = [
+        (0, "1", "14.5", "  fEMALE", "1/14/2020", "12:48 PM", "na", "X St., Tondo, Mla"),
+        (1, "2", "teen", "male", "16/01/2022", "1:07", None, "Tondo"),
+        (2, "3", "na", None, "2/3/2021", "na", "1/2/2021", None),
+    ]
+    df = spark.createDataFrame(
+        rows, "row_id long, case_id string, age string, gender string, reported_date string, "
+              "reported_time string, last_seen_date string, location_text string",
+    )
+    got = {r.row_id: r for r in clean_extract(df, aliases).collect()}
+    assert {k: r.person_id for k, r in got.items()} == {0: "MP-0001", 2: "MP-0002"}
+    assert (got[0].gender, got[0].hour, got[0].year, got[0].age_group) == ("Female", 12, 2020, "Old")
+    assert (got[0].city, got[0].district, got[0].score) == ("Manila City", "Tondo", 0.95)
+    assert (got[2].level, got[2].city, got[2].reported_time) == ("none", "Other/Unknown", None)
+
+
 def test_kernel_equals_the_full_comparison():
     rng = random.Random(11)
 
