@@ -93,3 +93,16 @@ def retrain_and_forecast(
     return model.predict(upcoming).select(
         location, "latitude", "longitude", "predicted_cases", "prev_count"
     ).orderBy(F.desc("predicted_cases"), location)
+
+
+def retrain_best(
+    cases: DataFrame, test_year: int, params: dict, location="district"
+) -> DataFrame:
+    """Back-test the given models, refit the one with the best test R2, forecast."""
+    scored, models = backtest(cases, test_year, location, params)
+    train = fc.training_frame(cases.filter(F.col("year") < test_year), location)
+    report = backtest_report(scored, models, train)
+    best = report.filter("best").first()["model"]
+    return retrain_and_forecast(cases, test_year, best, params[best], location).withColumn(
+        "model", F.lit(best)
+    )

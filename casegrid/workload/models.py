@@ -265,6 +265,11 @@ def retrain_forecast(spark, sf):
     return ev.retrain_and_forecast(b.cases(spark, sf), _TEST_YEAR, "poisson", {"alpha": 0.1})
 
 
+@query("retrain_best")
+def retrain_best(spark, sf):
+    return ev.retrain_best(b.cases(spark, sf), _TEST_YEAR, _BACKTEST)
+
+
 @query("gbt_onehot_forecast")
 def gbt_onehot_forecast(spark, sf):
     forecast, _ = fc.one_hot_forecast(

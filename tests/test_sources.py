@@ -7,6 +7,7 @@ import pytest
 from casegrid.operators import layers as ly
 from casegrid.operators import quality as q
 from casegrid.plans.cleaning import clean_cases, cleaning_report
+from casegrid.plans.study import hotspot_study
 from casegrid.sources import readers, schemas, writers
 from casegrid.streaming.cleaning import read_case_stream, write_clean_stream
 
@@ -120,3 +121,30 @@ def test_stream_equals_batch(spark, tmp_path):
     assert (rows["Tondo"].gender, rows["Tondo"].hour, rows["Tondo"].age_group) == ("Male", 12, "Old")
     assert rows["X"].reported_time is None and rows["X"].age_group == "Teen"
     assert rows["Y"].last_seen_date == date(2021, 1, 1) and rows["Y"].year == 2021
+
+
+def test_whole_study(spark):
+    rows = []
+    for i in range(240):
+        d = i % 4
+        year = 2019 + (i // 4) % 5
+        rows.append((
+            i, f"P{i}", "Male" if i % 3 else None, str(10 + i % 60), f"{1 + i % 12}/3/{year}",
+            "10:00", f"place {d}", str(14.1 + d / 10 + (i % 7) / 1000), str(120.7 + d / 10),
+            f"D{d}", "u",
+        ))
+    raw = spark.createDataFrame(rows, "row_id long, " + ", ".join(
+        f"{c} string" for c in schemas.CANONICAL_REQUIRED[:1]
+        + ("gender", "age", "reported_date", "reported_time", "location_text", "latitude",
+           "longitude", "district", "post_url")
+    ))
+    out = hotspot_study(raw, (2, 5), n_init=2)
+    assert out["bounds"].first().valid
+    assert out["k_search"].count() == 4
+    # four far places: every cluster holds whole places
+    assert sum(r.size for r in out["clusters"].collect()) == 240
+    assert {r.district for r in out["forecast"].collect()} == {"D0", "D1", "D2", "D3"}
+    kinds = [r.kind for r in out["forecast_layer"].collect()]
+    assert (kinds.count("point"), kinds.count("center"), kinds.count("marker")) == (4, 1, 4)
+    for name in ("summary", "cleaning", "markers", "target_groups", "trends", "charts"):
+        assert out[name].count() > 0
