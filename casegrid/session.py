@@ -49,6 +49,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when a scan has fewer partitions than there are cores.
+
+    A small file is one row group and so one task, too few for heavy text work.
+    A table with more partitions than cores is returned as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def local_session(cpus: int = 8, app: str = "casegrid") -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")

@@ -14,11 +14,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf: str) -> DataFrame:
+    return spread(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 # --- cases -----------------------------------------------------------------------
 
 def cases(spark: SparkSession, sf: str) -> DataFrame:

@@ -120,7 +120,7 @@ def alias_contains_documents(spark, sf):
         F.split_part("p_name", F.lit(" "), F.lit(2)),
     )
     aliases = part.select(F.explode(words).alias("alias")).distinct()
-    docs = b.table(spark, sf, "documents").select("doc_id", normalize_text("text").alias("norm"))
+    docs = b.documents(spark, sf).select("doc_id", normalize_text("text").alias("norm"))
     return gz.contained_aliases(docs, "doc_id", "norm", aliases).select("doc_id", "alias")
 
 

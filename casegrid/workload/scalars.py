@@ -90,7 +90,7 @@ SELECT doc_id, (contains(lower(text), 'the') OR contains(lower(text), 'ción')
 FROM documents""")
 def keyword_filter(spark, sf):
     match = tx.keyword_match("text", include=_INCLUDE, exclude=_EXCLUDE)
-    return b.table(spark, sf, "documents").select("doc_id", match.alias("kept"))
+    return b.documents(spark, sf).select("doc_id", match.alias("kept"))
 
 
 @query("filter_report", """
@@ -148,7 +148,7 @@ def standardize_coords(spark, sf):
 @query("normalize_text", f"""
 SELECT doc_id, {b.norm_sql('text')} AS norm FROM documents""")
 def normalize_text(spark, sf):
-    return b.table(spark, sf, "documents").select("doc_id", tx.normalize_text("text").alias("norm"))
+    return b.documents(spark, sf).select("doc_id", tx.normalize_text("text").alias("norm"))
 
 
 @query("capitalize", "WITH " + b.DIRTY + """
