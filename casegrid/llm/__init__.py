@@ -1,0 +1 @@
+"""Operators for training-data corpora; nothing outside this folder imports it."""
