@@ -1 +1,11 @@
-"""Operators for training-data corpora; nothing outside this folder imports it."""
+"""Operators for training-data corpora; nothing outside this folder imports it.
+
+Functions of this package travel to the executors by value, so these need not
+have the package on their path.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -29,5 +29,26 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+#: A key is hot above this share of all rows; there are 1 / share such keys at most.
+HOT_SHARE = 1e-4
+
+
+def lookup(rows: DataFrame, named: DataFrame, keys: list[str], count: str, total: int) -> DataFrame:
+    """Left join with a table of distinct, non-null keys, safe for hot ones.
+
+    `count` is the column of `named` with the number of rows of a key.  Keys with
+    more than a ten-thousandth of the `total` rows are at most ten thousand, and
+    broadcast; no other key can make a partition large, and these are shuffled.
+    """
+    limit = max(1000, int(total * HOT_SHARE))
+    values = [c for c in named.columns if c not in keys and c != count]
+    hot = named.filter(F.col(count) > limit).drop(count).withColumn("_hot", F.lit(True))
+    rest = named.filter(F.col(count) <= limit).drop(count)
+    marked = rows.join(F.broadcast(hot), keys, "left")
+    found = marked.filter("_hot").drop("_hot")
+    other = marked.filter("_hot is null").drop("_hot", *values).join(rest, keys, "left")
+    return found.unionByName(other)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -18,12 +18,10 @@ from pyspark.sql import Window as W
 
 from casegrid.session import materialize
 
-from .common import lower_ascii, partitions, whole
+from .common import lookup, lower_ascii, partitions, whole
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-#: A line is hot above this share of all lines; there are 1 / share such lines at most.
-HOT_SHARE = 1e-4
 
 _HASH = ["h1", "h2"]
 
@@ -76,14 +74,10 @@ def dropped_lines(
         .agg(F.count("*").alias("docs"), F.max("doc").alias("last"))
         .filter(F.col("docs") >= min_docs)
     )
-    hot_rows = max(1000, int(total * HOT_SHARE))
-    hot = repeats.filter(F.col("docs") > hot_rows).withColumnRenamed("last", "hot_last")
-    rest = repeats.filter(F.col("docs") <= hot_rows)
-    marked = lines.join(F.broadcast(hot.drop("docs")), _HASH, "left")
-    keep = ["doc", "row", "pos", "last"]
-    of_hot = marked.filter("hot_last is not null").withColumnRenamed("hot_last", "last").select(*keep)
-    of_rest = marked.filter("hot_last is null").join(rest, _HASH).select(*keep)
-    return of_hot.union(of_rest).filter(~F.col("doc").eqNullSafe(F.col("last"))).drop("last")
+    marked = lookup(lines, repeats, _HASH, "docs", total)
+    return marked.filter(
+        F.col("last").isNotNull() & ~F.col("doc").eqNullSafe(F.col("last"))
+    ).select("doc", "row", "pos")
 
 
 def runs_of(positions: Column, n: Column) -> Column:

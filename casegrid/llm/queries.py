@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, lines, mixing, quality
+from . import chat, jaccard, lines, mixing, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +125,11 @@ def op3(spark, sf):
     )
 
 
+@query("op5_ngram_jaccard")
+def op5(spark, sf):
+    return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
