@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, lines, mixing, quality
+from . import bpe, chat, jaccard, language, lines, mixing, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,8 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+#: The vocabulary file of op9.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 _ASCII_SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 
@@ -130,6 +133,15 @@ def op5(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
 
 
+@query("op6_language_id")
+def op6(spark, sf):
+    """Learned from the four folds whose crc32 is not divisible by five."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = (F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("held_out")
+    found = language.identify(docs, docs.filter(~held_out))
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -166,6 +178,13 @@ def op8(spark, sf):
     )
 
 
+@query("op9_byte_bpe")
+def op9(spark, sf):
+    return bpe.encode_documents(
+        table(spark, sf, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN
+    )
+
+
 OP10_SQL = rf"""
 WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
 e AS (
