@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, jaccard, language, lines, mixing, quality
+from . import bpe, chat, fingerprint, html_text, jaccard, language, lines, mixing, quality
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,6 +128,11 @@ def op3(spark, sf):
     )
 
 
+@query("op4_fingerprint")
+def op4(spark, sf):
+    return fingerprint.fingerprint(table(spark, sf, "documents"))
+
+
 @query("op5_ngram_jaccard")
 def op5(spark, sf):
     return jaccard.jaccard_components(table(spark, sf, "documents").select("doc_id", "text"))
@@ -142,6 +147,11 @@ def op6(spark, sf):
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+@query("op7_html_text")
+def op7(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 OP8_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
