@@ -30,6 +30,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from casegrid.operators.components import connected_components
 from casegrid.session import materialize
@@ -538,3 +539,21 @@ def jaccard_components(
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.when(F.col("n") == 0, known).otherwise(F.when(F.col("comp") != NO_ID, F.col("comp")))
     return out.select(known.alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def first_of_groups(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
+    threshold: int = THRESHOLD, size: int = SHINGLE,
+) -> DataFrame:
+    """The rows of `docs` that stay: of each group of linked documents the one with
+    the smallest id, once.  Documents without a set stay, repeated ones once; of
+    documents with a NULL id those that reach no id stay, one for each text.
+    """
+    groups = jaccard_components(docs, text, doc_id, threshold, size)
+    heads = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
+        F.col("doc_id").alias("_head")
+    ).distinct()
+    kept = docs.join(heads, docs[doc_id].eqNullSafe(heads["_head"]), "left_semi")
+    equal = W.partitionBy(doc_id, "_hash").orderBy("_hash")
+    numbered = kept.withColumn("_hash", F.xxhash64(text)).withColumn("_n", F.row_number().over(equal))
+    return numbered.filter("_n = 1").select(*docs.columns)

@@ -157,3 +157,33 @@ def _top_up(chosen: DataFrame) -> DataFrame:
     return out.withColumn(
         "extra", F.when(F.col("best_n").isNotNull(), 1).otherwise(F.col("extra"))
     ).drop("best_n")
+
+
+def repeated(
+    docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id",
+    max_epochs: int = MAX_EPOCHS, seed: int = SEED,
+) -> DataFrame:
+    """The mix itself: every row as often as it is taken, with its own columns.
+
+    Equal rows (id, text and source) share their repetitions out among them.
+    """
+    keys = ["_id", "_row", "_source"]
+    taken = (
+        mix(docs, text, source, doc_id, max_epochs, seed)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("source").alias("_source"))
+        .agg(F.sum("repeats").alias("_repeats"))
+        .filter("_repeats > 0")
+    )
+    rows = docs.withColumn("_hash", F.xxhash64(text))
+    same = (
+        rows[doc_id].eqNullSafe(taken["_id"])
+        & (rows["_hash"] == taken["_row"])
+        & rows[source].eqNullSafe(taken["_source"])
+    )
+    joined = rows.join(taken, same)
+    equal = W.partitionBy(*keys)
+    number = F.row_number().over(equal.orderBy("_id"))
+    share = joined.withColumns({"_n": number, "_of": F.count("*").over(equal)})
+    times = F.floor((F.col("_repeats") + F.col("_of") - F.col("_n")) / F.col("_of")).cast("int")
+    copies = share.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return copies.select(*docs.columns)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, html_text, jaccard, language, lines, mixing, quality
+from . import bpe, chat, fingerprint, html_text, jaccard, language, lines, mixing, quality, secrets
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def query(name: str, sql: str | None = None):
 
 #: The vocabulary file of op9.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+
+@query("op1_secret_scan")
+def op1(spark, sf):
+    return secrets.scan(table(spark, sf, "documents"))
+
+
 _ASCII_SPACE = r"[\x20\x09-\x0D]"
 _WORD = r"[^\x20\x09-\x0D]+"
 
