@@ -149,7 +149,10 @@ def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     verdict = _passes(rules[0]) if rules else F.lit(True)
     for rule in rules[1:]:
         verdict = verdict & _passes(rule)
-    df = df.withColumns({"base_failed": base_failed, "kept": ~base_failed & verdict})
+    # Always true, but not deterministic to the optimizer: a filter on the result
+    # is then not pushed below the arrays, where it would compute them per element.
+    here = F.monotonically_increasing_id() >= 0
+    df = df.withColumns({"base_failed": base_failed, "kept": ~base_failed & verdict & here})
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *_measures(),
             "base_failed", "kept"]
     return df.select(*(c for c in columns if c not in made), *made)
