@@ -41,8 +41,9 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
 
     The total is shared by weight; a source stops at `max_epochs` times its size
     and its excess is shared by weight among the others until none is above.
-    With sources in order of capacity per weight the clamped ones come first, so
-    the fixed point is the first level at which a source is not full.
+    With sources in order of capacity per weight the clamped ones come first, and
+    the fixed point is the level at the first source that is not full; behind it
+    the levels fall again, so it is the largest one.
     """
     cap = F.col("source_size") * max_epochs
     order = W.orderBy((cap / F.col("weight")).asc(), "weight", F.col("source").asc_nulls_last())
@@ -53,7 +54,7 @@ def water_fill(sources: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     level = F.when(cap * weights > F.col("weight") * left, left / weights)
     return (
         sources.withColumn("_level", level)
-        .withColumn("_level", F.min("_level").over(W.partitionBy()))
+        .withColumn("_level", F.max("_level").over(W.partitionBy()))
         .withColumn(
             "target",
             F.least(cap.cast("double"), F.coalesce(F.col("weight") * F.col("_level"), cap.cast("double"))),

@@ -54,7 +54,7 @@ o AS (
             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS rest_w
   FROM s),
 lv AS (
-  SELECT min(CASE WHEN cap * rest_w > w * rest_total
+  SELECT max(CASE WHEN cap * rest_w > w * rest_total
                   THEN CAST(rest_total AS DOUBLE) / CAST(rest_w AS DOUBLE) END) AS level FROM o),
 t AS (
   SELECT source, source_size, least(CAST(cap AS DOUBLE), coalesce(w * level, CAST(cap AS DOUBLE))) AS target
