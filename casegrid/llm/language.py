@@ -96,7 +96,7 @@ class CrossParser:
         width = len(self.chars) + 1
         flat = np.zeros((self.states, width), np.int32)
         state, code, to = self.moves.T
-        ends = [*self.roots[1:], self.states]
+        ends = [*self.roots, self.states][1:]
         for root, end in zip(self.roots, ends, strict=True):
             again = np.full(width, root, np.int32)
             own = state == root

@@ -6,7 +6,7 @@ repetition of documents in seeded hash order.  The running sum over that order
 is never taken over a whole source: sums of 4,096 hash ranges per source find
 the range in which the target is reached, and only the documents of that range
 are ordered.  The gap that the first document too long leaves is closed by the
-longest documents that still fit.
+longest document that still fits, and then by the one that comes nearest.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ MAX_EPOCHS = 3
 SEED = 17
 #: Hex digits of the hash that name a range: 16 ** 3 ranges per source.
 RANGE_DIGITS = 3
-#: Documents added per source to close the gap below the target.
-TOP_UPS = 2
 
 
 def word_count(text: Column) -> Column:
@@ -131,8 +129,7 @@ def mix(
         "extra", (F.col("edge").isNull() | (F.col("range") < F.col("edge"))).cast("int")
     )
     chosen = materialize(at_edge.unionByName(others).drop("range", "edge", "base", "h"))
-    for _ in range(TOP_UPS):
-        chosen = _top_up(chosen)
+    chosen = _top_up(_top_up(chosen, over=False), over=True)
     repeats = F.least(F.col("whole") + F.col("extra"), F.lit(max_epochs).cast("long"))
     return chosen.select(
         "doc_id", "row", "source", "size", "source_size", "target", repeats.alias("repeats"),
@@ -140,18 +137,22 @@ def mix(
     )
 
 
-def _top_up(chosen: DataFrame) -> DataFrame:
-    """Give one more repetition to the longest document that fits the gap of its source."""
+def _top_up(chosen: DataFrame, over: bool) -> DataFrame:
+    """One more repetition of the document, per source, that best closes its gap;
+    with `over` also of one that goes over the target by less than the gap."""
     gaps = materialize(
         chosen.groupBy("source").agg(
             (F.max("rest") - F.sum(F.col("size") * F.col("extra"))).alias("gap")
         )
     )
+    off = F.abs(F.col("size") - F.col("gap"))
     open_rows = chosen.filter("extra = 0 and size > 0 and whole * source_size < target")
-    best = open_rows.join(gaps, _same(open_rows, gaps, "source")).filter("size <= gap")
+    best = open_rows.join(gaps, _same(open_rows, gaps, "source")).filter(
+        off < F.col("gap") if over else F.col("size") <= F.col("gap")
+    )
     best = materialize(
         best.groupBy(chosen["source"]).agg(
-            F.max(F.struct("size", "doc_id", "row", "n")).alias("b")
+            F.max(F.struct((-off).alias("off"), "size", "doc_id", "row", "n")).alias("b")
         ).select(F.col("b.n").alias("best_n"))
     )
     out = chosen.join(best, chosen["n"] == best["best_n"], "left")

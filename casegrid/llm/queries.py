@@ -76,9 +76,9 @@ b1 AS (
 e1 AS (SELECT e0.*, CASE WHEN doc_id IN (SELECT best FROM b1) THEN 1 ELSE extra0 END AS extra1 FROM e0),
 g2 AS (SELECT source, max(rest) - sum(size * extra1) AS gap FROM e1 GROUP BY source),
 b2 AS (
-  SELECT e1.source, max({{'size': size, 'doc': doc_id}}).doc AS best
+  SELECT e1.source, max({{'off': -abs(size - gap), 'size': size, 'doc': doc_id}}).doc AS best
   FROM e1 JOIN g2 ON e1.source IS NOT DISTINCT FROM g2.source
-  WHERE extra1 = 0 AND size > 0 AND whole_reps * source_size < target AND size <= gap GROUP BY e1.source),
+  WHERE extra1 = 0 AND size > 0 AND whole_reps * source_size < target AND abs(size - gap) < gap GROUP BY e1.source),
 e2 AS (SELECT e1.*, CASE WHEN doc_id IN (SELECT best FROM b2) THEN 1 ELSE extra1 END AS extra2 FROM e1)
 SELECT doc_id, size, source_size, target, CAST(least(whole_reps + extra2, 3) * size AS BIGINT) AS taken FROM e2
 """
