@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import as_col, normalize_text, strip
+from ..session import materialize
 
 _RANGE = r"^(\d+)\s*(?:[-–]|to)\s*(\d+)$"
 _CONNECTOR = r"(?i)\band\b|[,&/]"
 
-# Aliases up to this many are compared inside each text row; more are joined.
-INLINE_ALIAS_LIMIT = 2_000
+#: Longest piece of a word that texts and aliases are joined on.
 GRAM = 4
+#: Parts that the rows of one piece are dealt out to, as every text may hold it.
+SALT = 8
 
 
 # --- range texts ----------------------------------------------------------------
@@ -193,9 +192,34 @@ def alias_table(gaz: DataFrame) -> DataFrame:
 
 # --- containment ------------------------------------------------------------------
 
-def _gram(alias: Column) -> Column:
-    """First characters of the alias's first word: must occur in one text word."""
-    return F.substring(F.split_part(alias, F.lit(" "), F.lit(1)), 1, GRAM)
+def _rarest_pieces(aliases: DataFrame) -> DataFrame:
+    """Adds to each alias the piece of its words that the fewest aliases have.
+
+    Every word of an alias lies inside one word of a text that contains it, and
+    so does each of its pieces.  A piece that most aliases share, such as the
+    start of "barangay", is then the key of none that has anything rarer.
+    """
+    named = aliases.withColumn("_pieces", _word_pieces(F.col("alias")))
+    pieces = named.select("alias", F.explode("_pieces").alias("_gram")).distinct()
+    counts = pieces.groupBy("_gram").agg(F.count("*").alias("_held_by"))
+    rarest = (
+        pieces.join(counts, "_gram")
+        .groupBy("alias")
+        .agg(F.min(F.struct("_held_by", -F.length("_gram"), "_gram")).alias("r"))
+        .select("alias", F.col("r._gram").alias("_gram"))
+    )
+    return aliases.join(rarest, "alias").select(*aliases.columns, "_gram")
+
+
+def _word_pieces(text: Column) -> Column:
+    """Pieces of GRAM characters of every word, a shorter word as it is."""
+    words = F.filter(F.array_distinct(F.split(text, " ")), lambda w: w != "")
+
+    def of_word(word):
+        starts = F.sequence(F.lit(1), F.greatest(F.length(word) - (GRAM - 1), F.lit(1)))
+        return F.transform(starts, lambda i: F.substring(word, i, GRAM))
+
+    return F.array_distinct(F.flatten(F.transform(words, of_word)))
 
 
 def _grams(text: Column, lengths: list[int]) -> Column:
@@ -213,34 +237,28 @@ def _grams(text: Column, lengths: list[int]) -> Column:
     return F.array_distinct(F.flatten(F.transform(words, pieces)))
 
 
-def contained_aliases_inline(
-    texts: DataFrame, text: str, rows: list, schema: T.StructType
-) -> DataFrame:
-    """A few alias rows as a literal, tested inside each text row: no shuffle."""
-    entry = schema.simpleString()
-    table = F.from_json(F.lit(json.dumps([r.asDict() for r in rows])), f"array<{entry}>")
-    hits = F.filter(table, lambda a: F.contains(F.col(text), a["alias"]))
-    return texts.select(*texts.columns, F.explode(hits).alias("_a")).select(
-        *texts.columns, *[F.col(f"_a.{c}").alias(c) for c in schema.names]
-    )
-
-
-def contained_aliases_joined(
-    texts: DataFrame, text_id: str, text: str, aliases: DataFrame
+def contained_aliases(
+    texts: DataFrame, text_id: str, text: str, aliases: DataFrame, merge: bool = False
 ) -> DataFrame:
-    """Alias table of any size: equi-join on pieces, then check the whole alias.
-
-    Only the id travels with the pieces; the text itself is joined back to the
-    distinct candidates for the final check.
+    """Every (text, alias) with the normalised alias inside the normalised text.
+
+    An equi-join on the rarest piece of each alias finds the candidates, the
+    whole alias is checked on them.  The keyed aliases are written, so that the
+    planner knows their size and broadcasts a small table; a larger one meets the
+    pieces of the texts in a shuffle, in which each piece is dealt out to SALT
+    parts.  Only the id travels with the pieces.  An alias without a word is
+    contained in nothing.  `merge` asks for the shuffle whatever the size.
     """
-    keyed = aliases.withColumn("_gram", _gram(F.col("alias")))
-    lengths = sorted(
-        r[0] for r in keyed.select(F.length("_gram")).distinct().collect()
-    )  # 1..GRAM
-    if not lengths:
-        return texts.join(aliases.limit(0).withColumn(text_id, F.lit(None)), text_id)
-    pieces = texts.select(text_id, F.explode(_grams(F.col(text), lengths)).alias("_gram"))
-    candidates = pieces.join(keyed, "_gram").drop("_gram")
+    keyed = materialize(_rarest_pieces(aliases))
+    lengths = [r[0] for r in keyed.select(F.length("_gram")).distinct().collect()]  # 1..GRAM
+    pieces = texts.select(
+        text_id, F.explode(_grams(F.col(text), sorted(lengths) or [GRAM])).alias("_gram"),
+        F.pmod(F.xxhash64(text_id), F.lit(SALT)).alias("_salt"),
+    )
+    salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    if merge:
+        salted = salted.hint("merge")
+    candidates = pieces.join(salted, ["_gram", "_salt"]).drop("_gram", "_salt")
     return (
         texts.join(candidates, text_id)
         .filter(F.contains(F.col(text), F.col("alias")))
@@ -248,23 +266,12 @@ def contained_aliases_joined(
     )
 
 
-def contained_aliases(
-    texts: DataFrame, text_id: str, text: str, aliases: DataFrame,
-    inline_limit: int = INLINE_ALIAS_LIMIT,
-) -> DataFrame:
-    """Every (text, alias) with the normalised alias inside the normalised text."""
-    head = aliases.limit(inline_limit + 1).collect()
-    if len(head) <= inline_limit:
-        return contained_aliases_inline(texts, text, head, aliases.schema)
-    return contained_aliases_joined(texts, text_id, text, aliases)
-
-
 def first_contained_alias(
-    texts: DataFrame, text_id: str, text: str, aliases: DataFrame, **kw
+    texts: DataFrame, text_id: str, text: str, aliases: DataFrame
 ) -> DataFrame:
     """The first alias in table order that occurs in each text."""
     fields = ["ordinal", *[c for c in aliases.columns if c != "ordinal"]]
-    found = contained_aliases(texts, text_id, text, aliases, **kw)
+    found = contained_aliases(texts, text_id, text, aliases)
     return (
         found.groupBy(text_id).agg(F.min(F.struct(*fields)).alias("a")).select(text_id, "a.*")
     )

@@ -45,8 +45,12 @@ def similarity_kernel(texts: pd.DataFrame, aliases: pd.DataFrame) -> pd.DataFram
 
     The letters two texts share bound their ratio from above.  Aliases are
     tried from the greatest bound down and left out once it cannot reach the
-    best ratio so far, so the result equals the full comparison.
+    best ratio so far, or a ratio that the level accepts; with the home hint any
+    ratio may decide.  So the place that is accepted equals the full comparison.
     """
+    # a barangay has no fallback: below its threshold it is never taken
+    least = dict.fromkeys(K.LEVEL_THRESHOLDS, K.FALLBACK_THRESHOLD)
+    least["barangay"] = K.LEVEL_THRESHOLDS["barangay"]
     table = aliases.sort_values(["ordinal", "alias"]).reset_index(drop=True)
     names, ordinals = table["alias"].tolist(), table["ordinal"].tolist()
     counts, lengths = _letter_counts(names), table["alias"].str.len().to_numpy()
@@ -66,7 +70,7 @@ def similarity_kernel(texts: pd.DataFrame, aliases: pd.DataFrame) -> pd.DataFram
                 continue
             best = (0.0, "")
             for i in members[np.argsort(-bound[members], kind="stable")]:
-                if bound[i] == 0.0 or bound[i] < best[0]:
+                if bound[i] == 0.0 or bound[i] < best[0] or not t.hint and bound[i] < least[level]:
                     break
                 matcher.set_seq1(names[i])
                 score = matcher.ratio()

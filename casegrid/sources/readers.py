@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from .. import constants as K
 from ..operators.quality import coordinate_check, missing_columns, schema_check
 from . import schemas as S
 
+_FILE, _BLOCK = "_file", "_block"
+#: Rows of one task; the number that Spark's increasing ids leave room for.
+_LINES = 2**33
+
 
 class MissingInput(FileNotFoundError):
     """The path given for a scan does not exist."""
@@ -25,12 +30,14 @@ def canonical(df: DataFrame, required=()) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
+    spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False,
+    placed: bool = False,
 ) -> DataFrame:
     """CSV with a header and quoted fields; usual missing tokens become NULL.
 
     A column of another type than text that does not parse becomes NULL.  Fields
     with line breaks need ``multi_line``, which reads each file in one piece.
+    ``placed`` adds the file and the start of the block that a row was read from.
     """
     try:
         df = (
@@ -41,6 +48,11 @@ def read_csv(
             .option("escape", '"')
             .csv(path)
         )
+        if placed:
+            df = df.select(
+                "*", F.col("_metadata.file_path").alias(_FILE),
+                F.col("_metadata.file_block_start").alias(_BLOCK),
+            )
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e.getCondition() or e):
             raise MissingInput(path) from e
@@ -48,7 +60,7 @@ def read_csv(
     text = {
         f.name: F.when(~F.col(f"`{f.name}`").isin(*K.CSV_MISSING_TOKENS), F.col(f"`{f.name}`"))
         for f in df.schema
-        if isinstance(f.dataType, T.StringType)
+        if isinstance(f.dataType, T.StringType) and f.name != _FILE
     }
     return df.withColumns(text) if text else df
 
@@ -56,11 +68,18 @@ def read_csv(
 def read_cases(spark: SparkSession, path: str, schema=S.RAW_CASES) -> DataFrame:
     """Case file under canonical names.
 
-    ``row_id`` is unique and grows in file order inside a file; it carries the
-    row order that first-row rules need.
+    ``row_id`` is unique and grows with the path of the file, and in a file with
+    the line; it carries the row order that first-row rules need.
     """
-    df = canonical(read_csv(spark, path, schema))
-    return df.withColumn("row_id", F.monotonically_increasing_id())
+    df = canonical(read_csv(spark, path, schema, placed=True))
+    df = df.withColumn("_line", F.monotonically_increasing_id().bitwiseAND(_LINES - 1))
+    blocks = df.select(_FILE, _BLOCK).distinct()  # a row for each split of a file
+    place = F.row_number().over(W.orderBy(_FILE, _BLOCK)).cast("long")
+    return (
+        df.join(blocks.withColumn("_place", place), [_FILE, _BLOCK])
+        .withColumn("row_id", F.col("_place") * _LINES + F.col("_line"))
+        .drop(_FILE, _BLOCK, "_place", "_line")
+    )
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -320,12 +320,12 @@ _CUT_LABELS = "[" + ", ".join(f"'{x}'" for x in K.AGE_CUT_LABELS) + "]"
 
 
 @query("age_group_counts", "WITH " + b.CASES + f""", c AS (
-  SELECT {_CUT} AS category, count(*) AS n FROM cases WHERE age < 45 GROUP BY 1),
+  SELECT {_CUT} AS category, count(*) AS n FROM cases GROUP BY 1),
  o AS (SELECT unnest({_CUT_LABELS}) AS category, unnest([0, 1, 2, 3, 4]) AS position)
 SELECT CAST(position AS INTEGER) AS position, o.category, coalesce(n, 0) AS n
 FROM o LEFT JOIN c ON o.category = c.category""")
 def age_group_counts(spark, sf):
-    return sm.age_group_counts(b.cases(spark, sf).filter(F.col("age") < 45))
+    return sm.age_group_counts(b.cases(spark, sf))
 
 
 @query("location_completeness", "WITH " + b.PLACE_TEXTS + """

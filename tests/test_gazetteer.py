@@ -96,7 +96,7 @@ def test_alias_order_and_forms(gaz):
     assert rows[-1].latitude is None  # a city without position keeps NULL
 
 
-def test_both_containment_paths_equal_a_direct_search(spark):
+def test_containment_equals_a_direct_search(spark):
     rng = random.Random(5)
     words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 7))) for _ in range(60)]
     texts = [(i, " ".join(rng.choices(words, k=rng.randrange(0, 12)))) for i in range(150)]
@@ -105,9 +105,16 @@ def test_both_containment_paths_equal_a_direct_search(spark):
     t = spark.createDataFrame(texts, "i int, text string")
     a = spark.createDataFrame([(x,) for x in aliases], "alias string")
     want = {(i, x) for i, text in texts for x in aliases if x in text}
-    for limit in (10_000, 0):
-        got = gz.contained_aliases(t, "i", "text", a, inline_limit=limit)
+    for merge in (False, True):
+        got = gz.contained_aliases(t, "i", "text", a, merge=merge)
         rows = [(r.i, r.alias) for r in got.select("i", "alias").collect()]
         assert len(rows) == len(set(rows)) and set(rows) == want
-    empty = gz.contained_aliases(t, "i", "text", a.filter(F.lit(False)), inline_limit=-1)
+    empty = gz.contained_aliases(t, "i", "text", a.filter(F.lit(False)))
     assert empty.count() == 0
+
+
+def test_a_piece_that_most_aliases_share_is_the_key_of_few(spark):
+    names = [(f"barangay {n} tondo{n % 9}",) for n in range(400)] + [("barangay",)]
+    keyed = gz._rarest_pieces(spark.createDataFrame(names, "alias string"))
+    assert keyed.filter("_gram = 'bara'").count() <= 1
+    assert keyed.groupBy("_gram").count().agg({"count": "max"}).first()[0] <= 60

@@ -122,7 +122,13 @@ def test_kernel_equals_the_full_comparison():
             key = (t.norm, t.hint, a.level)
             if s > want.get(key, (0.0, ""))[0]:
                 want[key] = (s, a.ordinal)
-    assert have == want
+    # below what a level accepts, a text without the hint need not be compared
+    least = {"barangay": 0.7, "district": 0.4, "city": 0.4}
+
+    def deciding(found):
+        return {k: v for k, v in found.items() if k[1] or v[0] >= least[k[2]]}
+
+    assert deciding(have) == deciding(want) and set(have) <= set(want)
 
 
 def test_blocks_do_not_change_the_result(spark, monkeypatch):

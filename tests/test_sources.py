@@ -148,3 +148,14 @@ def test_whole_study(spark):
     assert (kinds.count("point"), kinds.count("center"), kinds.count("marker")) == (4, 1, 4)
     for name in ("summary", "cleaning", "markers", "target_groups", "trends", "charts"):
         assert out[name].count() > 0
+
+
+def test_row_ids_follow_the_files_by_name(spark, tmp_path):
+    for name, rows in (("a", 1), ("b", 50), ("c", 3)):
+        lines = [f"{name}{i},30,Male,2020-01-01 00:00:00" for i in range(rows)]
+        (tmp_path / f"{name}.csv").write_text("id,age,gender,reported_date\n" + "\n".join(lines) + "\n")
+    schema = "id string, age double, gender string, reported_date string"
+    from casegrid.sources.readers import read_cases
+
+    got = read_cases(spark, str(tmp_path), schema).orderBy("row_id").select("id").collect()
+    assert [r[0] for r in got] == ["a0", *(f"b{i}" for i in range(50)), "c0", "c1", "c2"]
