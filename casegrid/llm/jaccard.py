@@ -14,12 +14,14 @@ Shingles are hashed into groups, twice.
   overlap of two sets is at most the sum of the coordinate minima of their
   points; over the boxes of a packed R-tree the same sum bounds every pair below.
 
-Sets that meet are linked in two rounds.  The first verifies neighbours in the
-sorted list of a key, which connects most near copies with few pairs.  The second
+Sets that meet are linked in rounds.  The first verifies neighbours in the sorted
+list of a key, which connects most near copies with few pairs.  Each further one
 takes, in each key, the pairs that the links so far leave apart, prunes them in
-the tree, and verifies the rest.  Together they cover every pair of sets that
-meet and are not connected, so the components are exact.  Pairs inside one
-component are never made.
+the tree, and verifies the rest: all of them, or only the nearest few of each
+member where there are many, and then another round follows, with all pairs once
+the nearest bring no link.  In the end every pair of sets that meet is verified
+or connected, so the components are exact; pairs inside one component are never
+made.
 """
 
 from __future__ import annotations
@@ -42,7 +44,13 @@ THRESHOLD = 85
 #: Width of the size classes; any factor gives the same links.
 CLASS_RATIO = 1.35
 #: Coordinates of a point.
-GROUPS = 128
+GROUPS = 256
+#: Largest count of a coordinate.  A set with more in a group gets it in all, a
+#: point that covers every other; beyond GROUPS * COUNT_TOP shingles nothing is pruned.
+COUNT_TOP = 2**16 - 1
+#: A group of a key gives out all pairs that may link if they are not more than
+#: this many times its members, else the nearest pairs of each member.
+PAIRS_PER_MEMBER, NEAREST = 4, 3
 #: Rows of one key and component side by side in a task; larger ones are dealt out in blocks.
 BLOCK = 1024
 #: Entries of a node of the tree.
@@ -144,7 +152,8 @@ def group_keys(shingles: np.ndarray, threshold: int = THRESHOLD) -> np.ndarray:
 
 def count_point(shingles: np.ndarray) -> np.ndarray:
     group = (_mix(shingles ^ np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(40)).astype(np.int64) % GROUPS
-    return np.bincount(group, minlength=GROUPS).astype(np.int32)
+    counts = np.bincount(group, minlength=GROUPS)
+    return np.where(counts.max(initial=0) > COUNT_TOP, COUNT_TOP, counts).astype("<u2")
 
 
 def overlap_enough(overlap, a, b, threshold: int = THRESHOLD):
@@ -152,6 +161,11 @@ def overlap_enough(overlap, a, b, threshold: int = THRESHOLD):
     return (100 + threshold) * overlap >= threshold * (a + b)
 
 
+def may_link(bound, a, b, threshold: int = THRESHOLD):
+    """Whether an upper bound of the overlap leaves a link possible."""
+    return overlap_enough(bound, a, b, threshold) | (np.minimum(a, b) > GROUPS * COUNT_TOP)
+
+
 class CountTree:
     """A packed R-tree over count points: boxes of FANOUT entries, level on level.
 
@@ -190,7 +204,7 @@ class CountTree:
                 near = (100 * a[2][i] >= threshold * b[1][j]) & (100 * b[2][j] >= threshold * a[1][i])
                 i, j = i[apart & near], j[apart & near]
                 bound = np.minimum(a[0][i], b[0][j]).sum(1)
-                ok = overlap_enough(bound, a[1][i], b[1][j], threshold)
+                ok = may_link(bound, a[1][i], b[1][j], threshold)
                 if self is other:
                     ok &= i <= j
                 keep.append(np.stack([i[ok], j[ok]]))
@@ -257,7 +271,7 @@ def _points_kernel(size: int):
             for node, text in zip(batch["node"], batch["text"], strict=True):
                 s = shingle_set(text, hashes, size)
                 d1 = _signed(_digest(s) >> 64)
-                rows.append((node, d1, len(s), count_point(s).astype("<u4").tobytes(), s.view(np.int64)))
+                rows.append((node, d1, len(s), count_point(s).tobytes(), s.view(np.int64)))
             yield pd.DataFrame(rows, columns=["node", "d1", "n", "point", "shingles"])
 
     return run
@@ -296,7 +310,7 @@ def _runs_kernel():
     return run
 
 
-def _crossing(nodes, sizes, comps, sides, points, threshold):
+def _crossing(sizes, comps, sides, points, threshold):
     """Pairs of one group from different components that the tree leaves."""
     one, two = np.flatnonzero(sides <= 0), np.flatnonzero(sides > 0)
     tree = CountTree(points[one], sizes[one], comps[one])
@@ -305,6 +319,22 @@ def _crossing(nodes, sizes, comps, sides, points, threshold):
     return one[a], (two if len(two) else one)[b]
 
 
+def _nearest(a, b, sizes, points):
+    """The NEAREST pairs of every member, by bounded overlap against size."""
+    near = np.concatenate([
+        np.minimum(points[a[i : i + 16_384]], points[b[i : i + 16_384]]).sum(1)
+        for i in range(0, len(a), 16_384)
+    ]) / (sizes[a] + sizes[b])
+    keep = np.zeros(len(a), bool)
+    for ends in (a, b):
+        order = np.lexsort((-near, ends))
+        own = ends[order]
+        first = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        rank = np.arange(len(own)) - np.repeat(first, np.diff(np.r_[first, len(own)]))
+        keep[order[rank < NEAREST]] = True
+    return a[keep], b[keep]
+
+
 def _leaf_pairs(group, sizes, comps, points, threshold):
     """The same for groups of a leaf's size, many at a time."""
     found = [np.empty((2, 0), np.int64)]
@@ -319,33 +349,40 @@ def _leaf_pairs(group, sizes, comps, points, threshold):
         for at in range(0, len(i), 16_384):
             x, y = i[at : at + 16_384], j[at : at + 16_384]
             bound = np.minimum(points[x], points[y]).sum(1)
-            ok = overlap_enough(bound, sizes[x], sizes[y], threshold)
+            ok = may_link(bound, sizes[x], sizes[y], threshold)
             found.append(np.stack([x[ok], y[ok]]))
     return np.concatenate(found, 1)
 
 
-def _apart_kernel(threshold: int):
-    """Rows sorted by (key, pair, side): pairs across components that the bound leaves."""
+def _apart_kernel(threshold: int, every: bool):
+    """Rows sorted by (key, pair, side): pairs across components that the bound
+    leaves, `cut` where a group has more than it gives out (never with `every`)."""
 
     def split(batch, starts, ends, seen):
         nodes, sizes = batch["node"].to_numpy(), batch["n"].to_numpy()
         comps, sides = batch["comp"].to_numpy(), batch["side"].to_numpy()
-        points = np.frombuffer(b"".join(batch["point"]), "<u4").reshape(-1, GROUPS).astype(np.int32)
+        points = np.frombuffer(b"".join(batch["point"]), "<u2").reshape(-1, GROUPS).astype(np.int32)
         length = ends - starts
         small = np.flatnonzero((length > 1) & (length <= FANOUT))
         rows = np.concatenate([np.arange(starts[g], ends[g]) for g in small] or [np.empty(0, np.int64)])
         group = np.repeat(small, length[small])
         found = [rows[_leaf_pairs(group, sizes[rows], comps[rows], points[rows], threshold)]]
+        cuts = [np.zeros(found[0].shape[1], bool)]
         for g in np.flatnonzero(length > FANOUT):
             at = slice(starts[g], ends[g])
-            a, b = _crossing(nodes[at], sizes[at], comps[at], sides[at], points[at], threshold)
+            a, b = _crossing(sizes[at], comps[at], sides[at], points[at], threshold)
+            cut = not every and len(a) > PAIRS_PER_MEMBER * length[g]
+            if cut:
+                a, b = _nearest(a, b, sizes[at], points[at])
             found.append(np.stack([a, b]) + starts[g])
+            cuts.append(np.full(len(a), cut))
         a, b = nodes[np.concatenate(found, 1)]
-        pairs = {*zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True)} - seen
+        rows = zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), np.concatenate(cuts).tolist(), strict=True)
+        pairs = {*rows} - seen
         if len(seen) > 200_000:
             seen.clear()
         seen |= pairs
-        return pd.DataFrame(sorted(pairs), columns=["a", "b"], dtype="int64")
+        return pd.DataFrame(sorted(pairs), columns=["a", "b", "cut"]).astype({"a": "int64", "b": "int64", "cut": bool})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest, seen = None, set()
@@ -411,11 +448,11 @@ def _bound_kernel(threshold: int):
             if not len(batch):
                 continue
             a, b = (
-                np.frombuffer(b"".join(batch[c]), "<u4").reshape(len(batch), GROUPS)
+                np.frombuffer(b"".join(batch[c]), "<u2").reshape(len(batch), GROUPS)
                 for c in ("a_point", "b_point")
             )
-            bound = np.minimum(a, b).astype(np.int64).sum(1)
-            ok = overlap_enough(bound, batch["a_n"].to_numpy(), batch["b_n"].to_numpy(), threshold)
+            bound = np.minimum(a, b).sum(1, dtype=np.int64)
+            ok = may_link(bound, batch["a_n"].to_numpy(), batch["b_n"].to_numpy(), threshold)
             yield batch.loc[ok, ["a", "b"]]
 
     return run
@@ -465,6 +502,22 @@ def _blocked(rows: DataFrame) -> DataFrame:
     return small_rows.select(*rows.columns, "pair", "side").unionByName(dealt)
 
 
+def _apart(members, points, comps, threshold: int, every: bool) -> DataFrame:
+    """(a, b, cut): pairs that share a key, are in different components and may link."""
+    held = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    held = materialize(held)
+    mixed = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    held = materialize(held.join(mixed.select("key"), "key", "left_semi"))
+    rows = _blocked(held).join(points.select("node", "n", "point"), "node")
+    found = (
+        rows.repartition(partitions(members.sparkSession), "key", "pair")
+        .sortWithinPartitions("key", "pair", "side")
+        .select("key", "pair", "side", "node", "n", "comp", "point")
+        .mapInPandas(_apart_kernel(threshold, every), "a long, b long, cut boolean")
+    )
+    return materialize(found.groupBy("a", "b").agg(F.max("cut").alias("cut")))
+
+
 def _components(links: DataFrame) -> DataFrame:
     edges = links.select(F.lit(0).alias("g"), F.col("a").alias("u"), F.col("b").alias("v"))
     nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -516,22 +569,21 @@ def jaccard_components(
         chain.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         .filter("a <> b").distinct()
     )
-    links = materialize(_verified(chain, points, threshold))
-    comps = _components(links)
-    held = members.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    mixed = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    held = materialize(held.join(mixed.select("key"), "key", "left_semi"))
-    rows = _blocked(held).join(points.select("node", "n", "point"), "node")
-    apart = (
-        rows.repartition(partitions(spark), "key", "pair")
-        .sortWithinPartitions("key", "pair", "side")
-        .select("key", "pair", "side", "node", "n", "comp", "point")
-        .mapInPandas(_apart_kernel(threshold), "a long, b long")
-        .distinct()
-        .join(chain, ["a", "b"], "left_anti")
-    )
-    more = materialize(_verified(apart, points, threshold))
-    comps = _components(links.unionByName(more))
+    tested, links = chain, materialize(_verified(chain, points, threshold))
+    every = False
+    while True:
+        comps = _components(links)
+        found = _apart(members, points, comps, threshold, every)
+        fresh = materialize(found.select("a", "b").join(tested, ["a", "b"], "left_anti"))
+        more = materialize(_verified(fresh, points, threshold))
+        grown = more.count() > 0
+        if grown:
+            links = links.unionByName(more)
+        if found.filter("cut").isEmpty():
+            break
+        tested, every = tested.unionByName(fresh), not grown
+    if grown:
+        comps = _components(links)
     named = classes.join(comps, "node", "left").select(
         *digest, "rows", F.coalesce("comp", "node").alias("comp")
     )
