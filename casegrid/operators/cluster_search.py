@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..session import cut_lineage
-from .clusters import davies_bouldin, noise_stats, silhouette_exact, silhouette_samples
+from .clusters import (
+    davies_bouldin,
+    noise_stats,
+    silhouette_exact,
+    silhouette_samples,
+    silhouette_squared,
+)
 from .dbscan import dbscan, dbscan_grid_labels
 from .kmeans import fit_kmeans
 from .scaling import Scaler
@@ -15,9 +21,12 @@ from .scaling import Scaler
 
 def dbscan_grid(
     df: DataFrame, features, eps_list=K.DBSCAN_EPS_GRID,
-    min_samples_list=K.DBSCAN_MIN_SAMPLES_GRID, row_id="row_id",
+    min_samples_list=K.DBSCAN_MIN_SAMPLES_GRID, row_id="row_id", exact=False,
 ) -> DataFrame:
-    """Clusters, noise and quality for every (eps, min_samples) pair."""
+    """Clusters, noise and quality for every (eps, min_samples) pair.
+
+    The silhouette is the linear squared one unless the ``exact`` one is asked for.
+    """
     features = list(features)
     spark = df.sparkSession
     z = [f"_z_{c}" for c in features]
@@ -41,7 +50,7 @@ def dbscan_grid(
                 scaled.join(labels.filter(F.col("g") == g), row_id)
                 .withColumn("cluster", F.col("label").cast("bigint"))
             )
-            sil = silhouette_exact(silhouette_samples(labelled, z)).first()[0]
+            sil = _silhouette(labelled, z, exact)
             db = davies_bouldin(labelled, z).first()[0]
         rows.append(
             (float(eps), int(min_samples), s["n_clusters"], s["n_noise"],
@@ -80,10 +89,19 @@ def select_dbscan_params(grid: DataFrame, fallback=None) -> DataFrame:
     )
 
 
+def _silhouette(labelled: DataFrame, z, exact: bool) -> float:
+    if exact:
+        return silhouette_exact(silhouette_samples(labelled, z)).first()[0]
+    return silhouette_squared(labelled, z)
+
+
 def compare_methods(
-    df: DataFrame, features, k=5, eps=0.01, min_samples=5, n_init=10, row_id="row_id"
+    df: DataFrame, features, k=5, eps=0.01, min_samples=5, n_init=10, row_id="row_id", exact=False
 ) -> DataFrame:
-    """One row per method with its quality, plus which one is recommended."""
+    """One row per method with its quality, plus which one is recommended.
+
+    The silhouette is the linear squared one unless the ``exact`` one is asked for.
+    """
     features = list(features)
     spark = df.sparkSession
     z = [f"_z_{c}" for c in features]
@@ -102,7 +120,7 @@ def compare_methods(
         noise = noise_stats(labelled).first()
         sil = dbi = None
         if noise["n_clusters"] > 1:
-            sil = silhouette_exact(silhouette_samples(labelled, z)).first()[0]
+            sil = _silhouette(labelled, z, exact)
             dbi = davies_bouldin(labelled, z).first()[0]
         n_clusters = k if method == "K-Means" else noise["n_clusters"]
         rows.append((method, n_clusters, sil, dbi, cost, noise["n_noise"], text))

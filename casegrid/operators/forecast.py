@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.ml import Model
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from ..functions.values import cyclic, date_parts, r2_verdict, significance
 from ..session import materialize
 from .joins import previous_year_join
 from .ordering import latest_per_group, top_n, with_global_row_number
-from .scaling import Scaler, hash_split, one_hot
+from .scaling import Scaler, hash_split
 from .summaries import lag_previous, location_centroid, panel
 
 _PARALLEL_FITS = 4
@@ -396,14 +396,17 @@ def one_hot_forecast(
     negative forecasts become 0.  Returns (forecast, validation scores).
     """
     means = centroids.agg(F.avg("lat_mean").alias("a"), F.avg("lon_mean").alias("b")).first()
-    categories = [
-        r[0] for r in centroids.select(location).distinct().orderBy(location).collect()
-    ]  # one column per location, so their number bounds the model itself
+    indexer = StringIndexer(
+        inputCol=location, outputCol="_index", stringOrderType="alphabetAsc", handleInvalid="keep"
+    ).fit(centroids)
+    encoder = OneHotEncoder(inputCol="_index", outputCol="_dist", dropLast=False).fit(
+        indexer.transform(centroids)
+    )  # sparse vectors: no column for each location
 
     def prepare(df: DataFrame) -> DataFrame:
         filled = df.na.fill({"lat_mean": means["a"] or 0.0, "lon_mean": means["b"] or 0.0})
-        wide = one_hot(filled, location, categories, "dist")
-        inputs = [period, "lat_mean", "lon_mean", *[f"dist_{c}" for c in categories]]
+        wide = encoder.transform(indexer.transform(filled))
+        inputs = [period, "lat_mean", "lon_mean", "_dist"]
         return VectorAssembler(inputCols=inputs, outputCol="features").transform(wide).select(
             location, period, "features",
             *([F.col("case_count").cast("double").alias("label")]

@@ -89,12 +89,12 @@ def fit_kmeans(
 def k_sweep(
     df: DataFrame, features, k_range=(2, 10), n_init: int = K.KMEANS_DEFAULTS["n_init"],
     max_iter: int = K.KMEANS_DEFAULTS["max_iter"], seed: int = K.KMEANS_DEFAULTS["seed"],
-    exact: bool = True,
+    exact: bool = False,
 ) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin for every k of the range.
 
-    ``exact=False`` replaces the Euclidean silhouette, which needs all
-    distances, with the linear squared-distance one under its own name.
+    The silhouette is the linear squared-distance one, under its own name;
+    ``exact=True`` takes the Euclidean one, which needs all distances.
     """
     features = list(features)
     scaler = Scaler.fit(df, features)
@@ -126,12 +126,13 @@ def k_sweep(
 
 
 def best_k(sweep: DataFrame) -> DataFrame:
-    """k with the greatest silhouette and k with the least Davies-Bouldin."""
+    """k with the greatest silhouette, exact or squared, and k with the least Davies-Bouldin."""
+    name = "silhouette" if "silhouette" in sweep.columns else "silhouette_squared"
     return sweep.agg(
-        F.max(F.struct("silhouette", (-F.col("k")).alias("m"))).alias("s"),
+        F.max(F.struct(name, (-F.col("k")).alias("m"))).alias("s"),
         F.min(F.struct("davies_bouldin", "k")).alias("d"),
     ).select(
-        (-F.col("s.m")).alias("k_silhouette"), F.col("s.silhouette").alias("silhouette"),
+        (-F.col("s.m")).alias("k_silhouette"), F.col(f"s.{name}").alias("silhouette"),
         F.col("d.k").alias("k_davies_bouldin"),
         F.col("d.davies_bouldin").alias("davies_bouldin"),
     )

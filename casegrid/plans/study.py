@@ -19,18 +19,17 @@ POSITION = ("latitude", "longitude")
 
 def hotspot_study(
     raw: DataFrame, k_range=(2, 10), n_init: int = 10, model="poisson", params=None,
-    exact: bool = True, location="district",
+    exact: bool = False, location="district",
 ) -> dict[str, DataFrame]:
     """Validate, clean, cluster, describe, forecast the year after the last one.
 
     Returns the tables by name; every one stays lazy but for the searches and
-    fits.  ``exact=False`` takes the linear silhouette in the search for k.
+    fits.  ``exact=True`` takes the Euclidean silhouette in the search for k.
     """
     cleaned = materialize(clean_cases(raw))
     known = cleaned.filter(F.col("year").isNotNull())
     sweep = k_sweep(cleaned, POSITION, k_range, n_init=n_init, exact=exact)
-    score = "silhouette" if exact else "silhouette_squared"
-    k = best_k(sweep.withColumnRenamed(score, "silhouette")).first()["k_silhouette"]
+    k = best_k(sweep).first()["k_silhouette"]
     clustered = fit_kmeans(cleaned, POSITION, k=k, n_init=n_init).transform(cleaned)
     next_year = known.agg(F.max("year")).first()[0] + 1
     fitted = fc.fit_counts(fc.training_frame(known, location), model, params)

@@ -399,7 +399,7 @@ FROM labels l LEFT JOIN sil ON sil.eps = l.eps AND sil.ms = l.ms
 @query("dbscan_grid", _GRID_SQL)
 def dbscan_grid(spark, sf):
     return rounded(
-        cs.dbscan_grid(b.points(spark, sf), _XY, (0.15, 0.25), (4, 8)), 6,
+        cs.dbscan_grid(b.points(spark, sf), _XY, (0.15, 0.25), (4, 8), exact=True), 6,
         "noise_pct", "silhouette", "davies_bouldin",
     )
 
@@ -432,7 +432,7 @@ def dbscan_select(spark, sf):
 
 @query("cluster_compare")
 def cluster_compare(spark, sf):
-    return cs.compare_methods(b.points(spark, sf), _XY, 5, _EPS, _MIN, n_init=3)
+    return cs.compare_methods(b.points(spark, sf), _XY, 5, _EPS, _MIN)
 
 
 @query("clustering_eval")
