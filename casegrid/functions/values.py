@@ -160,3 +160,18 @@ def round_even(c, digits: int) -> Column:
     """Round half to even on the scaled binary value, as array libraries do."""
     scale = float(10**digits)
     return F.rint(as_col(c) * scale) / scale
+
+
+def rate_ratio(count, previous) -> Column:
+    """Growth of a count against the one before, which gets one added."""
+    return as_col(count) / (as_col(previous) + 1.0)
+
+
+def split_marker(period, first_test) -> Column:
+    """TRAIN before the first period of the test, TEST from it on."""
+    return F.when(as_col(period) < first_test, "TRAIN").otherwise("TEST")
+
+
+def not_negative(value) -> Column:
+    """Forecasts below zero become zero."""
+    return F.greatest(as_col(value), F.lit(0.0))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from ..functions.values import cyclic, date_parts, r2_verdict, significance
+from ..functions.values import cyclic, date_parts, not_negative, r2_verdict, significance
 from ..session import materialize
 from .joins import previous_year_join
 from .ordering import latest_per_group, top_n, with_global_row_number
@@ -420,6 +420,6 @@ def one_hot_forecast(
     next_year = centroids.agg(F.max(period)).first()[0] + 1
     latest = latest_per_group(centroids, [location], period).withColumn(period, F.lit(next_year))
     forecast = model.transform(prepare(latest.drop("case_count"))).select(
-        location, F.greatest("prediction", F.lit(0.0)).alias("predicted_count")
+        location, not_negative("prediction").alias("predicted_count")
     )
     return forecast, scores

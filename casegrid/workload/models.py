@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..functions.values import not_negative
 from ..operators import forecast as fc
 from ..operators import summaries as sm
 from ..operators.joins import attach_actuals, forecast_grid
@@ -284,7 +285,7 @@ def gbt_onehot_forecast(spark, sf):
 SELECT district, 2002 AS year, CAST(greatest(n - 100, 0) AS DOUBLE) AS predicted_count FROM p""")
 def latest_centroid_clamped(spark, sf):
     latest = latest_per_group(sm.panel_centroid(b.cases(spark, sf)), ["district"], "year")
-    clamped = F.greatest(F.col("case_count") - F.lit(100.0), F.lit(0.0))
+    clamped = not_negative(F.col("case_count") - F.lit(100.0))
     return latest.select(
         "district", F.lit(2002).alias("year"), F.round(clamped, 6).alias("predicted_count")
     )

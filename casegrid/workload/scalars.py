@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import values as v
 from ..operators import forecast as fc
+from ..operators import layers
 from ..operators import quality as q
 from ..operators.ordering import position_code
 from . import bindings as b
@@ -328,9 +329,7 @@ def clean_age_group(spark, sf):
 @query("weighted_points", "WITH " + b.POINTS + """
 SELECT row_id, latitude, longitude, greatest(latitude, 0.1) AS weight FROM points""")
 def weighted_points(spark, sf):
-    return b.points(spark, sf).select(
-        "row_id", "latitude", "longitude", F.greatest("latitude", F.lit(0.1)).alias("weight")
-    )
+    return layers.weighted_points(b.points(spark, sf), "latitude", "row_id")
 
 
 @query("rate_ratio", "WITH " + b.CASES + """, c AS (
@@ -341,8 +340,7 @@ def rate_ratio(spark, sf):
     df = b.cases(spark, sf).groupBy("district", "year").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("month") < 7).alias("prev")
     )
-    ratio = F.round(F.col("n") / (F.col("prev") + 1.0), 6)
-    return df.select("district", "year", ratio.alias("rate_ratio"))
+    return df.select("district", "year", F.round(v.rate_ratio("n", "prev"), 6).alias("rate_ratio"))
 
 
 @query("signif_stars", """
@@ -377,8 +375,7 @@ SELECT year, count(*) AS n, CASE WHEN year < 2000 THEN 'TRAIN' ELSE 'TEST' END A
 FROM cases GROUP BY year""")
 def split_marker(spark, sf):
     counts = b.cases(spark, sf).groupBy("year").agg(F.count(F.lit(1)).alias("n"))
-    marker = F.when(F.col("year") < 2000, "TRAIN").otherwise("TEST")
-    return counts.withColumn("marker", marker)
+    return counts.withColumn("marker", v.split_marker("year", 2000))
 
 
 @query("r2_verdict", """
