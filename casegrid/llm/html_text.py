@@ -38,9 +38,9 @@ VOID_TAGS = frozenset(
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog button select textarea fieldset search".split())
 #: Words of a class, id or role that mark page furniture.
 FURNITURE_WORDS = frozenset(
-    "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion "
+    "ad ads adsbygoogle adslot advert adverts advertisement advertising banner sponsor sponsored promo promotion "
     "nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar side rail widget widgets "
-    "header masthead topbar footer foot bottom copyright legal "
+    "masthead topbar footer foot bottom copyright legal "
     "cookie cookies consent notice notices alert popup modal overlay gdpr newsletter subscribe signup "
     "comment comments disqus reply replies respond discussion "
     "share sharing social related recommended recommendations pagination pager toolbar search login form "
@@ -50,12 +50,16 @@ FURNITURE_WORDS = frozenset(
 #: Words that mark the article itself, stronger than the ones above.
 ARTICLE_WORDS = frozenset("article articlebody post postbody entry story main maincontent content".split())
 
+#: Tags that a word of their class does not make page furniture: it names the layout.
+FRAME_TAGS = frozenset("html body article main".split())
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S,
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+_HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=\s|=|/|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
 _SPACE = re.compile(r"\s+")
 _SILENT_END = {t: re.compile(rf"</{t}\s*(?=[>/\s])[^>]*>", re.I) for t in SILENT_TAGS}
 
@@ -98,13 +102,14 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
             value = m[2] or m[3] or m[4] or ""
             value = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower()
             words = set(re.split(r"[^a-z0-9]+", value))
-            if words & FURNITURE_WORDS:
+            named = bool(words & ARTICLE_WORDS)
+            if tag not in FRAME_TAGS and (words & FURNITURE_WORDS or "header" in words and not named):
                 furniture = True
-            elif words & ARTICLE_WORDS or "".join(sorted(words, key=value.find)) in ARTICLE_WORDS:
+            elif named:
                 article = True
-        elif m[1].lower() == "hidden" or m[1].lower() == "aria-hidden" and "true" in (m[2] or m[3] or m[4] or ""):
+        elif m[1].lower() == "style" and re.search(r"display\s*:\s*none", m[0], re.I):
             furniture = True
-    return furniture, article
+    return furniture or bool(_HIDDEN.search(attrs)), article
 
 
 def blocks(page: str) -> list[Block]:
@@ -250,6 +255,10 @@ LABELLED = (
     (6, 0.0, 0, 0, 1, 0, 1, 1.0, 60, 0.0, 1, 0, 0, 1),
     (3, 0.0, 0, 0, 1, 0, 60, 0.0, 44, 0.0, 0, 0, 0, 1),
     (14, 0.0, 0, 0, 0, 1, 30, 0.0, 16, 0.0, 0, 0, 0, 1),
+    (2, 0.0, 0, 0, 0, 0, 22, 0.0, 22, 0.0, 0, 0, 0, 1),
+    (4, 0.0, 0, 0, 0, 0, 12, 0.0, 30, 0.0, 0, 0, 0, 1),
+    (1, 0.0, 0, 0, 1, 0, 2, 1.0, 22, 0.0, 1, 0, 0, 1),
+    (4, 0.0, 0, 0, 1, 0, 0, 0.0, 18, 0.0, 0, 0, 0, 1),
     # and their link lists, bylines far from text, and short leftovers
     (2, 1.0, 0, 0, 0, 1, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
     (10, 0.9, 0, 0, 0, 0, 3, 1.0, 9, 0.8, 0, 0, 0, 0),
