@@ -148,6 +148,13 @@ def peak_and_low_month(df: DataFrame, month="month") -> DataFrame:
     )
 
 
+def month_count_map(df: DataFrame, month="month") -> DataFrame:
+    """One row: the count of every month that has cases, as a map of at most twelve."""
+    counts = _known(df, month).groupBy(month).agg(F.count(F.lit(1)).alias("n"))
+    entries = F.sort_array(F.collect_list(F.struct(month, "n")))
+    return counts.agg(F.map_from_entries(entries).alias("counts"))
+
+
 def season_counts(df: DataFrame, month="month", seasons=K.SEASONS) -> DataFrame:
     return (
         _known(df, month)

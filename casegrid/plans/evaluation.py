@@ -15,16 +15,45 @@ from ..operators.ordering import label_encode
 
 def evaluate_clustering(
     df: DataFrame, features, k_range=(2, 15), eps_list=K.DBSCAN_EPS_GRID_WIDE,
-    min_samples_list=K.DBSCAN_MIN_SAMPLES_GRID, n_init=10, row_id="row_id",
-) -> DataFrame:
-    """Search k and (eps, min_samples), then compare both methods at their best."""
-    sweep = k_sweep(df, features, k_range, n_init=n_init)
-    k = best_k(sweep).first()["k_silhouette"]
-    grid = dbscan_grid(df, features, eps_list, min_samples_list, row_id)
-    chosen = select_dbscan_params(grid).first()
-    return compare_methods(
-        df, features, k, chosen["eps"], chosen["min_samples"], n_init, row_id
-    )
+    min_samples_list=K.DBSCAN_MIN_SAMPLES_GRID, n_init=10, row_id="row_id", exact=False,
+) -> dict[str, DataFrame]:
+    """Search k and (eps, min_samples), then compare both methods at their best.
+
+    Returns the tables by name: `k_search`, `recommended_k`, `dbscan_grid`,
+    `dbscan_choice`, `comparison` and, of the clusters with the recommended k,
+    their sizes and centres as `clusters`.
+    """
+    sweep = k_sweep(df, features, k_range, n_init=n_init, exact=exact)
+    best = best_k(sweep)
+    k = best.first()["k_silhouette"]
+    grid = dbscan_grid(df, features, eps_list, min_samples_list, row_id, exact)
+    choice = select_dbscan_params(grid)
+    chosen = choice.first()
+    clustered = fit_kmeans(df, features, k=k, n_init=n_init).transform(df)
+    return {
+        "k_search": sweep,
+        "recommended_k": best,
+        "dbscan_grid": grid,
+        "dbscan_choice": choice,
+        "comparison": compare_methods(
+            df, features, k, chosen["eps"], chosen["min_samples"], n_init, row_id, exact
+        ),
+        "clusters": clustered.groupBy("cluster").agg(
+            F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in features]
+        ),
+    }
+
+
+def long_table(tables: dict[str, DataFrame]) -> DataFrame:
+    """Several tables as one: the name of the table and each row as JSON."""
+    parts = [
+        t.select(F.lit(name).alias("table_name"), F.to_json(F.struct("*")).alias("row"))
+        for name, t in tables.items()
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def demographic_clusters(df: DataFrame, k_range=(2, 6), n_init=10, gender="gender", age="age"):

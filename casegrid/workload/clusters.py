@@ -13,7 +13,7 @@ from ..operators.kmeans import best_k, fit_kmeans, k_sweep
 from ..operators.ordering import top_n_per_group
 from ..operators.summaries import location_centroid
 from ..plans.evaluation import demographic_clusters as demographic_plan
-from ..plans.evaluation import evaluate_clustering
+from ..plans.evaluation import evaluate_clustering, long_table
 from . import bindings as b
 from .registry import query, rounded
 
@@ -437,8 +437,8 @@ def cluster_compare(spark, sf):
 
 @query("clustering_eval")
 def clustering_eval(spark, sf):
-    """Whole evaluation on the positions of the customers' cases."""
+    """Whole evaluation on the positions of the customers' cases, all its tables."""
     places = location_centroid(b.cases(spark, sf), "person").withColumnRenamed(
         "person", "row_id"
     )
-    return evaluate_clustering(places, _XY, (2, 4), (0.15, 0.3), (5, 10), n_init=2)
+    return long_table(evaluate_clustering(places, _XY, (2, 4), (0.15, 0.3), (5, 10), n_init=2))

@@ -10,6 +10,7 @@ from ..operators.joins import attach_actuals
 from ..operators.summaries import location_centroid
 from ..plans.cleaning import clean_cases, clean_extract, cleaning_report, stateless_clean
 from ..plans.reports import trend_report
+from ..plans.evaluation import long_table
 from ..plans.study import hotspot_study
 from . import bindings as b
 from .registry import query, rounded
@@ -96,9 +97,8 @@ def trend_report_query(spark, sf):
 
 @query("hotspot_study")
 def hotspot_study_query(spark, sf):
-    """Raw cases to the forecast layer in one go."""
-    tables = hotspot_study(b.gappy(spark, sf), (2, 4), n_init=2, exact=False)
-    return tables["forecast_layer"]
+    """Raw cases to the forecast layer in one go, all its tables."""
+    return long_table(hotspot_study(b.gappy(spark, sf), (2, 4), n_init=2))
 
 
 # --- map and chart tables --------------------------------------------------------------------

@@ -393,6 +393,16 @@ def peak_month(spark, sf):
     return sm.peak_and_low_month(b.cases(spark, sf))
 
 
+@query("month_count_map", "WITH " + b.CASES + """, c AS (
+  SELECT month, count(*) AS n FROM cases GROUP BY month)
+SELECT string_agg(month || '=' || n, ';' ORDER BY month) AS counts FROM c""")
+def month_count_map(spark, sf):
+    pairs = F.transform(
+        F.map_entries("counts"), lambda e: F.concat(e["key"], F.lit("="), e["value"])
+    )
+    return sm.month_count_map(b.cases(spark, sf)).select(F.array_join(pairs, ";").alias("counts"))
+
+
 def _season_sql(names):
     return f"[{', '.join(repr(n) for n in names)}][month]"
 
