@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -156,6 +157,25 @@ def poisson_score_equations(spark, sf):
     return wide.unpivot([], wide.columns, "feature", "weighted_mean")
 
 
+@query("poisson_penalised_equations", f"WITH {_LAGGED} " + " UNION ALL ".join(
+    f"""SELECT '{c}' AS feature, round((avg(case_count * {c}) - avg(case_count) * avg({c}))
+        / stddev_pop({c}), 3) AS moment FROM lagged""" for c in K.PANEL_FEATURES))
+def poisson_penalised_equations(spark, sf):
+    """At the optimum of the penalised fit, the mean of fitted count times scaled
+    feature plus alpha times its coefficient is the same mean of the actual counts."""
+    alpha = 0.1
+    train = _train(spark, sf)
+    model = fc.fit_counts(train, "poisson", {"alpha": alpha})
+    scored = model.model.transform(model.vectors(train)).select(
+        "prediction", vector_to_array("features").alias("z")
+    )
+    wide = scored.agg(*[
+        F.round(F.avg(F.col("prediction") * F.col("z")[j]) + alpha * float(coef), 3).alias(c)
+        for j, (c, coef) in enumerate(zip(model.scaler.features, model.model.coefficients))
+    ])
+    return wide.unpivot([], wide.columns, "feature", "moment")
+
+
 @query("poisson_inference")
 def poisson_inference(spark, sf):
     train = _train(spark, sf).persist()
