@@ -50,7 +50,7 @@ GROUPS = 256
 COUNT_TOP = 2**16 - 1
 #: A group of a key gives out all pairs that may link if they are not more than
 #: this many times its members, else the nearest pairs of each member.
-PAIRS_PER_MEMBER, NEAREST = 4, 3
+PAIRS_PER_MEMBER, NEAREST = 2, 1
 #: Rows of one key and component side by side in a task; larger ones are dealt out in blocks.
 BLOCK = 1024
 #: Entries of a node of the tree.
