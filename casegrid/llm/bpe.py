@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import share, shared_value
+
 #: Keys per bucket of the hash.
 BUCKET = 4
 #: Distinct pre-tokens whose ids a task keeps; the cache is emptied beyond.
@@ -157,7 +159,7 @@ class Encoder(dict):
 
 def _kernel(shared, pattern: str, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(*shared.value, pattern)
+        encoder = Encoder(*shared_value(shared), pattern)
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -186,7 +188,7 @@ def encode_documents(
     as they went in; other columns are ignored; an empty table gives no rows.
     """
     ranks = read_ranks(ranks_path)
-    shared = docs.sparkSession.sparkContext.broadcast((ranks, PerfectHash(list(ranks))))
+    shared = share(docs.sparkSession, (ranks, PerfectHash(list(ranks))))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_ids:
         schema += ", ids binary, decoded binary"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import pickle
+
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,3 +55,12 @@ def lookup(rows: DataFrame, named: DataFrame, keys: list[str], count: str, total
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def share(spark: SparkSession, value):
+    """Broadcast a value with its classes, so that executors need not have the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared_value(shared):
+    return pickle.loads(shared.value)

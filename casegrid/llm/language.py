@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import share, shared_value
+
 #: Labelled rows per language, characters of each, and characters of all languages
 #: together: the bounds of the sample that is collected for training.
 SAMPLE_ROWS = 64
@@ -161,7 +163,7 @@ def sample(docs: DataFrame, text: str, label: str, doc_id: str) -> dict[str, str
 
 def _kernel(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parser = shared.value
+        parser = shared_value(shared)
         table = parser.table()
         weight = np.log2(parser.sizes) if parser.languages else np.empty(0)
         for batch in batches:
@@ -193,6 +195,6 @@ def identify(
     Whole texts are parsed; other columns are ignored.
     """
     parser = CrossParser(sample(train, text, label, doc_id))
-    shared = docs.sparkSession.sparkContext.broadcast(parser)
+    shared = share(docs.sparkSession, parser)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInPandas(_kernel(shared), "doc_id long, lang_pred string, score double")
