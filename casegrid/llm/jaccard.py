@@ -30,7 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -58,6 +58,7 @@ FANOUT = 16
 #: Distinct words whose hashes a task keeps; the cache is emptied beyond.
 WORD_CACHE = 500_000
 NO_ID = 2**63 - 1
+DIGEST = ["d1", "d2", "n"]
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -253,12 +254,12 @@ def _sets_kernel(threshold: int, size: int):
         hashes = _WordHashes()
         for batch in batches:
             rows = []
-            for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
+            for doc, copy, text in zip(batch["doc_id"], batch["copy"], batch["text"], strict=True):
                 s = shingle_set(text, hashes, size)
                 d = _digest(s)
                 keys = group_keys(s, threshold).view(np.int64) if len(s) else ()
-                rows.append((doc, len(s), _signed(d >> 64), _signed(d & (2**64 - 1)), keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "d1", "d2", "keys"])
+                rows.append((doc, copy, len(s), _signed(d >> 64), _signed(d & (2**64 - 1)), keys))
+            yield pd.DataFrame(rows, columns=["doc_id", "copy", "n", "d1", "d2", "keys"])
 
     return run
 
@@ -270,9 +271,8 @@ def _points_kernel(size: int):
             rows = []
             for node, text in zip(batch["node"], batch["text"], strict=True):
                 s = shingle_set(text, hashes, size)
-                d1 = _signed(_digest(s) >> 64)
-                rows.append((node, d1, len(s), count_point(s).tobytes(), s.view(np.int64)))
-            yield pd.DataFrame(rows, columns=["node", "d1", "n", "point", "shingles"])
+                rows.append((node, len(s), count_point(s).tobytes(), s.view(np.int64)))
+            yield pd.DataFrame(rows, columns=["node", "n", "point", "shingles"])
 
     return run
 
@@ -402,13 +402,24 @@ def _apart_kernel(threshold: int, every: bool):
 
 # --- plan --------------------------------------------------------------------------
 
+def _number(doc_id: str) -> Column:
+    """The id, NULL as the largest number."""
+    return F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID))
+
+
+def _copy(text: str) -> Column:
+    """Equal for equal texts; with the id, what tells rows apart."""
+    return F.coalesce(F.md5(text), F.lit(""))
+
+
+def _texts(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
+    return docs.select(_number(doc_id).alias("doc_id"), _copy(text).alias("copy"), F.col(text).alias("text"))
+
+
 def shingle_sets(docs: DataFrame, text: str, doc_id: str, threshold: int, size: int) -> DataFrame:
-    """doc_id (NULL as the largest number), n, 128-bit digest of the set, meeting keys."""
-    rows = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.col(text).alias("text")
-    )
-    return rows.mapInPandas(
-        _sets_kernel(threshold, size), "doc_id long, n long, d1 long, d2 long, keys array<long>"
+    """doc_id and copy of each row, n, 128-bit digest of the set, meeting keys."""
+    return _texts(docs, text, doc_id).mapInPandas(
+        _sets_kernel(threshold, size), "doc_id long, copy string, n long, d1 long, d2 long, keys array<long>"
     )
 
 
@@ -525,39 +536,33 @@ def _components(links: DataFrame) -> DataFrame:
     return materialize(found.select("node", F.col("component").alias("comp")))
 
 
-def jaccard_components(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
-    threshold: int = THRESHOLD, size: int = SHINGLE,
-) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+def _groups(docs: DataFrame, text: str, doc_id: str, threshold: int, size: int):
+    """The rows' sets, and their classes of equal sets: digest, number of rows, the
+    smallest id of the component, and `head` with the (doc_id, copy) of its first row.
 
-    Documents link when 100 * |A and B| >= threshold * |A or B| over their sets
-    of `size`-word shingles; the component is the smallest id reachable.  NULL
-    and empty texts have an empty set and link with nothing.  Repeated rows come
-    out as often as they went in.  A NULL id links like any other document; its
-    component is the smallest id it reaches, or NULL.  Rows that share an id but
-    not a text get the component of their own text.  Other columns are ignored.
+    A class is a node of the graph, whatever ids its rows have.
     """
-    spark = docs.sparkSession
     sets = materialize(shingle_sets(docs, text, doc_id, threshold, size))
-    digest = ["d1", "d2", "n"]
+    total = sets.count()
     classes = materialize(
-        sets.filter("n > 0").groupBy(*digest).agg(
-            F.min("doc_id").alias("node"), F.count("*").alias("rows")
-        )
+        sets.filter("n > 0").groupBy(*DIGEST)
+        .agg(F.min(F.struct("doc_id", "copy")).alias("first"), F.count("*").alias("rows"))
+        .select(*DIGEST, "first.doc_id", "first.copy", "rows", F.monotonically_increasing_id().alias("node"))
     )
     met = _meetings(sets)
     members = materialize(
         met.join(classes.select("d1", "node"), "d1").select("key", "node").distinct()
     )
-    involved = members.select("node").distinct()
-    texts = docs.select(
-        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("node"), F.col(text).alias("text")
-    ).join(involved, "node")
+    involved = classes.join(members.select("node").distinct(), "node", "left_semi")
+    # One row of each class brings its text.
+    texts = lookup(
+        _texts(docs, text, doc_id), involved.select("doc_id", "copy", "rows", "node"),
+        ["doc_id", "copy"], "rows", total,
+    ).filter("node is not null")
     points = materialize(
-        texts.mapInPandas(
-            _points_kernel(size), "node long, d1 long, n long, point binary, shingles array<long>"
-        ).dropDuplicates(["node", "d1"])
+        texts.select("node", "text").mapInPandas(
+            _points_kernel(size), "node long, n long, point binary, shingles array<long>"
+        ).dropDuplicates(["node"])
     )
     names = classes.select("d1", "node")
     chain = (
@@ -584,10 +589,34 @@ def jaccard_components(
         tested, every = tested.unionByName(fresh), not grown
     if grown:
         comps = _components(links)
-    named = classes.join(comps, "node", "left").select(
-        *digest, "rows", F.coalesce("comp", "node").alias("comp")
+    first = F.struct("doc_id", "d1", "d2", "copy")
+    heads = materialize(
+        classes.join(comps, "node").groupBy("comp").agg(F.min(first).alias("least"), F.count("*").alias("nodes"))
+    )
+    linked = lookup(comps, heads, ["comp"], "nodes", comps.count())
+    least = F.coalesce("least", first)
+    named = classes.join(linked.select("node", "least"), "node", "left").select(
+        *DIGEST, "rows", least["doc_id"].alias("comp"),
+        F.when(least == first, F.struct("doc_id", "copy")).alias("head"),
     )
-    out = lookup(sets.select("doc_id", *digest), named, digest, "rows", sets.count())
+    return sets, materialize(named), total
+
+
+def jaccard_components(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
+    threshold: int = THRESHOLD, size: int = SHINGLE,
+) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id.
+
+    Documents link when 100 * |A and B| >= threshold * |A or B| over their sets
+    of `size`-word shingles; the component is the smallest id reachable.  NULL
+    and empty texts have an empty set and link with nothing.  Repeated rows come
+    out as often as they went in.  A NULL id links like any other document; its
+    component is the smallest id it reaches, or NULL.  Rows that share an id but
+    not a text get the component of their own text.  Other columns are ignored.
+    """
+    sets, named, total = _groups(docs, text, doc_id, threshold, size)
+    out = lookup(sets.select("doc_id", *DIGEST), named.drop("head"), DIGEST, "rows", total)
     known = F.when(F.col("doc_id") != NO_ID, F.col("doc_id"))
     component = F.when(F.col("n") == 0, known).otherwise(F.when(F.col("comp") != NO_ID, F.col("comp")))
     return out.select(known.alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"))
@@ -598,14 +627,15 @@ def first_of_groups(
     threshold: int = THRESHOLD, size: int = SHINGLE,
 ) -> DataFrame:
     """The rows of `docs` that stay: of each group of linked documents the one with
-    the smallest id, once.  Documents without a set stay, repeated ones once; of
-    documents with a NULL id those that reach no id stay, one for each text.
+    the smallest id, once.  NULL ids come last; of several texts under that id, or
+    without any id in the group, the smallest digest stays.  Documents without a
+    set stay, repeated ones once.
     """
-    groups = jaccard_components(docs, text, doc_id, threshold, size)
-    heads = groups.filter(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(
-        F.col("doc_id").alias("_head")
-    ).distinct()
-    kept = docs.join(heads, docs[doc_id].eqNullSafe(heads["_head"]), "left_semi")
-    equal = W.partitionBy(doc_id, "_hash").orderBy("_hash")
-    numbered = kept.withColumn("_hash", F.xxhash64(text)).withColumn("_n", F.row_number().over(equal))
-    return numbered.filter("_n = 1").select(*docs.columns)
+    sets, named, _ = _groups(docs, text, doc_id, threshold, size)
+    alone = sets.filter("n = 0").select("doc_id", "copy").distinct()
+    heads = named.filter("head is not null").select("head.*").unionByName(alone)
+    heads = heads.select(F.col("doc_id").alias("_head"), F.col("copy").alias("_copy"))
+    marked = docs.withColumns({"_head": _number(doc_id), "_copy": _copy(text)})
+    kept = marked.join(heads, ["_head", "_copy"], "left_semi")
+    equal = W.partitionBy("_head", "_copy").orderBy("_copy")
+    return kept.withColumn("_n", F.row_number().over(equal)).filter("_n = 1").select(*docs.columns)

@@ -106,6 +106,26 @@ def test_components(messy, messy_rows):
     assert got == sorted(want, key=repr)
 
 
+def test_components_of_texts_under_one_id(spark):
+    """Unrelated texts without an id, or under one id, are not one node."""
+    def words(name, n=60):
+        return " ".join(f"{name}{i}" for i in range(n))
+
+    rows = [
+        (5, words("a")), (None, words("a") + " tail"), (None, words("b")), (None, words("c")),
+        (None, words("c") + " tail"), (7, words("d")), (7, words("e")), (3, words("d") + " tail"),
+        (9, words("f")), (9, words("F")), (9, words("f") + " tail"), (None, None), (None, None),
+    ]
+    got = collected(jaccard.jaccard_components(frame(spark, rows)), "doc_id", "n_shingles", "component_id")
+    want = [5, 5, None, None, None, 3, 7, 3, 9, 9, 9, None, None]
+    sizes = [n for n, _ in brute.components([(0, t) for _, t in rows])]
+    assert got == sorted(((r[0], n, c) for r, n, c in zip(rows, sizes, want, strict=True)), key=repr)
+    kept = [(r.doc_id, r.text) for r in jaccard.first_of_groups(frame(spark, rows)).collect()]
+    for one in ((5, rows[0][1]), (None, rows[2][1]), (7, rows[6][1]), (3, rows[7][1]), (None, None)):
+        assert kept.count(one) == 1
+    assert sum(r in kept for r in rows[3:5]) == 1 and sum(r in kept for r in rows[8:11]) == 1 and len(kept) == 7
+
+
 def near_copies(n, words=40, changes=3, seed=5):
     r = np.random.default_rng(seed)
     base = [f"w{i}" for i in range(words)]
