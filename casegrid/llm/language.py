@@ -5,7 +5,9 @@ sample.  A text is cut into phrases, each the longest match from where the last
 one ended; phrases * log2(sample size) / characters is the cross-parsing
 entropy, and the language with the least wins.  The automata are one transition
 table, in which a missing transition already is the restart of the next phrase,
-so many text segments and all languages step through it together in numpy.
+so many text segments and all languages step through it together in numpy.  The
+table holds the frequent characters; transitions of all other characters of the
+samples are a sorted list beside it.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ SAMPLE_ROWS = 64
 SAMPLE_CHARS = 1_000
 TOTAL_CHARS = 200_000
 LANGUAGE_CHARS = 40_000
-#: Characters with transitions of their own; any other one is a phrase by itself.
+#: Characters in the table; the others of the samples are looked up in the sorted
+#: list.  Only a character of no sample is a phrase by itself in every language.
 ALPHABET = 95
 #: A phrase ends at every multiple of this many characters.
 SEGMENT = 1_024
@@ -80,8 +83,9 @@ class CrossParser:
         room = min(LANGUAGE_CHARS, TOTAL_CHARS // max(1, len(samples)))
         texts = {name: plain(samples[name])[:room] for name in self.languages}
         chars, counts = np.unique(list("".join(texts.values())), return_counts=True)
-        self.chars = sorted(chars[np.argsort(-counts, kind="stable")][:ALPHABET].tolist())
-        code = {c: i + 1 for i, c in enumerate(self.chars)}
+        ranked = chars[np.argsort(-counts, kind="stable")].tolist()
+        self.chars, self.rare = sorted(ranked[:ALPHABET]), sorted(ranked[ALPHABET:])
+        code = {c: i + 1 for i, c in enumerate(self.chars + self.rare)}
         self.sizes = [max(2, len(texts[name])) for name in self.languages]
         self.roots, parts, base = [], [], 0
         for name in self.languages:
@@ -91,7 +95,30 @@ class CrossParser:
             self.roots.append(base)
             base += len(nexts)
         self.states = base
-        self.moves = np.concatenate(parts).astype(np.int32) if parts else np.empty((0, 3), np.int32)
+        moves = np.concatenate(parts).astype(np.int32) if parts else np.empty((0, 3), np.int32)
+        dense = moves[:, 1] <= len(self.chars)
+        self.moves, others = moves[dense], moves[~dense].astype(np.int64)
+        #: Transitions of the rare characters, sorted by state and character.
+        keys = others[:, 0] * self._width() + others[:, 1]
+        order = np.argsort(keys)
+        self.keys, self.targets = keys[order], others[order, 2].astype(np.int32)
+
+    def _width(self) -> int:
+        return len(self.chars) + len(self.rare) + 1
+
+    def _rare_moves(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        """Moves under rare characters; states are (languages, texts)."""
+        def find(states):
+            if not len(self.keys):
+                return np.zeros(states.shape, bool), np.zeros(states.shape, np.int32)
+            wanted = states.astype(np.int64) * self._width() + code
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            return self.keys[at] == wanted, self.targets[at]
+
+        roots = np.repeat(np.array(self.roots, np.int32)[:, None], state.shape[1], 1)
+        known, to = find(state)
+        begins, first = find(roots)
+        return np.where(known, to, np.where(begins, first, roots) | _RESTART)
 
     def table(self) -> np.ndarray:
         """Flat (state, code) table; the restart bit marks the end of a phrase."""
@@ -109,10 +136,14 @@ class CrossParser:
 
     def codes(self, text: str) -> np.ndarray:
         points = np.frombuffer(plain(text).encode("utf-32-le", "surrogatepass"), np.uint32)
-        known = np.array([ord(c) for c in self.chars], np.uint32)
-        at = np.searchsorted(known, points)
-        at[at == len(known)] = 0
-        return np.where(known[at] == points, at + 1, 0).astype(np.int32)
+        out = np.zeros(len(points), np.int32)
+        for chars, base in ((self.chars, 1), (self.rare, len(self.chars) + 1)):
+            if chars:
+                known = np.array([ord(c) for c in chars], np.uint32)
+                at = np.searchsorted(known, points)
+                at[at == len(known)] = 0
+                out = np.where(known[at] == points, at + base, out).astype(np.int32)
+        return out
 
     def phrases(self, table: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
         """(texts, languages): phrases of each text against each language."""
@@ -134,7 +165,11 @@ class CrossParser:
             count = np.zeros(state.shape, np.int32)
             for step in range(int(size[0]) if len(size) else 0):
                 n = int(np.searchsorted(-size, -step))  # lanes longer than `step`
-                move = table[state[:, :n] * width + flat[begin[:n] + step]]
+                code = flat[begin[:n] + step]
+                move = table[state[:, :n] * width + np.where(code < width, code, 0)]
+                rare = np.flatnonzero(code >= width)
+                if len(rare):
+                    move[:, rare] = self._rare_moves(state[:, rare], code[rare])
                 count[:, :n] += move >> 30
                 state[:, :n] = move & (_RESTART - 1)
             count += 1  # the phrase that the end cuts

@@ -270,6 +270,27 @@ def test_phrases_equal_plain_parsing():
         assert list(got) == want or all(abs(g - w) <= 1 for g, w in zip(got, want, strict=True))
 
 
+def test_language_of_many_characters():
+    """Characters beyond the table tell languages apart, and parse like the others."""
+    r = np.random.default_rng(2)
+    scripts = {"x": range(0x4E00, 0x4E00 + 400), "y": range(0xAC00, 0xAC00 + 400), "z": range(0x430, 0x440)}
+    draw = lambda name, n: "".join(map(chr, r.choice(list(scripts[name]), n)))
+    samples = {"x": draw("x", 3000), "y": draw("y", 2000), "z": draw("z", 100)}
+    parser = language.CrossParser(samples)
+    for name, sample in samples.items():
+        text = sample[20:60] + sample[:30] + "q"
+        got, plain = parser.phrases(parser.table(), [parser.codes(text)])[0], language.plain(text)
+        for k, other in enumerate(parser.languages):
+            i, n, learned = 0, 0, language.plain(samples[other])
+            while i < len(plain):
+                j = i + 1
+                while j < len(plain) and plain[i : j + 1] in learned:
+                    j += 1
+                n, i = n + 1, j
+            assert abs(got[k] - n) <= 1
+        assert parser.languages[int((got * np.log2(parser.sizes)).argmin())] == name
+
+
 def test_language_messy(messy, messy_rows):
     rows = language.identify(messy, messy.filter("lang is not null")).collect()
     assert len(rows) == len(messy_rows)
