@@ -50,6 +50,13 @@ FURNITURE_WORDS = frozenset(
 #: Words that mark the article itself, stronger than the ones above.
 ARTICLE_WORDS = frozenset("article articlebody post postbody entry story main maincontent content".split())
 
+#: Words that say of the next one that it is beside the element, not in it.
+LAYOUT_WORDS = frozenset("with has no without".split())
+#: Furniture tags that can also hold a whole page.
+WRAPPER_TAGS = frozenset("form fieldset".split())
+#: A block of as many words outside links is a text of its own.
+LONG_WORDS = 20
+
 #: Tags that a word of their class does not make page furniture: it names the layout.
 FRAME_TAGS = frozenset("html body article main".split())
 
@@ -73,6 +80,8 @@ class Block:
     listed: bool = False
     furniture: bool = False
     article: bool = False
+    #: Elements around the block that may be wrappers of the page, not furniture.
+    wrappers: frozenset[int] = frozenset()
 
     @property
     def density(self) -> float:
@@ -84,6 +93,7 @@ class _Open:
     tag: str
     furniture: bool
     article: bool
+    wrapper: int = 0
 
 
 @dataclass
@@ -94,22 +104,46 @@ class _Flow:
     linked: list[bool] = field(default_factory=list)
 
 
-def _marks(tag: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is page furniture, and whether it is the article."""
+def _names(value: str) -> Iterator[set[str]]:
+    """Words of each name in a class, id or role, without those that name the layout."""
+    for name in re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value.replace(" ", "\n")).lower().split("\n"):
+        words = re.findall("[a-z0-9]+", name)
+        yield {w for before, w in zip(["", *words], words, strict=False) if before not in LAYOUT_WORDS}
+
+
+def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether an element is page furniture, whether it is the article, and whether
+    it is furniture only as long as it does not hold most of the page."""
     furniture, article = tag in FURNITURE_TAGS, tag in ("article", "main")
+    hidden, named, weak = bool(_HIDDEN.search(attrs)), False, False
     for m in _ATTRIBUTE.finditer(attrs):
         if m[1].lower() in ("class", "id", "role", "itemprop", "aria-label"):
-            value = m[2] or m[3] or m[4] or ""
-            value = re.sub(r"([a-z0-9])([A-Z])", r"\1 \2", value).lower()
-            words = set(re.split(r"[^a-z0-9]+", value))
-            named = bool(words & ARTICLE_WORDS)
-            if tag not in FRAME_TAGS and (words & FURNITURE_WORDS or "header" in words and not named):
-                furniture = True
-            elif named:
-                article = True
+            for words in _names(m[2] or m[3] or m[4] or ""):
+                # A name of both (comment-content) is a part of the furniture.
+                weak |= bool(words & FURNITURE_WORDS) or "header" in words and not words & ARTICLE_WORDS
+                named |= bool(words & ARTICLE_WORDS) and not words & FURNITURE_WORDS
         elif m[1].lower() == "style" and re.search(r"display\s*:\s*none", m[0], re.I):
-            furniture = True
-    return furniture or bool(_HIDDEN.search(attrs)), article
+            hidden = True
+    weak &= tag not in FRAME_TAGS and not named
+    loose = not hidden and (tag in WRAPPER_TAGS or weak and not furniture)
+    return furniture or weak or hidden, article or named, loose
+
+
+def _unwrap(page: list[Block]) -> None:
+    """Furniture marks go from elements that hold most of the page's words, with no
+    long text beside them; the outer ones first."""
+    total = sum(b.words - b.linked for b in page)
+    held: dict[int, int] = {}
+    for b in page:
+        for k in b.wrappers:
+            held[k] = held.get(k, 0) + b.words - b.linked
+    for k in sorted(k for k, n in held.items() if 2 * n > total):
+        beside = (b for b in page if k not in b.wrappers and not b.furniture and not b.wrappers)
+        if not any(b.words - b.linked >= LONG_WORDS for b in beside):
+            for b in page:
+                b.wrappers -= {k}
+    for b in page:
+        b.furniture |= bool(b.wrappers)
 
 
 def blocks(page: str) -> list[Block]:
@@ -126,13 +160,13 @@ def blocks(page: str) -> list[Block]:
             n = len(text.split())
             linked = min(n, sum(count(p) for p, in_link in zip(flow.parts, flow.linked, strict=True) if in_link))
             tags = [o.tag for o in stack]
-            inner = next((o for o in reversed(stack) if o.furniture or o.article), None)
             header = "header" in tags and not any(o.article for o in stack)
             article = any(o.article for o in stack)
             out.append(Block(
                 text, n, linked, any(re.fullmatch("h[1-6]", t) for t in tags),
                 any(t in ("li", "dd", "dt", "option") for t in tags),
-                header or bool(inner and inner.furniture) or any(o.furniture for o in stack), article,
+                header or any(o.furniture and not o.wrapper for o in stack), article,
+                frozenset(o.wrapper for o in stack if o.wrapper),
             ))
         flow.parts.clear()
         flow.linked.clear()
@@ -170,9 +204,11 @@ def blocks(page: str) -> list[Block]:
                     stack.pop()
             if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1].tag == tag:
                 stack.pop()  # its end tag was left out
-            stack.append(_Open(tag, *_marks(tag, m["attrs"])))
+            furniture, article, loose = _marks(tag, m["attrs"])
+            stack.append(_Open(tag, furniture, article, m.end() if loose else 0))
     add(page[at:])
     flush()
+    _unwrap(out)
     return out
 
 
@@ -186,7 +222,10 @@ FEATURES = (
 
 def features(page: list[Block]) -> list[list[float]]:
     nothing = Block("")
-    marked = float(any(b.article and not b.furniture for b in page))
+    # An article that holds less text than what stands beside it is a teaser.
+    plain = [b for b in page if not b.furniture]
+    own = sum(b.words - b.linked for b in plain if b.article)
+    marked = float(any(b.article for b in plain) and 2 * own >= sum(b.words - b.linked for b in plain))
     rows = []
     for i, b in enumerate(page):
         before = page[i - 1] if i else nothing

@@ -319,6 +319,24 @@ def test_html(spark):
     assert html_text.extract(pages).count() == len(rows)
 
 
+def test_html_wrappers_and_teasers():
+    tree = html_text.grow(html_text.LABELLED)
+    text = " ".join(f"<p>Paragraph {i} {'says a few more words ' * 8}</p>" for i in range(4))
+    plain = " ".join(f"Paragraph {i} {'says a few more words ' * 8}".strip() for i in range(4))
+    nav, foot = "<nav><a href=/>Home</a></nav>", "<footer>legal words here</footer>"
+    note = "<section id=comments><p>" + "I have something to say too. " * 20 + "</p></section>"
+    for page in (
+        f"<body>{nav}<div class='content with-sidebar'>{text}</div>{foot}</body>",
+        f"<body><form action=/x>{nav}<div>{text}</div>{foot}</form></body>",
+        f"<body>{nav}<div class=social><div class=related>{text}</div></div>{foot}</body>",
+        f"<body>{nav}<div>{text}</div>{note}{foot}</body>",
+        f"<body>{nav}<article>{text}</article><div class=comment-content>{note}</div>{foot}</body>",
+    ):
+        assert html_text.main_text(page, tree) == plain
+    teaser = f"<body>{nav}<div>{text}</div><article><p>Read on</p></article>{foot}</body>"
+    assert plain in html_text.main_text(teaser, tree)
+
+
 def test_html_given_pages(spark):
     for r in html_text.extract(spark.read.parquet(f"{FOLDER}/pages.parquet")).collect():
         assert "©" not in r.text and "  " not in r.text and r.n_chars == len(r.text)
