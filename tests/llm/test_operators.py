@@ -193,6 +193,26 @@ def test_secret_net_on_unseen_findings(documents):
     assert (p[y == 0] >= detector.thresholds["token"]).mean() <= 0.03
 
 
+def test_secret_labels_and_threshold():
+    """Known keys in documents are secrets, unknown random ones unlabelled; no floor on the threshold."""
+    r = np.random.default_rng(4)
+    draw = lambda n: "Aa1" + "".join(r.choice(list(secrets._ALNUM), n - 3))
+    for lead, key, want in (
+        ("push with ", "ghp_" + draw(36), 1), ("see ", "glpat-" + draw(20), 1), ("jwt ", "eyJ" + draw(90), 1),
+        ("Authorization: Bearer ", draw(40), 1), ("an unknown ", draw(30), None),
+        ("see www.", "somewhere12.example.com/p1", 0), ("the word ", "well-known-thing-7", 0),
+    ):
+        text = lead + key + " and so on"
+        spans = secrets.token_spans(text, secrets.base_spans(text))
+        assert [secrets.label_of(text, *span) for span in spans] == [want]
+    # secrets that read like look-alikes: their calibrated probability is below an even chance
+    found = [("token", w, 1 if k % 5 == 0 else 0) for k, w in enumerate(
+        w for _ in range(400) for w in secrets.windows(" " + draw(24) + " ", 1, 25)
+    )]
+    detector = secrets.train(found)
+    assert detector.thresholds["token"] < 0.5 and list(detector.thresholds) == ["token"]
+
+
 def test_secret_net_adds_nothing_to_clean_documents(documents):
     rows = secrets.scan(documents).collect()
     added = [r for r in rows if "token:" in r.spans]
