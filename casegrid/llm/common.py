@@ -64,3 +64,36 @@ def share(spark: SparkSession, value):
 
 def shared_value(shared):
     return pickle.loads(shared.value)
+
+
+class Memo(dict):
+    """Bounded cache of a function: two generations, the older one dropped when the younger is full."""
+
+    def __init__(self, fn, limit: int, keeps=None):
+        super().__init__()
+        self.fn, self.limit, self.keeps, self.old = fn, limit, keeps, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.fn(key)
+            if self.keeps is not None and not self.keeps(key):
+                return value
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def share_kept(spark: SparkSession, value):
+    """Like `share`, in a list: `kept_value` puts what it makes of the value in its place."""
+    return spark.sparkContext.broadcast([cloudpickle.dumps(value)])
+
+
+def kept_value(shared, make):
+    """What `make` builds from a shared value, once in the life of a Python worker process."""
+    box = shared.value
+    if isinstance(box[0], bytes):
+        box[0] = make(pickle.loads(box[0]))
+    return box[0]
