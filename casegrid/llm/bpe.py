@@ -3,8 +3,10 @@
 Tier one resolves a pre-token that is itself in the vocabulary: one hash, one
 displacement, one comparison.  Tier two merges the bytes of any other pre-token:
 a linked list of parts, and a heap of neighbouring pairs by rank and position.
-Both write through a bounded cache of packed ids.  The vocabulary, a fixed file,
-is the only thing broadcast.
+Merges work on integers: one table names the token that two ids make.  Both
+tiers write through a bounded cache of packed ids, which a worker process keeps
+from task to task with the encoder.  The vocabulary, a fixed file, is the only
+thing broadcast; its hash is built once a driver.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ import hashlib
 import heapq
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -21,12 +24,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import share, shared_value
+from .common import Memo, kept_value, share_kept
 
 #: Keys per bucket of the hash.
-BUCKET = 4
-#: Distinct pre-tokens whose ids a task keeps; the cache is emptied beyond.
-CACHE = 300_000
+BUCKET = 2
+#: Distinct pre-tokens whose ids a worker process keeps (twice: this generation and the last),
+#: and the longest one that is kept.
+CACHE = 400_000
+KEPT_LENGTH = 64
 #: Longest text whose pre-tokens are listed at once; longer ones go by slices of this many.
 LISTED = 1 << 20
 SLICE = 1 << 16
@@ -38,6 +43,12 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
+@lru_cache(maxsize=4)
+def perfect_hash(path: str) -> PerfectHash:
+    """Hash of a vocabulary file, built once in the life of a driver."""
+    return PerfectHash(list(read_ranks(path)))
+
+
 def _hash(key: bytes) -> int:
     import xxhash
 
@@ -95,57 +106,81 @@ class PerfectHash:
         return slot if self.slots[slot] == key else -1
 
 
-def merge_bytes(data: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: always the lowest rank first, the leftmost of equals."""
-    n = len(data)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]
+def pair_table(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Left id and right id, packed into one integer, to the id of the token they make."""
+    table = {}
+    for token, made in ranks.items():
+        for cut in range(1, len(token)):
+            left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+            if left is not None and right is not None:
+                table[left << 32 | right] = made
+    return table
+
+
+def merge_ids(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """Merge the ids of single bytes: always the lowest rank first, the leftmost of equals.
+
+    A heap entry is a rank and the position of the left part in one integer; it
+    is stale unless the two parts that stand there now still make that rank.
+    """
+    n = len(ids)
+    find, push, pop = pairs.get, heapq.heappush, heapq.heappop
+    heap = [
+        made << 32 | i for i in range(n - 1) if (made := find(ids[i] << 32 | ids[i + 1])) is not None
+    ]
+    if not heap:
+        return ids
     heapq.heapify(heap)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    parts = [*ids, -1]  # -1: merged into its left neighbour, or the end
     while heap:
-        _, i, end = heapq.heappop(heap)
+        entry = pop(heap)
+        made, i = entry >> 32, entry & 0xFFFFFFFF
         middle = after[i]
-        if not 0 < middle < n or after[middle] != end:
-            continue  # a part of this pair has been merged meanwhile
-        after[i], after[middle] = end, -1
+        left, right = parts[i], parts[middle]
+        if left < 0 or right < 0 or find(left << 32 | right) != made:
+            continue
+        parts[i], parts[middle] = made, -1
+        end = after[i] = after[middle]
         if end < n:
             before[end] = i
-            stop = after[end]
-            if (r := ranks.get(data[i:stop])) is not None:
-                heapq.heappush(heap, (r, i, stop))
-        if (left := before[i]) >= 0 and (r := ranks.get(data[left:end])) is not None:
-            heapq.heappush(heap, (r, left, end))
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[data[i : after[i]]])
-        i = after[i]
-    return out
+            if (new := find(made << 32 | parts[end])) is not None:
+                push(heap, new << 32 | i)
+        start = before[i]
+        if start >= 0 and (new := find(parts[start] << 32 | made)) is not None:
+            push(heap, new << 32 | start)
+    return [part for part in parts if part >= 0]
 
 
-class Encoder(dict):
-    """Pre-token -> ids packed as little-endian unsigned 32-bit integers."""
+class Encoder:
+    """Pre-token -> ids packed as little-endian unsigned 32-bit integers, through a bounded cache."""
 
     def __init__(self, ranks: dict[bytes, int], table: PerfectHash, pattern: str):
         import regex
 
         self.ranks, self.table = ranks, table
+        self.pairs = pair_table(ranks)
+        self.byte_ids = [ranks[bytes([b])] for b in range(256)]
         self.slot_ids = [ranks[key] for key in table.slots]
         self.split = regex.compile(pattern)
         self.vocabulary = {rank: token for token, rank in ranks.items()}
+        self.words = Memo(self._word, CACHE, lambda word: len(word) <= KEPT_LENGTH)
 
-    def __missing__(self, word: str) -> bytes:
+    def _word(self, word: str) -> bytes:
         data = word.encode("utf-8", "surrogatepass")
         slot = self.table.find(data)
-        ids = [self.slot_ids[slot]] if slot >= 0 else merge_bytes(data, self.ranks)
-        if len(self) >= CACHE:
-            self.clear()
-        packed = self[word] = struct.pack(f"<{len(ids)}I", *ids)
-        return packed
+        if slot >= 0:
+            ids = [self.slot_ids[slot]]
+        else:
+            ids = merge_ids([self.byte_ids[b] for b in data], self.pairs)
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def encode(self, text: str) -> bytes:
+        find = self.words.__getitem__
         if len(text) <= LISTED:
-            return b"".join(map(self.__getitem__, self.split.findall(text)))
+            return b"".join(map(find, self.split.findall(text)))
         words, out = (m.group() for m in self.split.finditer(text)), []
-        while part := b"".join(map(self.__getitem__, islice(words, SLICE))):
+        while part := b"".join(map(find, islice(words, SLICE))):
             out.append(part)
         return b"".join(out)
 
@@ -159,7 +194,7 @@ class Encoder(dict):
 
 def _kernel(shared, pattern: str, with_ids: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = Encoder(*shared_value(shared), pattern)
+        encoder = kept_value(shared, lambda value: Encoder(*value, pattern))
         for batch in batches:
             rows = []
             for doc, text in zip(batch["doc_id"], batch["text"], strict=True):
@@ -188,7 +223,7 @@ def encode_documents(
     as they went in; other columns are ignored; an empty table gives no rows.
     """
     ranks = read_ranks(ranks_path)
-    shared = share(docs.sparkSession, (ranks, PerfectHash(list(ranks))))
+    shared = share_kept(docs.sparkSession, (ranks, perfect_hash(ranks_path)))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     if with_ids:
         schema += ", ids binary, decoded binary"
