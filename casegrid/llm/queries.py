@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, html_text, jaccard, language, lines, mixing, quality, secrets
+from . import (
+    bpe, centroids, chat, fingerprint, html_text, jaccard, language, lines, mixing, pieces, quality, secrets, spelling,
+)
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,3 +224,95 @@ FROM e LEFT JOIN k USING (key) GROUP BY doc_id
 def op10(spark, sf):
     kept = lines.dedup_lines(table(spark, sf, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: Two words are near where one is the other without a letter, or both are the same without
+#: their letter at one place.  The polynomial is the reflected one of crc32 (fixed value).
+OP11_SQL = r"""
+WITH RECURSIVE tab AS MATERIALIZED (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(range(8), lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc, unnest(regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+      FROM documents),
+o AS (SELECT doc, run, count(*) AS n, hex(encode(doc || ':' || run)) AS bytes FROM d GROUP BY doc, run),
+h AS (
+  SELECT run, n, xor(list_reduce(
+    list_transform(range(length(bytes) // 2), lambda i: CAST('0x' || bytes[2 * i + 1:2 * i + 2] AS BIGINT)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) AS h
+  FROM o, tab),
+w AS MATERIALIZED (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2)
+                   ELSE run END AS word FROM h)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+v AS MATERIALIZED (
+  SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS part
+  FROM (SELECT *, CAST(unnest(range(length(word))) AS BIGINT) AS i FROM w)),
+p AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM v a JOIN v b USING (i, part) WHERE a.word <> b.word
+  UNION SELECT v.word, w.word, w.n FROM v JOIN w ON w.word = v.part
+  UNION SELECT w.word, v.word, v.n FROM v JOIN w ON w.word = v.part),
+f AS MATERIALIZED (
+  SELECT word, count(*) AS n_near, arg_min(other, (-other_n, other)) AS form, max(other_n) AS form_n
+  FROM p GROUP BY word),
+l AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * w.n THEN form END AS form,
+         CASE WHEN form_n >= 2 * w.n THEN form_n END AS form_n
+  FROM w LEFT JOIN f USING (word)),
+r AS (
+  SELECT word, coalesce(form, word) AS at, form IS NULL AS done FROM l
+  UNION ALL
+  SELECT r.word, coalesce(l.form, r.at), l.form IS NULL FROM r JOIN l ON l.word = r.at WHERE NOT done)
+SELECT l.word, l.form, r.at AS root, l.n, l.n_near, l.form_n FROM l JOIN r ON r.word = l.word AND r.done
+"""
+
+
+@query("op11_spelling_variants", OP11_SQL)
+def op11(spark, sf):
+    counted = spelling.word_counts(table(spark, sf, "documents"))
+    return spelling.group_variants(counted)
+
+
+def _op12_sql(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    far = f"CAST(list_sum(list_transform(range(1, {dims + 1}), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS BIGINT)"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, x, arg_min(j, (dist, j)) AS cluster, min(dist) AS distance
+  FROM (SELECT row, vec_id, x, j, {far} AS dist FROM v, c{r}) GROUP BY row, vec_id, x),
+c{r + 1} AS MATERIALIZED (
+  SELECT j, coalesce(m.c, o.c) AS c FROM c{r} o LEFT JOIN (
+    SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY i) AS c FROM (
+      SELECT cluster, i, CAST(sum(x[i]) AS BIGINT) AS s, count(*) AS n
+      FROM a{r}, (SELECT unnest(range(1, {dims + 1})) AS i) GROUP BY cluster, i) GROUP BY cluster) m
+  ON m.cluster = j)""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id,
+         list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = {dims}
+    AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = {dims}),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS INTEGER) AS j, x AS c
+  FROM v ORDER BY sha256('2:' || vec_id), x LIMIT {k}),
+{", ".join(steps)}
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON j = cluster
+"""
+
+
+@query("op12_centroid_clusters", _op12_sql())
+def op12(spark, sf):
+    return centroids.cluster(table(spark, sf, "embeddings"))
+
+
+#: The model file of op13.
+MODEL = "piece_bpe_32k.model"
+
+
+@query("op13_sentencepiece")
+def op13(spark, sf):
+    return pieces.encode_pieces(table(spark, sf, "documents"), public_tokenizers.path(MODEL))
