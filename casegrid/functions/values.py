@@ -25,6 +25,23 @@ def nan_to_null(c) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+# --- filled columns ------------------------------------------------------------
+
+def fill_missing_id(key, row_id, pattern: str = "UNK-%04d") -> Column:
+    """The id, or one made from the number of the row where it has none."""
+    return F.coalesce(as_col(key).cast("string"), F.format_string(pattern, as_col(row_id)))
+
+
+def coalesce_key(*columns, default: str = "Unknown") -> Column:
+    """The first known of several columns, trimmed; the default where all are NULL."""
+    return F.trim(F.coalesce(*[as_col(c) for c in columns], F.lit(default)))
+
+
+def fill_year(year, date) -> Column:
+    """The year, or that of the date where it is NULL."""
+    return F.coalesce(as_col(year), F.year(as_col(date)))
+
+
 # --- age groups ----------------------------------------------------------------
 
 def age_cut(age, edges=K.AGE_CUT_EDGES, labels=K.AGE_CUT_LABELS) -> Column:

@@ -16,6 +16,7 @@ from .clusters import (
 )
 from .dbscan import dbscan, dbscan_grid_labels
 from .kmeans import fit_kmeans
+from .labellings import score_labellings
 from .scaling import Scaler
 
 
@@ -25,7 +26,9 @@ def dbscan_grid(
 ) -> DataFrame:
     """Clusters, noise and quality for every (eps, min_samples) pair.
 
-    The silhouette is the linear squared one unless the ``exact`` one is asked for.
+    All pairs are labelled through the same joins and scored together.  The
+    silhouette is the linear squared one unless the ``exact`` one is asked for,
+    which compares all points of one pair after the other.
     """
     features = list(features)
     spark = df.sparkSession
@@ -33,33 +36,31 @@ def dbscan_grid(
     scaled = cut_lineage(
         Scaler.fit(df, features).transform(df.select(row_id, *features), prefix="_z_")
     )
-    params = [(e, m) for e in eps_list for m in min_samples_list]
+    params = [(float(e), int(m)) for e in eps_list for m in min_samples_list]
     labels = cut_lineage(dbscan_grid_labels(scaled, z, params, row_id))
+    one = F.count(F.lit(1))
     noise = labels.groupBy("g").agg(
-        F.count_distinct(F.when(F.col("label") >= 0, F.col("label"))).alias("n_clusters"),
         F.count_if(F.col("label") < 0).alias("n_noise"),
-        (F.count_if(F.col("label") < 0) * 100.0 / F.count(F.lit(1))).alias("noise_pct"),
+        (F.count_if(F.col("label") < 0) * 100.0 / one).alias("noise_pct"),
     )
-    stats = {r["g"]: r for r in noise.collect()}  # one row per parameter pair
-    rows = []
-    for g, (eps, min_samples) in enumerate(params):
-        s = stats[g]
-        sil = db = None
-        if s["n_clusters"] > 1:
-            labelled = (
-                scaled.join(labels.filter(F.col("g") == g), row_id)
-                .withColumn("cluster", F.col("label").cast("bigint"))
-            )
-            sil = _silhouette(labelled, z, exact)
-            db = davies_bouldin(labelled, z).first()[0]
-        rows.append(
-            (float(eps), int(min_samples), s["n_clusters"], s["n_noise"],
-             float(s["noise_pct"]), sil, db)
-        )
-    return spark.createDataFrame(
-        rows,
-        "eps double, min_samples int, n_clusters bigint, n_noise bigint, "
-        "noise_pct double, silhouette double, davies_bouldin double",
+    labelled = scaled.select(row_id, *z).join(labels, row_id).withColumn(
+        "cluster", F.col("label").cast("bigint")
+    )
+    scores = score_labellings(labelled, z).withColumnRenamed("silhouette_squared", "silhouette")
+    if exact:
+        found = []
+        for r in scores.filter("n_clusters > 1").select("g").collect():  # at most one a pair
+            own = labelled.filter(F.col("g") == r["g"])
+            found.append((r["g"], silhouette_exact(silhouette_samples(own, z)).first()[0]))
+        euclidean = spark.createDataFrame(found, "g int, silhouette double")
+        scores = scores.drop("silhouette").join(F.broadcast(euclidean), "g", "left")
+    pairs = spark.createDataFrame(
+        [(g, *p) for g, p in enumerate(params)], "g int, eps double, min_samples int"
+    )
+    return pairs.join(noise, "g", "left").join(scores, "g", "left").select(
+        "eps", "min_samples", F.coalesce("n_clusters", F.lit(0)).alias("n_clusters"),
+        F.coalesce("n_noise", F.lit(0)).alias("n_noise"), "noise_pct", "silhouette",
+        "davies_bouldin",
     )
 
 

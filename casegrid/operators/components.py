@@ -1,4 +1,10 @@
-"""Connected components by alternating large-star and small-star steps."""
+"""Connected components by alternating large-star and small-star steps.
+
+Late rounds are stars: nearly every node of a large component is a neighbour of
+its least one.  A node's least neighbour is found with partial minima, and handed
+to the node's edges by a lookup that broadcasts it for nodes with many edges, so
+the edges of such a hub are dealt over all tasks.
+"""
 
 from __future__ import annotations
 
@@ -6,6 +12,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .lookups import lookup
 
 
 def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -22,23 +29,26 @@ def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return written, (seen.get["n"], seen.get["content"])
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select("g", F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("g", "u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    least = both.groupBy("g", "u").agg(
+        F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("degree")
+    )
     return (
-        both.filter(F.col("v") > F.col("u"))
-        .join(least, ["g", "u"])
+        lookup(both.filter(F.col("v") > F.col("u")), least, ["g", "u"], "degree", 2 * n)
         .select("g", F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
     down = edges.select(
         "g", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).filter(F.col("u") != F.col("v"))
-    least = down.groupBy("g", "u").agg(F.min("v").alias("m"))
-    linked = down.join(least, ["g", "u"]).select("g", F.col("v").alias("u"), F.col("m").alias("v"))
+    least = down.groupBy("g", "u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
+    linked = lookup(down, least, ["g", "u"], "degree", n).select(
+        "g", F.col("v").alias("u"), F.col("m").alias("v")
+    )
     own = least.select("g", "u", F.col("m").alias("v"))
     return linked.unionByName(own).filter(F.col("u") != F.col("v")).distinct()
 
@@ -57,7 +67,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     )
     while state[0]:
         before = state
-        current, state = _settled(_small_star(_large_star(current)))
+        # a large star has no more edges than there are, so n bounds both steps
+        current, state = _settled(_small_star(_large_star(current, state[0]), state[0]))
         if state == before:
             break
     root = current.groupBy("g", F.col("u").alias("node")).agg(F.min("v").alias("root"))

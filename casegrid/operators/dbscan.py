@@ -11,9 +11,9 @@ Two full cells belong together when some point of one lies within eps of some
 point of the other.  That is decided on bounding boxes, which are split and
 compared again only while undecided; boxes with few points are compared point
 by point.  Very full cells are salted wherever their points take part in a
-pairwise join; looking up the facts of a cell is a plain join on the cell, whose
-oversized partitions adaptive execution splits.  All parameter pairs run through
-the same joins under a parameter id.
+pairwise join; the facts of a cell, the label of a cell or component and the
+label of a position reach their rows by lookups that broadcast what many rows
+ask for.  All parameter pairs run through the same joins under a parameter id.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .components import connected_components
+from .lookups import lookup
 from .ordering import with_global_row_number
 
 NOISE = -1
@@ -139,9 +140,12 @@ def _shifted(grid: _Grid, offsets) -> Column:
 
 
 def _full_cell_edges(
-    placed: DataFrame, cells: DataFrame, grid: _Grid, direct_pairs: int
+    located: DataFrame, cells: DataFrame, grid: _Grid, direct_pairs: int
 ) -> DataFrame:
-    """Pairs of full cells with some two points within eps."""
+    """Pairs of full cells with some two points within eps.
+
+    `located` are the points with the facts of their cell.
+    """
     half = [o for o in grid.offsets() if o > tuple([0] * grid.d)]
     if not half:
         raise ValueError("at least one feature is needed")
@@ -169,9 +173,7 @@ def _full_cell_edges(
     root = [F.lit(0).cast("bigint").alias(f"{p}{s}") for p in ("a", "b") for s in grid.subs]
     state = cut_lineage(judged(pairs, root))
     edges = state.filter("sure").select("g", "u", "v")
-    full_points = _with_sub_position(
-        placed.join(full.select("g", "node", "n", *grid.cells), ["g", *grid.cells]), grid
-    )
+    full_points = _with_sub_position(located.filter("full"), grid)
     bits = 0
     while True:
         settled = edges.distinct()
@@ -250,14 +252,12 @@ def _full_cell_edges(
     return edges
 
 
-def _thin_cell_neighbours(placed: DataFrame, cells: DataFrame, grid: _Grid) -> DataFrame:
+def _thin_cell_neighbours(located: DataFrame, cells: DataFrame, grid: _Grid) -> DataFrame:
     """(g, point, node, weight): what each point of a thin cell sees within eps.
 
     A node is a full cell as a whole or a single point of a thin cell.
     """
-    thin = placed.join(
-        cells.filter(~F.col("full")).select("g", *grid.cells), ["g", *grid.cells]
-    )
+    thin = located.filter(~F.col("full"))
     probes = thin.withColumn("_o", F.explode(_shifted(grid, grid.offsets()))).select(
         "g", "eps", "pt", *grid.features, *[F.col(f"_o.n_{c}").alias(c) for c in grid.cells]
     )
@@ -281,9 +281,7 @@ def _thin_cell_neighbours(placed: DataFrame, cells: DataFrame, grid: _Grid) -> D
         "g", "pt", "_e2", "full", "node", *grid.features, *grid.cells,
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
     )
-    salted = placed.join(
-        cells.select("g", *grid.cells, "salts"), ["g", *grid.cells]
-    ).select(
+    salted = located.select(
         "g", F.col("pt").alias("q"), "w", *grid.features, *grid.cells,
         F.pmod(F.xxhash64("pt"), F.col("salts")).cast("int").alias("salt"),
     )
@@ -335,7 +333,10 @@ def dbscan_grid_labels(
             }
         )
     )
-    seen = cut_lineage(_thin_cell_neighbours(placed, cells, grid))
+    total = placed.count()
+    facts = cells.select("g", *grid.cells, "node", "full", "salts", "n", F.col("n").alias("_asked"))
+    located = cut_lineage(lookup(placed, facts, ["g", *grid.cells], "_asked", total))
+    seen = cut_lineage(_thin_cell_neighbours(located, cells, grid))
     needs = F.array(*[F.lit(int(m)) for _, m in params])
     thin_core = (
         seen.groupBy("g", F.col("pt").alias("node")).agg(F.sum("weight").alias("weight"))
@@ -349,7 +350,7 @@ def dbscan_grid_labels(
     thin_edges = reach.join(
         thin_core.select("g", F.col("node").alias("pt")), ["g", "pt"], "left_semi"
     ).select("g", F.col("pt").alias("u"), F.col("node").alias("v"))
-    edges = thin_edges.unionByName(_full_cell_edges(placed, cells, grid, direct_pairs))
+    edges = thin_edges.unionByName(_full_cell_edges(located, cells, grid, direct_pairs))
     parts = cut_lineage(connected_components(nodes, edges))
 
     ordered = with_global_row_number(
@@ -359,18 +360,21 @@ def dbscan_grid_labels(
     labels = ordered.join(firsts, "g").select(
         "g", "component", (F.col("_rn") - F.col("_first")).cast("int").alias("label")
     )
-    core_labels = parts.join(labels, ["g", "component"]).select("g", "node", "label")
-
-    full_points = (
-        placed.join(cells.filter("full").select("g", "node", *grid.cells), ["g", *grid.cells])
-        .join(core_labels, ["g", "node"])
-        .select("g", "pt", "label", F.lit(True).alias("core"))
+    members = parts.groupBy("g", "component").agg(F.count(F.lit(1)).alias("_asked"))
+    core_labels = cut_lineage(
+        lookup(
+            parts, labels.join(members, ["g", "component"]), ["g", "component"], "_asked",
+            parts.count(),
+        ).select("g", "node", "label")
     )
+
+    cell_labels = core_labels.join(full_points_of(cells), ["g", "node"])
+    full_points = lookup(
+        located.filter("full").select("g", "node", "pt"), cell_labels, ["g", "node"], "_asked", total
+    ).select("g", "pt", "label", F.lit(True).alias("core"))
     own = core_labels.select("g", F.col("node").alias("pt"), F.col("label").alias("_own"))
     thin_points = (
-        placed.join(
-            cells.filter(~F.col("full")).select("g", *grid.cells), ["g", *grid.cells]
-        )
+        located.filter(~F.col("full"))
         .select("g", "pt")
         .join(own, ["g", "pt"], "left")
         .join(
@@ -383,14 +387,24 @@ def dbscan_grid_labels(
             F.col("_own").isNotNull().alias("core"),
         )
     )
-    point_labels = full_points.unionByName(thin_points)
+    # one entry for each position, so that the rows are looked up once
+    point_labels = full_points.unionByName(thin_points).groupBy("pt").agg(
+        F.collect_list(F.struct("g", "label", "core")).alias("labels")  # as many as pairs
+    )
+    found = points.join(point_labels, "pt").select(
+        *grid.features, "labels", F.col("w").alias("_asked")
+    )
     return (
-        rows.join(points.select("pt", *grid.features), grid.features)
-        .join(point_labels, "pt")
-        .select("g", row_id, "label", "core")
+        lookup(rows, found, grid.features, "_asked", rows.count())
+        .select(row_id, F.inline("labels")).select("g", row_id, "label", "core")
     )
 
 
+def full_points_of(cells: DataFrame) -> DataFrame:
+    """(g, node, _asked): full cells and how many distinct points they hold."""
+    return cells.filter("full").select("g", "node", F.col("n").alias("_asked"))
+
+
 def dbscan(df: DataFrame, features, eps: float, min_samples: int, row_id="row_id", **kw):
     """(row_id, label, core) for one parameter pair."""
     return dbscan_grid_labels(df, features, [(eps, min_samples)], row_id, **kw).drop("g")

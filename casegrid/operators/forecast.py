@@ -23,7 +23,10 @@ from .ordering import latest_per_group, top_n, with_global_row_number
 from .scaling import Scaler, hash_split
 from .summaries import lag_previous, location_centroid, panel
 
-_PARALLEL_FITS = 4
+_PARALLEL_FITS = 8
+#: Rows of one task of a fit: a fit runs hundreds of short jobs, which a small panel
+#: split over many tasks only slows down.
+_FIT_ROWS = 50_000
 
 
 # --- features ------------------------------------------------------------------
@@ -141,6 +144,10 @@ def _assemble(df: DataFrame, scaler: Scaler) -> DataFrame:
     ).transform(scaler.transform(df, prefix="_z_"))
 
 
+def _compact(data: DataFrame, n: int) -> DataFrame:
+    return data.coalesce(max(1, -(-n // _FIT_ROWS)))
+
+
 def fit_counts(
     train: DataFrame, kind: str, params: dict | None = None, features=K.PANEL_FEATURES,
     label="case_count",
@@ -150,8 +157,8 @@ def fit_counts(
     data = _assemble(train, scaler).select("features", F.col(label).cast("double").alias("label"))
     data = data.persist()
     try:
-        mean = data.agg(F.avg("label")).first()[0]
-        model = build_estimator(kind, params, mean).fit(data)
+        mean, n = data.agg(F.avg("label"), F.count(F.lit(1))).first()
+        model = build_estimator(kind, params, mean).fit(_compact(data, n))
     finally:
         data.unpersist()
     return CountModel(kind, model, scaler, params)
@@ -210,6 +217,55 @@ def expand_grid(grid: dict) -> list[dict]:
     return [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
 
 
+def _families(kind: str, candidates: list[dict]) -> list[tuple[dict, list[int]]]:
+    """Candidates that one fit answers: (parameters to fit, their positions).
+
+    The first n trees of a boosted model are the model of n trees, so only the
+    largest number is fitted; a Poisson fit that ended before a smaller limit of
+    iterations is the fit under that limit too.
+    """
+    varied = {"gradient_boosting": "n_estimators", "poisson": "max_iter"}[kind]
+    default = {"gradient_boosting": 100, "poisson": 100}[kind]
+    families: dict = {}
+    for i, c in enumerate(candidates):
+        key = tuple(sorted((k, v) for k, v in c.items() if k != varied))
+        families.setdefault(key, []).append((c.get(varied, default), i))
+    return [
+        ({**dict(key), varied: max(n for n, _ in members)}, [i for _, i in members])
+        for key, members in families.items()
+    ]
+
+
+def _fold_scores(
+    kind: str, scoring: str, candidates: list[dict], family, mean: float, fit_rows: DataFrame,
+    test_rows: DataFrame,
+) -> list[tuple[int, float]]:
+    """(position, score) of every candidate of a family on one fold."""
+    params, members = family
+    model = build_estimator(kind, params, mean).fit(fit_rows)
+    if kind == "gradient_boosting":
+        mse = model.evaluateEachIteration(test_rows, "squared")  # after 1, 2, ... trees
+        spread = 1.0 if scoring == "neg_mse" else test_rows.agg(F.var_pop("label")).first()[0]
+        out = []
+        for i in members:
+            error = mse[candidates[i].get("n_estimators", 100) - 1]
+            out.append((i, -error if scoring == "neg_mse" else 1.0 - error / spread if spread else 0.0))
+        return out
+    used, scores = model.summary.numIterations, {}
+
+    def score(limit: int) -> float:
+        """Score under a limit of iterations; the fit at hand if it kept to it."""
+        key = params["max_iter"] if used <= limit else limit
+        if key not in scores:
+            fitted = model
+            if key != params["max_iter"]:
+                fitted = build_estimator(kind, {**params, "max_iter": limit}, mean).fit(fit_rows)
+            scores[key] = _score(kind, scoring, fitted.transform(test_rows))
+        return scores[key]
+
+    return [(i, score(candidates[i].get("max_iter", 100))) for i in members]
+
+
 def grid_search(
     train: DataFrame, kind: str, grid: dict, order: list[str], features=K.PANEL_FEATURES,
     label="case_count", folds: int = 3, scoring: str = "default",
@@ -217,7 +273,8 @@ def grid_search(
     """Mean score of every parameter set over the folds; refit of the best one.
 
     The panel is scaled once on all rows, as its folds share one scaler.  The
-    fits are independent Spark jobs and run a few at a time.
+    fits are independent Spark jobs and run a few at a time; parameter sets that
+    differ in the number of trees or the limit of iterations share a fit.
     """
     spark = train.sparkSession
     scaler = Scaler.fit(train, features)
@@ -232,26 +289,27 @@ def grid_search(
             f: data.filter(F.col("fold") != f).agg(F.avg("label")).first()[0]
             for f in range(folds)
         }
+        rows = _compact(data, data.count())
 
         def run(task):
-            i, fold = task
-            fit_rows = data.filter(F.col("fold") != fold)
-            model = build_estimator(kind, candidates[i], means[fold]).fit(fit_rows)
-            scored = model.transform(data.filter(F.col("fold") == fold))
-            return i, fold, _score(kind, scoring, scored)
+            family, fold = task
+            return _fold_scores(
+                kind, scoring, candidates, family, means[fold],
+                rows.filter(F.col("fold") != fold), rows.filter(F.col("fold") == fold),
+            )
 
-        tasks = list(itertools.product(range(len(candidates)), range(folds)))
+        tasks = list(itertools.product(_families(kind, candidates), range(folds)))
         with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-            scores = list(pool.map(run, tasks))
+            scores = [pair for part in pool.map(run, tasks) for pair in part]
     finally:
         data.unpersist()
     mean_score = {
-        i: sum(s for j, _, s in scores if j == i) / folds for i in range(len(candidates))
+        i: sum(s for j, s in scores if j == i) / folds for i in range(len(candidates))
     }
     best = max(mean_score, key=lambda i: (mean_score[i], -i))
     table = spark.createDataFrame(
         [
-            (", ".join(f"{k}={v}" for k, v in c.items()), float(mean_score[i]), i == best)
+            (params_text(c), float(mean_score[i]), i == best)
             for i, c in enumerate(candidates)
         ],
         "params string, mean_score double, best boolean",
@@ -259,6 +317,10 @@ def grid_search(
     return fit_counts(train, kind, candidates[best], features, label), table
 
 
+def params_text(params: dict) -> str:
+    return ", ".join(f"{k}={v}" for k, v in params.items())
+
+
 # --- training, evaluation, forecast ----------------------------------------------
 
 def train_and_score(

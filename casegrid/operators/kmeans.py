@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
-from .clusters import davies_bouldin, silhouette_exact, silhouette_samples, silhouette_squared
+from ..session import materialize
+from .clusters import silhouette_exact, silhouette_samples
+from .labellings import score_labellings
 from .scaling import Scaler
 
 _PARALLEL_FITS = 8
@@ -22,6 +25,7 @@ class FittedKMeans:
     model: KMeansModel
     scaler: Scaler
     inertia: float
+    start_costs: tuple[float, ...] = ()
 
     @property
     def features(self) -> list[str]:
@@ -43,6 +47,53 @@ class FittedKMeans:
         return spark.createDataFrame(rows, schema)
 
 
+def certificate(fitted: FittedKMeans, df: DataFrame, tolerance: float = 1e-3) -> DataFrame:
+    """One row of invariants of a fit on the rows it was made from.
+
+    `not_nearest` counts rows whose label is not their nearest centre, `at_means`
+    says whether every centre is the mean of its rows (a fit ends when centres
+    move less than its own tolerance), `sums_add_up` whether the squared
+    distances within clusters and those of the clusters from the overall mean
+    make up `total`, and `best_of_starts` whether no start had a lower cost.
+    """
+    z = [f"_z_{c}" for c in fitted.features]
+    centers = [c.tolist() for c in fitted.model.clusterCenters()]
+    rows = fitted.scaler.transform(fitted.transform(df), prefix="_z_")
+    near = [_squared(z, c) for c in centers]
+    best = F.least(*near) if len(near) > 1 else near[0]
+    own = F.array(*near)[F.col("cluster")]
+    means = rows.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(own > best).alias("not_nearest"),
+        F.sum(own).alias("within"), *[F.avg(c).alias(c) for c in z],
+    )
+    overall = rows.agg(
+        *[F.avg(c).alias(f"m{i}") for i, c in enumerate(z)],
+        (sum((F.var_pop(c) for c in z[1:]), F.var_pop(z[0])) * F.count(F.lit(1))).alias("total"),
+    )
+    drift = F.array(*[_squared(z, c) for c in centers])[F.col("cluster")]
+    apart = sum(
+        (F.col(c) - F.col(f"m{i}")) * (F.col(c) - F.col(f"m{i}")) for i, c in enumerate(z)
+    )
+    # a row per centre, and one row
+    both = means.join(F.broadcast(overall))
+    within, total = F.sum("within"), F.first("total")
+    # the within sums are taken around the centres, the between ones around the means
+    moved = F.sum(F.col("n") * drift)
+    return both.agg(
+        F.sum("n").alias("n_rows"), F.count(F.lit(1)).cast("int").alias("n_clusters"),
+        F.sum("not_nearest").cast("int").alias("not_nearest"),
+        (F.max(F.sqrt(drift)) <= tolerance).alias("at_means"),
+        (F.abs(within - moved + F.sum(F.col("n") * apart) - total) <= tolerance * total).alias("sums_add_up"),
+        F.lit(fitted.inertia <= min(fitted.start_costs)).alias("best_of_starts"),
+        total.alias("total"),
+    )
+
+
+def _squared(features: list[str], center) -> Column:
+    terms = [(F.col(c) - F.lit(float(v))) * (F.col(c) - F.lit(float(v))) for c, v in zip(features, center)]
+    return sum(terms[1:], terms[0])
+
+
 def _vectors(df: DataFrame, scaler: Scaler) -> DataFrame:
     scaled = scaler.transform(df, prefix="_z_")
     return VectorAssembler(
@@ -51,7 +102,7 @@ def _vectors(df: DataFrame, scaler: Scaler) -> DataFrame:
 
 
 def _best_fits(vectors: DataFrame, ks, n_init: int, max_iter: int, seed: int) -> dict:
-    """k -> (cost, model): best of several seeded starts for every k.
+    """k -> (cost, model, costs of all starts): best of several seeded starts for every k.
 
     The fits are independent Spark jobs, so a few run at a time.
     """
@@ -67,8 +118,8 @@ def _best_fits(vectors: DataFrame, ks, n_init: int, max_iter: int, seed: int) ->
     best: dict = {}
     with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
         for k, cost, i, model in pool.map(one, tasks):
-            if k not in best or cost < best[k][0]:
-                best[k] = (cost, model)
+            least, kept, costs = best.get(k, (math.inf, None, ()))
+            best[k] = (min(cost, least), model if cost < least else kept, (*costs, cost))
     return best
 
 
@@ -80,10 +131,10 @@ def fit_kmeans(
     scaler = Scaler.fit(df, features)
     vectors = _vectors(df, scaler).select("_features").persist()
     try:
-        cost, model = _best_fits(vectors, [k], n_init, max_iter, seed)[k]
+        cost, model, costs = _best_fits(vectors, [k], n_init, max_iter, seed)[k]
     finally:
         vectors.unpersist()
-    return FittedKMeans(model, scaler, cost)
+    return FittedKMeans(model, scaler, cost, costs)
 
 
 def k_sweep(
@@ -93,36 +144,52 @@ def k_sweep(
 ) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin for every k of the range.
 
-    The silhouette is the linear squared-distance one, under its own name;
-    ``exact=True`` takes the Euclidean one, which needs all distances.
+    The fits are independent jobs; one projection then names the nearest centre
+    for all k, and all labellings are scored together.  The silhouette is the
+    linear squared-distance one, under its own name; ``exact=True`` takes the
+    Euclidean one, which needs all distances.
     """
     features = list(features)
     scaler = Scaler.fit(df, features)
-    vectors = _vectors(df.select(*features), scaler).select(
-        "_features", *[f"_z_{c}" for c in features]
-    ).persist()
     z = [f"_z_{c}" for c in features]
-    ks = list(range(k_range[0], k_range[1] + 1))
-
-    def score(item):
-        k, (cost, model) = item
-        labelled = model.transform(vectors)
-        if exact:
-            sil = silhouette_exact(silhouette_samples(labelled, z)).first()[0]
-        else:
-            sil = silhouette_squared(labelled, z)
-        return k, float(cost), sil, davies_bouldin(labelled, z).first()[0]
-
+    vectors = _vectors(df.select(*features), scaler).select("_features", *z).persist()
     try:
-        fits = _best_fits(vectors, ks, n_init, max_iter, seed)
-        with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-            rows = list(pool.map(score, fits.items()))
+        fits = _best_fits(
+            vectors, range(k_range[0], k_range[1] + 1), n_init, max_iter, seed
+        )
+        centers = {k: [c.tolist() for c in model.clusterCenters()] for k, (_, model, _) in fits.items()}
+        labelled = materialize(label_with_centers(vectors.select(*z), z, centers))
     finally:
         vectors.unpersist()
+    scores = score_labellings(labelled, z)
     name = "silhouette" if exact else "silhouette_squared"
-    return df.sparkSession.createDataFrame(
-        rows, f"k int, inertia double, {name} double, davies_bouldin double"
-    )
+    if exact:
+        found = [
+            (k, silhouette_exact(silhouette_samples(labelled.filter(F.col("g") == k), z)).first()[0])
+            for k in centers
+        ]
+        euclidean = df.sparkSession.createDataFrame(found, "g int, silhouette double")
+        scores = scores.join(F.broadcast(euclidean), "g")
+    return scores.select(F.col("g").alias("k"), "inertia", name, "davies_bouldin")
+
+
+def label_with_centers(df: DataFrame, features, centers: dict) -> DataFrame:
+    """(g, cluster, features): every row once for each set of centres, with its nearest one.
+
+    `centers` maps g to a list of centres; the lowest index wins a tie.
+    """
+    def nearest(points) -> Column:
+        ranked = [
+            F.struct(_squared(features, c).alias("d"), F.lit(i).alias("i"))
+            for i, c in enumerate(points)
+        ]
+        return F.array_min(F.array(*ranked))["i"]
+
+    labels = F.array(*[
+        F.struct(F.lit(g).alias("g"), nearest(points).cast("bigint").alias("cluster"))
+        for g, points in centers.items()
+    ])
+    return df.select(F.inline(labels), *features)
 
 
 def best_k(sweep: DataFrame) -> DataFrame:

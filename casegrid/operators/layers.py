@@ -36,7 +36,11 @@ def weighted_points(df: DataFrame, value: str, location="district") -> DataFrame
 
 
 def map_layer(df: DataFrame, value: str, location="district", n: int = 10) -> DataFrame:
-    """Weighted points, the map centre and the n markers in one long table."""
+    """Weighted points, the map centre and the n markers in one long table.
+
+    Raises ValueError for an empty table, as there is nothing to draw.
+    """
+    require_rows(df)
     points = weighted_points(df, value, location).select(
         F.lit("point").alias("kind"), F.col(location).alias("name"), "latitude", "longitude",
         "weight",

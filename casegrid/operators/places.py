@@ -11,6 +11,11 @@ first rule that fits:
 5. the best similarity per level, if it reaches the level's threshold;
 6. with the hint: the home city at no less than 0.55;
 7. else the better of district and city from 0.4 up.
+
+Similarity is 1 for an alias inside the text, else the match ratio of longest
+common blocks (`similarity="ratio"`, every text against every alias in bounded
+blocks) or 1 - edit distance / longer length (`similarity="edit"`, a similarity
+join in column functions, for tables of any size).
 """
 
 from __future__ import annotations
@@ -28,6 +33,7 @@ from ..functions.text import district_from_keyword
 from ..session import cut_lineage, materialize
 from .gazetteer import contained_aliases
 from .pairwise import block_count, compare_blocks
+from .similar import alike
 
 _TEXT_BLOCK = 2000
 _ALIAS_BLOCK = 20_000
@@ -126,9 +132,11 @@ def _first(found: DataFrame, score: float, keep: list[str]) -> DataFrame:
 
 def match_distinct_texts(
     texts: DataFrame, raw: str, aliases: DataFrame, home_city=K.HOME_CITY,
-    keywords=K.DISTRICT_KEYWORDS, venues=K.VENUE_RULES,
+    keywords=K.DISTRICT_KEYWORDS, venues=K.VENUE_RULES, similarity: str = "ratio",
 ) -> DataFrame:
     """One row per distinct text with the place it was matched to, if any."""
+    if similarity not in ("ratio", "edit"):
+        raise ValueError("similarity is 'ratio' or 'edit'")
     home = home_city.lower()
     words = [w for w, _ in keywords]
     is_home = F.lower("city") == home
@@ -214,19 +222,88 @@ def match_distinct_texts(
 
     # similarity for what is left
     left = todo.select("raw", "norm", "hint")
-    scored = cut_lineage(
-        best_similar(
-            left.select("norm", "hint").distinct(),
-            entries.select("ordinal", "level", "alias", "home"),
-        )
-    )
-    done.append(_by_similarity(left, scored, entries, home_city))
+    names = entries.select("ordinal", "level", "alias", "home")
+    if similarity == "edit":
+        picked = _edit_picks(left.select("norm", "hint").distinct(), names)
+        done.append(_picked_places(left, picked, entries, home_city))
+    else:
+        scored = cut_lineage(best_similar(left.select("norm", "hint").distinct(), names))
+        done.append(_by_similarity(left, scored, entries, home_city))
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _edit_picks(texts: DataFrame, names: DataFrame) -> DataFrame:
+    """(norm, ordinal, score): the accepted place of each text by edit distance.
+
+    Levels are asked in order of acceptance, each at its own threshold, and a text
+    that is settled goes no further; so the loose thresholds, whose joins find the
+    most candidates, see only what the strict ones left.
+    """
+    todo, names = materialize(texts), materialize(names)
+    allowed = ~F.col("hint") | F.col("home")
+    inside = materialize(
+        contained_aliases(todo, "norm", "norm", names).filter(allowed)
+        .groupBy("norm", "level").agg(F.min("ordinal").alias("ordinal"))
+        .withColumn("score", F.lit(1.0))
+    )
+    order = {"barangay": 0, "district": 1, "city": 2}
+    rank = F.coalesce(*[F.when(F.col("level") == lv, F.lit(i)) for lv, i in order.items()])
+    picked = []
+
+    def settle(levels: tuple[str, ...], least: float, rows: DataFrame, by_score: bool = False) -> None:
+        nonlocal todo
+        of_levels = F.col("level").isin(*levels)
+        found = alike(rows, "norm", "norm", names.filter(of_levels), "alias", least, allowed)
+        found = found.select("norm", "level", "ordinal", "score").unionByName(
+            inside.filter(of_levels).join(rows.select("norm"), "norm", "left_semi")
+            .select("norm", "level", "ordinal", "score")
+        )
+        worse = (-F.col("score")).alias("worse")
+        key = F.struct(worse, rank.alias("rank"), "ordinal") if by_score else F.struct(
+            rank.alias("rank"), worse, "ordinal"
+        )
+        best = found.groupBy("norm").agg(F.min(key).alias("p"))
+        best = materialize(best.select("norm", "p.ordinal", (-F.col("p.worse")).alias("score")))
+        picked.append(best)
+        todo = todo.join(best.select("norm"), "norm", "left_anti")
+
+    limits = K.LEVEL_THRESHOLDS
+    settle(("barangay",), limits["barangay"], todo)
+    settle(("district",), limits["district"], todo)
+    settle(("city",), limits["city"], todo)
+    # a text with the home hint falls back on the home city instead
+    settle(("district", "city"), K.FALLBACK_THRESHOLD, todo.filter(~F.col("hint")), by_score=True)
+    out = picked[0]
+    for part in picked[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _picked_places(
+    left: DataFrame, picked: DataFrame, entries: DataFrame, home_city: str
+) -> DataFrame:
+    """Fields of the picked places; the home city for what the hint alone is left of."""
+    places = entries.groupBy("ordinal").agg(*[F.first(c).alias(c) for c in _PLACE])
+    found = left.join(picked, "norm").join(places, "ordinal").select(
+        "raw", *_PLACE, F.round("score", 3).alias("score")
+    )
+    home = entries.filter(F.col("home") & (F.col("level") != "barangay")).agg(
+        F.min(F.struct((F.col("level") != "city").alias("other"), "ordinal", *_PLACE)).alias("h")
+    )
+    forced = left.filter("hint").join(picked.select("norm"), "norm", "left_anti")
+    # one row: the city's own entry, a district's where it has none, else NULL
+    return found.unionByName(
+        forced.join(F.broadcast(home)).select(
+            "raw", F.lit(home_city).alias("city"), "h.district", "h.barangay", "h.latitude",
+            "h.longitude", F.coalesce("h.level", F.lit("city")).alias("level"),
+            F.lit(K.HOME_FLOOR_SCORE).alias("score"),
+        )
+    )
+
+
 def _by_similarity(
     left: DataFrame, scored: DataFrame, entries: DataFrame, home_city: str
 ) -> DataFrame:

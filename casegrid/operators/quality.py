@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.text import as_col, is_missing, keyword_match
 from ..functions.values import coerce_numeric, round_even
+from .selection import exact_median
 
 
 def missing_columns(df: DataFrame, required) -> list[str]:
@@ -56,12 +57,8 @@ def drop_missing(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
 
 
 def median_of(df: DataFrame, col: str) -> Column:
-    """Exact interpolated median as a scalar subquery.
-
-    The aggregate keeps one counter per distinct value, so its state grows with
-    the number of different values (ages: a few hundred), not with the rows.
-    """
-    return df.agg(F.median(col)).scalar()
+    """Exact interpolated median as a literal; its state is bounded for any column."""
+    return F.lit(exact_median(df, col)).cast("double")
 
 
 def smart_fill(
@@ -191,7 +188,7 @@ def data_summary(
         F.max(date).alias("latest"),
         F.count_distinct(location).alias("unique_locations"),
         F.avg(age).alias("age_mean"),
-        F.median(age).alias("age_median"),
+        median_of(df, age).alias("age_median"),
         F.min(age).alias("age_min"),
         F.max(age).alias("age_max"),
     )

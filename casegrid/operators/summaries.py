@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions.values import age_cut, month_name, percent_label, season
 from ..session import materialize
+from .selection import exact_median
 
 
 def _known(df: DataFrame, *cols) -> DataFrame:
@@ -236,7 +237,7 @@ def share_of_total(df: DataFrame, col: str) -> DataFrame:
 def numeric_summary(df: DataFrame, col: str) -> DataFrame:
     return df.agg(
         F.avg(col).alias("mean"), F.min(col).alias("min"), F.max(col).alias("max"),
-        F.median(col).alias("median"),
+        F.lit(exact_median(df, col)).cast("double").alias("median"),
     )
 
 

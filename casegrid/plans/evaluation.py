@@ -11,6 +11,7 @@ from ..operators.cluster_search import compare_methods, dbscan_grid, select_dbsc
 from ..operators.joins import attach_actuals, forecast_grid
 from ..operators.kmeans import best_k, fit_kmeans, k_sweep
 from ..operators.ordering import label_encode
+from ..session import materialize
 
 
 def evaluate_clustering(
@@ -71,25 +72,44 @@ def demographic_clusters(df: DataFrame, k_range=(2, 6), n_init=10, gender="gende
 
 def backtest(
     cases: DataFrame, test_year: int, location="district", params: dict | None = None,
+    grids: dict | None = None, features=K.PANEL_FEATURES, derive=None,
 ) -> tuple[DataFrame, dict]:
     """Fit on the years before, predict the test year for every location.
 
-    Returns the predictions of each model next to the actual counts, and the
-    fitted models.
+    `params` maps a model to its parameters; `grids` maps it to the values to
+    search instead, on contiguous folds of the history in the order of location
+    and year, by mean squared error.  `derive` adds columns of one's own to the
+    history and to the rows to predict, for `features` that name them.  Returns
+    the predictions of each model next to the actual counts, and the fitted
+    models, which know the parameters that were chosen.
     """
+    derive = derive or (lambda df: df)
     history = cases.filter(F.col("year") < test_year)
     test = cases.filter(F.col("year") == test_year)
-    train = fc.training_frame(history, location)
+    train = materialize(derive(fc.training_frame(history, location)))
     # the grid keeps a NULL location; it is not a place and gets no forecast
-    grid = forecast_grid(history, test, test_year, location)
+    grid = derive(forecast_grid(history, test, test_year, location))
     out = attach_actuals(grid.filter(F.col(location).isNotNull()), test, location)
     models = {}
-    for kind, options in (params or {"gradient_boosting": {}, "poisson": {}}).items():
-        models[kind] = fc.fit_counts(train, kind, options)
-        out = models[kind].predict(out, f"predicted_{kind}")
+    if grids is None:
+        for kind, options in (params or {"gradient_boosting": {}, "poisson": {}}).items():
+            models[kind] = fc.fit_counts(train, kind, options, features)
+    else:
+        for kind, values in grids.items():
+            models[kind], _ = fc.grid_search(
+                train, kind, values, [location, "year"], features, scoring="neg_mse"
+            )
+    for kind, model in models.items():
+        out = model.predict(out, f"predicted_{kind}")
     return out, models
 
 
+def chosen_params(models: dict, spark) -> DataFrame:
+    """(model, params): the parameters each model was fitted with."""
+    rows = [(kind, fc.params_text(m.params)) for kind, m in models.items()]
+    return spark.createDataFrame(rows, "model string, params string")
+
+
 def backtest_report(scored: DataFrame, models: dict, train: DataFrame) -> DataFrame:
     """Model table of a back-test: test scores, overfit gap, best model."""
     train_r2 = {
@@ -125,13 +145,19 @@ def retrain_and_forecast(
 
 
 def retrain_best(
-    cases: DataFrame, test_year: int, params: dict, location="district"
+    cases: DataFrame, test_year: int, params: dict | None = None, location="district",
+    grids: dict | None = None,
 ) -> DataFrame:
-    """Back-test the given models, refit the one with the best test R2, forecast."""
-    scored, models = backtest(cases, test_year, location, params)
+    """Back-test the models, refit the one with the best test R2 on all years, forecast.
+
+    With `grids` the parameters of both models are searched in the back-test, and
+    the winner keeps those it was chosen with.  `model` and `params` name it.
+    """
+    scored, models = backtest(cases, test_year, location, params, grids)
     train = fc.training_frame(cases.filter(F.col("year") < test_year), location)
     report = backtest_report(scored, models, train)
     best = report.filter("best").first()["model"]
-    return retrain_and_forecast(cases, test_year, best, params[best], location).withColumn(
-        "model", F.lit(best)
+    chosen = models[best].params
+    return retrain_and_forecast(cases, test_year, best, chosen, location).withColumns(
+        {"model": F.lit(best), "params": F.lit(fc.params_text(chosen))}
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from .. import constants as K
@@ -15,6 +16,8 @@ from . import schemas as S
 _FILE, _BLOCK = "_file", "_block"
 #: Rows of one task; the number that Spark's increasing ids leave room for.
 _LINES = 2**33
+#: Bits of a row id for the place in a file (of up to 1 TB).
+_FILE_BITS = 40
 
 
 class MissingInput(FileNotFoundError):
@@ -69,16 +72,31 @@ def read_cases(spark: SparkSession, path: str, schema=S.RAW_CASES) -> DataFrame:
     """Case file under canonical names.
 
     ``row_id`` is unique and grows with the path of the file, and in a file with
-    the line; it carries the row order that first-row rules need.
+    the line; it carries the row order that first-row rules need.  It is the place
+    of the file in the sorted list, then the start of the block a row was read
+    from plus the number of the row in its task: a line has at least one byte, and
+    only the last block of a file shares a task with blocks of other files, so no
+    two rows of a file meet.  Files are read once, and no row is shuffled for it.
     """
     df = canonical(read_csv(spark, path, schema, placed=True))
-    df = df.withColumn("_line", F.monotonically_increasing_id().bitwiseAND(_LINES - 1))
-    blocks = df.select(_FILE, _BLOCK).distinct()  # a row for each split of a file
-    place = F.row_number().over(W.orderBy(_FILE, _BLOCK)).cast("long")
+    files = sorted(df.inputFiles())
+    if len(files) >= 1 << (63 - _FILE_BITS):
+        raise ValueError("too many files for row ids of 63 bits")
+    # the sorted list of files, local ones in both spellings of their address; broadcast
+    # by its size, so the scan keeps its partitions
+    order = spark.createDataFrame(
+        [
+            (name, i << _FILE_BITS)
+            for i, f in enumerate(files) for name in {f, re.sub(r"^(\w+):///", r"\1:/", f)}
+        ],
+        f"{_FILE} string, _start long",
+    )
+    line = F.monotonically_increasing_id().bitwiseAND(_LINES - 1)
     return (
-        df.join(blocks.withColumn("_place", place), [_FILE, _BLOCK])
-        .withColumn("row_id", F.col("_place") * _LINES + F.col("_line"))
-        .drop(_FILE, _BLOCK, "_place", "_line")
+        df.withColumn("_at", F.col(_BLOCK) + line)
+        .join(order, _FILE)
+        .withColumn("row_id", F.col("_start") + F.col("_at"))
+        .drop(_FILE, _BLOCK, "_start", "_at")
     )
 
 

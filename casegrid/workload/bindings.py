@@ -192,6 +192,16 @@ POINTS = """points AS (
 
 HOME_CITY = "ASIA"
 HOME_KEYWORDS = (("nation 2", "NATION_2"), ("nation 17", "NATION_17"))
+HOME_VENUES = (
+    {
+        "aliases": ("building street7", "machinery street3"), "city": "ASIA", "district": "NATION_9",
+        "latitude": 14.5, "longitude": 120.5, "level": "barangay", "score": 1.0,
+    },
+    {
+        "aliases": ("furniture street1",), "city": "EUROPE", "district": None,
+        "latitude": 1.25, "longitude": 2.5, "level": "city", "score": 0.99,
+    },
+)
 
 
 def place_texts(spark: SparkSession, sf: str) -> DataFrame:
@@ -272,6 +282,110 @@ def region_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _sql_text(value) -> str:
+    return "CAST(NULL AS VARCHAR)" if value is None else f"'{value}'"
+
+
+#: Columns of a matched place of `q.location_text` beside the rows q themselves.
+MATCHED = f"""CASE WHEN m.city IS NULL THEN 'Other/Unknown'
+    WHEN lower(m.city) = '{HOME_CITY.lower()}' THEN '{HOME_CITY} City' ELSE m.city END AS city,
+  m.barangay, m.latitude, m.longitude, coalesce(m.level, 'none') AS level, m.score"""
+
+
+def edit_match_sql(rows: str, with_sql: str) -> str:
+    """SQL of the place matcher by edit distance over `rows` (row_id, location_text, ...)."""
+    return edit_match_tables(rows, with_sql) + f"""
+SELECT q.*, m.district, {MATCHED} FROM {rows} q LEFT JOIN m ON m.raw = q.location_text"""
+
+
+def edit_match_tables(rows: str, with_sql: str) -> str:
+    """The matched places m (raw, ...): all texts against all aliases, the rules as one CASE."""
+    ordinal = "printf('%d-%012d-%06d-%06d', {}, r_regionkey, {}, {})"
+    home = HOME_CITY.lower()
+    words = [w for w, _ in HOME_KEYWORDS]
+    rules = ", ".join(f"({i}, '{w}', '{d.lower()}')" for i, (w, d) in enumerate(HOME_KEYWORDS))
+    venue = "CASE " + " ".join(
+        "WHEN " + " OR ".join(f"contains(norm, '{a}')" for a in v["aliases"]) + f" THEN {i}"
+        for i, v in enumerate(HOME_VENUES)
+    ) + " END"
+    venues = " UNION ALL ".join(
+        f"SELECT {i} AS venue, {_sql_text(v['city'])} AS city, {_sql_text(v['district'])} AS district, "
+        f"CAST({v['latitude']} AS DOUBLE) AS latitude, CAST({v['longitude']} AS DOUBLE) AS longitude, "
+        f"{_sql_text(v['level'])} AS level, CAST({v['score']} AS DOUBLE) AS score"
+        for i, v in enumerate(HOME_VENUES)
+    )
+    return f"""WITH {with_sql},
+ nat AS (SELECT *, row_number() OVER (PARTITION BY n_regionkey ORDER BY n_nationkey) - 1 AS dpos
+         FROM nation JOIN region ON n_regionkey = r_regionkey),
+ forms AS (
+  SELECT {ordinal.format(2, 0, 0)} AS ordinal, 'city' AS level, r_name AS city, CAST(NULL AS VARCHAR) AS district,
+    CAST(NULL AS VARCHAR) AS barangay, CAST(r_regionkey AS DOUBLE) AS latitude,
+    CAST(r_regionkey + 100 AS DOUBLE) AS longitude,
+    unnest([r_name, 'city of ' || r_name, r_name || ' city']) AS form
+  FROM region WHERE r_regionkey IN (SELECT n_regionkey FROM nation)
+  UNION ALL
+  SELECT {ordinal.format(1, "dpos", 0)}, 'district', r_name, n_name, NULL,
+    n_nationkey + CAST(0.5 AS DOUBLE), n_nationkey + CAST(100.5 AS DOUBLE),
+    unnest([n_name, n_name || ' ' || r_name, r_name || ' ' || n_name, 'zone ' || n_nationkey]) FROM nat
+  UNION ALL
+  SELECT {ordinal.format(0, "dpos", "upos")}, 'barangay', r_name, n_name, 'Barangay ' || u,
+    n_nationkey + CAST(0.5 AS DOUBLE), n_nationkey + CAST(100.5 AS DOUBLE),
+    unnest(['barangay ' || u, 'barangay ' || u || ' ' || n_name, 'barangay ' || u || ' ' || r_name,
+            '' || u, u || ' ' || n_name, u || ' ' || r_name])
+  FROM (SELECT *, n_nationkey * 10 + 1 + upos AS u FROM (SELECT *, unnest(range(10)) AS upos FROM nat))),
+ e AS MATERIALIZED (
+  SELECT DISTINCT * EXCLUDE (form), {norm_sql('form')} AS alias, lower(city) = '{home}' AS home FROM forms),
+ place AS (SELECT DISTINCT ordinal, level, city, district, barangay, latitude, longitude FROM e),
+ seg AS (
+  SELECT raw, {norm_sql('raw')} AS norm,
+    list_filter(list_transform(string_split(raw, ','), lambda x: trim(x)), lambda x: x <> '') AS s
+  FROM (SELECT DISTINCT location_text AS raw FROM {rows} WHERE location_text IS NOT NULL)),
+ t AS MATERIALIZED (
+  SELECT raw, norm, {norm_sql("array_to_string(s[-2:], ' ')")} AS two, {norm_sql("coalesce(s[-1], '')")} AS one,
+    contains(norm, '{home}') OR {" OR ".join(f"contains(norm, '{w}')" for w in words)} AS hint,
+    {venue} AS venue
+  FROM seg WHERE norm <> ''),
+ kw AS (
+  SELECT raw, arg_min(ordinal, (pos, ordinal)) AS o FROM t
+  JOIN (VALUES {rules}) r(pos, word, name) ON contains(norm, word) OR contains(two, word) OR contains(one, word)
+  JOIN e ON e.home AND level = 'district' AND lower(district) = name WHERE hint GROUP BY raw),
+ r4 AS (
+  SELECT raw, min(ordinal) AS o FROM t JOIN e ON e.home AND level = 'district' AND (
+    contains(norm, alias) OR two <> '' AND (contains(two, alias) OR contains(alias, two))
+    OR one <> '' AND (contains(one, alias) OR contains(alias, one))) WHERE hint GROUP BY raw),
+ r5 AS (
+  SELECT raw, min(ordinal) AS o FROM t JOIN e ON e.home AND level <> 'city'
+    AND (contains(two, alias) OR contains(one, alias)) WHERE hint GROUP BY raw),
+ sc AS (
+  SELECT raw, level, ordinal, CASE WHEN contains(norm, alias) THEN CAST(1.0 AS DOUBLE)
+    ELSE CAST(1.0 AS DOUBLE) - levenshtein(norm, alias) / greatest(length(norm), length(alias)) END AS score
+  FROM t JOIN e ON NOT hint OR e.home),
+ bl AS (SELECT raw, level, max(score) AS score, arg_min(ordinal, (-score, ordinal)) AS o FROM sc GROUP BY raw, level),
+ b AS (
+  SELECT raw, max(score) FILTER (level = 'barangay') AS bs, max(o) FILTER (level = 'barangay') AS bo,
+    max(score) FILTER (level = 'district') AS ds, max(o) FILTER (level = 'district') AS d_o,
+    max(score) FILTER (level = 'city') AS cs, max(o) FILTER (level = 'city') AS co
+  FROM bl GROUP BY raw),
+ hc AS (SELECT min(ordinal) AS o FROM e WHERE home AND level = 'city'),
+ j AS (
+  SELECT t.raw, t.venue, CASE
+      WHEN kw.o IS NOT NULL THEN {{'o': kw.o, 's': CAST(0.95 AS DOUBLE)}}
+      WHEN r4.o IS NOT NULL THEN {{'o': r4.o, 's': CAST(0.9 AS DOUBLE)}}
+      WHEN r5.o IS NOT NULL THEN {{'o': r5.o, 's': CAST(0.85 AS DOUBLE)}}
+      WHEN bs >= 0.7 THEN {{'o': bo, 's': bs}} WHEN ds >= 0.55 THEN {{'o': d_o, 's': ds}}
+      WHEN cs >= 0.55 THEN {{'o': co, 's': cs}}
+      WHEN hint THEN {{'o': hc.o, 's': CAST(0.55 AS DOUBLE)}}
+      WHEN ds >= 0.4 AND ds >= coalesce(cs, 0) THEN {{'o': d_o, 's': ds}}
+      WHEN cs >= 0.4 THEN {{'o': co, 's': cs}} END AS p
+  FROM t LEFT JOIN kw USING (raw) LEFT JOIN r4 USING (raw) LEFT JOIN r5 USING (raw) LEFT JOIN b USING (raw), hc),
+ m AS (
+  SELECT raw, city, district, CAST(NULL AS VARCHAR) AS barangay, latitude, longitude, v.level, v.score
+  FROM j JOIN ({venues}) v ON v.venue = j.venue
+  UNION ALL
+  SELECT raw, city, district, barangay, latitude, longitude, level, round(p.s, 3)
+  FROM j JOIN place ON ordinal = p.o WHERE venue IS NULL)"""
+
+
 def supplier_gazetteer(spark: SparkSession, sf: str) -> DataFrame:
     """Each supplier as a city with two districts and a few units; grows with the table."""
     s, nation = table(spark, sf, "supplier"), table(spark, sf, "nation")

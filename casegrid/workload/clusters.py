@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.values import cluster_color
 from ..operators import cluster_search as cs
 from ..operators import clusters as cl
 from ..operators import scaling as sc
 from ..operators.dbscan import cluster_centers, dbscan, dbscan_grid_labels
-from ..operators.kmeans import best_k, fit_kmeans, k_sweep
+from ..operators.kmeans import best_k, certificate, fit_kmeans, k_sweep, label_with_centers
+from ..operators.labellings import score_labellings
 from ..operators.ordering import top_n_per_group
 from ..operators.summaries import location_centroid
 from ..plans.evaluation import demographic_clusters as demographic_plan
@@ -278,26 +280,75 @@ def kmeans_fit(spark, sf):
 
 @query("kmeans_predict")
 def kmeans_predict(spark, sf):
-    model = fit_kmeans(b.points(spark, sf), _XY, k=4, n_init=3)
+    model = fit_kmeans(b.points(spark, sf), _XY, k=4)
     return model.transform(b.points(spark, sf).drop("cluster")).select("row_id", "cluster")
 
 
+@query("kmeans_certificate", f"""WITH {b.POINTS}
+SELECT CAST(count(*) AS BIGINT) AS n_rows, 5 AS n_clusters, 0 AS not_nearest, true AS at_means,
+  true AS sums_add_up, true AS best_of_starts,
+  CAST(count(*) * 2 AS DOUBLE) AS total FROM points""")
+def kmeans_certificate(spark, sf):
+    """What every K-means result has to fulfil, measured on a fit with five centres."""
+    points = b.points(spark, sf).drop("cluster")
+    return rounded(certificate(fit_kmeans(points, _XY, k=5), points), 4)
+
+
 @query("k_sweep")
 def k_sweep_query(spark, sf):
-    return k_sweep(b.points(spark, sf), _XY, (2, 6), n_init=3)
+    return k_sweep(b.points(spark, sf), _XY, (2, 15))
 
 
 @query("k_recommendation")
 def k_recommendation(spark, sf):
-    return best_k(k_sweep(b.points(spark, sf), _XY, (2, 4), n_init=2))
+    return best_k(k_sweep(b.points(spark, sf), _XY))
 
 
 @query("demographic_clusters")
 def demographic_clusters(spark, sf):
-    out = demographic_plan(b.cases(spark, sf), (2, 4), n_init=2)
+    out = demographic_plan(b.cases(spark, sf))
     return out.select("row_id", "age", "gender", "cluster")
 
 
+_SCORES = """cent AS (SELECT g, label, count(*) AS n, avg(x) AS mx, avg(y) AS my,
+   var_pop(x) + var_pop(y) AS v FROM inn GROUP BY ALL),
+ far AS (SELECT i.g, i.i, i.label, c.label AS other, c.n, (x - mx) ** 2 + (y - my) ** 2 AS d2, v
+   FROM inn i JOIN cent c ON c.g = i.g),
+ ab AS (SELECT g, i, any_value(label) AS label, max(n) FILTER (other = label) AS n,
+    max((d2 + v) * n / nullif(n - 1, 0)) FILTER (other = label) AS a,
+    min(d2 + v) FILTER (other <> label) AS b, max(d2) FILTER (other = label) AS d2
+   FROM far GROUP BY g, i),
+ sp AS (SELECT g, label, avg(sqrt(d2)) AS s, sum(d2) AS inertia FROM ab GROUP BY ALL),
+ sil AS (SELECT g, avg(CASE WHEN b IS NULL THEN NULL WHEN n = 1 THEN 0
+    ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s FROM ab GROUP BY g),
+ ctr AS (SELECT sp.g, sp.label, s, inertia, mx, my FROM sp JOIN cent ON cent.g = sp.g AND cent.label = sp.label),
+ r AS (SELECT a.g, a.label, max(coalesce((a.s + o.s) / nullif(
+      sqrt((a.mx - o.mx) ** 2 + (a.my - o.my) ** 2), 0), 0)) AS r
+   FROM ctr a JOIN ctr o ON a.g = o.g AND a.label <> o.label GROUP BY ALL),
+ db AS (SELECT g, avg(r) AS db FROM r GROUP BY g)"""
+_FIRST_CENTERS = tuple(range(2, 16))
+
+
+@query("labelling_scores", f"""WITH {b.POINTS}, s AS (
+  SELECT avg(latitude) AS m1, stddev_pop(latitude) AS s1, avg(longitude) AS m2,
+         stddev_pop(longitude) AS s2 FROM points),
+ z AS (SELECT row_id AS i, (latitude - m1) / s1 AS x, (longitude - m2) / s2 AS y FROM points, s),
+ c AS (SELECT row_number() OVER (ORDER BY i) - 1 AS label, x AS cx, y AS cy FROM z ORDER BY i LIMIT 15),
+ inn AS (SELECT g, i, x, y, arg_min(label, ((x - cx) ** 2 + (y - cy) ** 2, label)) AS label
+   FROM (SELECT CAST(unnest(range(2, 16)) AS INTEGER) AS g) k JOIN c ON label < g, z GROUP BY ALL),
+ {_SCORES}
+SELECT ctr.g AS k, count(*) AS n_clusters, round(sum(inertia), 6) AS inertia,
+  round(any_value(sil.s), 6) AS silhouette_squared, round(any_value(db.db), 6) AS davies_bouldin
+FROM ctr LEFT JOIN sil USING (g) LEFT JOIN db USING (g) GROUP BY ctr.g""")
+def labelling_scores(spark, sf):
+    """Scores of fourteen labellings at once: rows to the nearest of the first k points."""
+    z = ["latitude_z", "longitude_z"]
+    rows = _scaled(spark, sf).select("row_id", *z)
+    first = [list(r[1:]) for r in rows.orderBy("row_id").limit(max(_FIRST_CENTERS)).collect()]
+    labelled = label_with_centers(rows, z, {k: first[:k] for k in _FIRST_CENTERS})
+    return rounded(score_labellings(labelled, z).withColumnRenamed("g", "k"))
+
+
 # --- DBSCAN -----------------------------------------------------------------------------
 
 _EPS, _MIN = 0.25, 6
@@ -350,60 +401,63 @@ def dbscan_centers(spark, sf):
     return rounded(cluster_centers(points, labels, _XY))
 
 
-_GRID_SQL = f"""WITH RECURSIVE {b.POINTS}, s AS (
+_EPS_LIST, _MIN_LIST = K.DBSCAN_EPS_GRID_WIDE, K.DBSCAN_MIN_SAMPLES_GRID
+_GRID_LABELS = f"""WITH RECURSIVE {b.POINTS}, s AS (
   SELECT avg(latitude) AS m1, stddev_pop(latitude) AS s1, avg(longitude) AS m2,
          stddev_pop(longitude) AS s2 FROM points),
  z AS (SELECT row_id, (latitude - m1) / s1 AS x, (longitude - m2) / s2 AS y FROM points, s),
- p(eps, ms) AS (VALUES (0.15, 4), (0.15, 8), (0.25, 4), (0.25, 8)),
- near AS (SELECT eps, ms, a.row_id AS i, z.row_id AS j,
-            sqrt((a.x - z.x) ** 2 + (a.y - z.y) ** 2) AS d FROM p, z a, z),
- ball AS (SELECT eps, ms, i, j FROM near WHERE d <= eps),
- core AS (SELECT eps, ms, i FROM ball GROUP BY ALL HAVING count(*) >= ms),
- edges AS (SELECT n.* FROM ball n JOIN core a USING (eps, ms, i)
-           JOIN core c ON n.eps = c.eps AND n.ms = c.ms AND n.j = c.i),
- walk AS (SELECT eps, ms, i, i AS root FROM core
-          UNION SELECT w.eps, w.ms, e.j, w.root FROM walk w
-          JOIN edges e ON w.eps = e.eps AND w.ms = e.ms AND w.i = e.i WHERE w.root < e.j),
- comp AS (SELECT eps, ms, i, min(root) AS label FROM walk GROUP BY ALL),
- border AS (SELECT n.eps, n.ms, n.i, min(c.label) AS label FROM ball n
-            JOIN comp c ON n.eps = c.eps AND n.ms = c.ms AND n.j = c.i GROUP BY ALL),
- labels AS (SELECT p.eps, p.ms, z.row_id AS i, x, y, coalesce(c.label, o.label, -1) AS label
-   FROM p CROSS JOIN z LEFT JOIN comp c ON c.eps = p.eps AND c.ms = p.ms AND c.i = z.row_id
-   LEFT JOIN border o ON o.eps = p.eps AND o.ms = p.ms AND o.i = z.row_id),
- inn AS (SELECT * FROM labels WHERE label <> -1),
- d AS (SELECT a.eps, a.ms, a.i, a.label, z.label AS other, count(*) AS n, sum(near.d) AS dist
-   FROM inn a JOIN near ON near.eps = a.eps AND near.ms = a.ms AND near.i = a.i
-   JOIN inn z ON z.eps = a.eps AND z.ms = a.ms AND z.i = near.j GROUP BY ALL),
- ab AS (SELECT eps, ms, i, max(CASE WHEN other = label THEN n END) AS n,
-    max(CASE WHEN other = label AND n > 1 THEN dist / (n - 1) END) AS a,
-    min(CASE WHEN other <> label THEN dist / n END) AS b FROM d GROUP BY eps, ms, i),
- sil AS (SELECT eps, ms, avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END) AS s
-   FROM ab WHERE b IS NOT NULL GROUP BY eps, ms),
- cent AS (SELECT eps, ms, label, avg(x) AS mx, avg(y) AS my FROM inn GROUP BY ALL),
- sp AS (SELECT i.eps, i.ms, i.label, any_value(mx) AS mx, any_value(my) AS my,
-    avg(sqrt((x - mx) ** 2 + (y - my) ** 2)) AS s
-   FROM inn i JOIN cent USING (eps, ms, label) GROUP BY ALL),
- r AS (SELECT a.eps, a.ms, a.label,
-    max((a.s + o.s) / sqrt((a.mx - o.mx) ** 2 + (a.my - o.my) ** 2)) AS r
-   FROM sp a JOIN sp o ON a.eps = o.eps AND a.ms = o.ms AND a.label <> o.label GROUP BY ALL),
- db AS (SELECT eps, ms, avg(r) AS db FROM r GROUP BY ALL)
-SELECT CAST(l.eps AS DOUBLE) AS eps, CAST(l.ms AS INTEGER) AS min_samples,
+ p AS (SELECT eps, ms, CAST(row_number() OVER (ORDER BY eps, ms) - 1 AS INTEGER) AS g
+   FROM (SELECT CAST(unnest([{", ".join(map(str, _EPS_LIST))}]) AS DOUBLE) AS eps),
+        (SELECT CAST(unnest([{", ".join(map(str, _MIN_LIST))}]) AS INTEGER) AS ms)),
+ near AS MATERIALIZED (SELECT a.row_id AS i, z.row_id AS j, (a.x - z.x) ** 2 + (a.y - z.y) ** 2 AS d2
+   FROM z a, z WHERE d2 <= {max(_EPS_LIST)} * {max(_EPS_LIST)} * 1.001),
+ ball AS MATERIALIZED (SELECT g, ms, i, j FROM p JOIN near ON d2 <= eps * eps),
+ core AS (SELECT g, i FROM ball GROUP BY g, ms, i HAVING count(*) >= ms),
+ edges AS MATERIALIZED (SELECT n.g, n.i, n.j FROM ball n JOIN core a ON a.g = n.g AND a.i = n.i
+           JOIN core c ON n.g = c.g AND n.j = c.i),
+ walk AS (SELECT g, i, i AS root FROM core
+          UNION SELECT w.g, e.j, w.root FROM walk w
+          JOIN edges e ON w.g = e.g AND w.i = e.i WHERE w.root < e.j),
+ comp AS (SELECT g, i, min(root) AS label FROM walk GROUP BY ALL),
+ border AS (SELECT n.g, n.i, min(c.label) AS label FROM ball n
+            JOIN comp c ON n.g = c.g AND n.j = c.i GROUP BY ALL),
+ labels AS (SELECT p.g, z.row_id AS i, x, y, coalesce(c.label, o.label, -1) AS label
+   FROM p CROSS JOIN z LEFT JOIN comp c ON c.g = p.g AND c.i = z.row_id
+   LEFT JOIN border o ON o.g = p.g AND o.i = z.row_id),
+ inn AS (SELECT * FROM labels WHERE label <> -1)"""
+
+
+@query("dbscan_grid", f"""{_GRID_LABELS}, {_SCORES}
+SELECT any_value(p.eps) AS eps, any_value(p.ms) AS min_samples,
   count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters,
   count(*) FILTER (label = -1) AS n_noise,
   round(count(*) FILTER (label = -1) * 100.0 / count(*), 6) AS noise_pct,
   round(any_value(sil.s), 6) AS silhouette, round(any_value(db.db), 6) AS davies_bouldin
-FROM labels l LEFT JOIN sil ON sil.eps = l.eps AND sil.ms = l.ms
-  LEFT JOIN db ON db.eps = l.eps AND db.ms = l.ms GROUP BY l.eps, l.ms"""
-
-
-@query("dbscan_grid", _GRID_SQL)
+FROM labels JOIN p USING (g) LEFT JOIN sil ON sil.g = p.g LEFT JOIN db ON db.g = p.g GROUP BY p.g""")
 def dbscan_grid(spark, sf):
+    """All 44 pairs of the wide grid, scored together."""
     return rounded(
-        cs.dbscan_grid(b.points(spark, sf), _XY, (0.15, 0.25), (4, 8), exact=True), 6,
+        cs.dbscan_grid(b.points(spark, sf), _XY, _EPS_LIST, _MIN_LIST), 6,
         "noise_pct", "silhouette", "davies_bouldin",
     )
 
 
+@query("dbscan_grid_exact", _GRID_LABELS.replace(
+    str(list(_EPS_LIST)), "[0.05, 0.15]").replace(str(list(_MIN_LIST)), "[3, 5]") + """,
+ d AS (SELECT a.g, a.i, a.label, z.label AS other, count(*) AS n,
+     sum(sqrt((a.x - z.x) ** 2 + (a.y - z.y) ** 2)) AS dist FROM inn a JOIN inn z ON z.g = a.g GROUP BY ALL),
+ ab AS (SELECT g, i, max(CASE WHEN other = label THEN n END) AS n,
+    max(CASE WHEN other = label AND n > 1 THEN dist / (n - 1) END) AS a,
+    min(CASE WHEN other <> label THEN dist / n END) AS b FROM d GROUP BY g, i),
+ sil AS (SELECT g, avg(CASE WHEN n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS s
+   FROM ab WHERE b IS NOT NULL GROUP BY g)
+SELECT p.eps, p.ms AS min_samples, round(sil.s, 6) AS silhouette FROM p LEFT JOIN sil USING (g)""")
+def dbscan_grid_exact(spark, sf):
+    """Four pairs with the Euclidean silhouette."""
+    grid = cs.dbscan_grid(b.points(spark, sf), _XY, (0.05, 0.15), (3, 5), exact=True)
+    return rounded(grid.select("eps", "min_samples", "silhouette"), 6, "silhouette")
+
+
 _GRID = b.CASES + """, grid AS (
   SELECT year / 10000.0 AS eps, CAST(month AS INTEGER) AS min_samples, count(*) % 7 AS n_clusters,
     count(*) % 11 AS n_noise, avg(age) AS noise_pct,
@@ -441,4 +495,4 @@ def clustering_eval(spark, sf):
     places = location_centroid(b.cases(spark, sf), "person").withColumnRenamed(
         "person", "row_id"
     )
-    return long_table(evaluate_clustering(places, _XY, (2, 4), (0.15, 0.3), (5, 10), n_init=2))
+    return long_table(evaluate_clustering(places, _XY))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.values import round_even
+from ..functions.values import coalesce_key, fill_missing_id, fill_year, round_even
 from ..operators import gazetteer as gz
 from ..operators import quality as q
 from ..operators.layers import prediction_change
-from ..operators.ordering import surrogate_id
+from ..operators.ordering import surrogate_id, with_global_row_number
 from ..operators.summaries import panel
 from ..session import scratch_path
 from ..sources import readers, schemas, writers
@@ -44,6 +44,24 @@ def scan_cases_csv(spark, sf):
     return readers.read_cases(spark, _case_file(spark, sf)).drop("row_id")
 
 
+@query("scan_cases_order", "WITH " + b.DIRTY + """
+SELECT row_number() OVER (ORDER BY row_id % 3 <> 0, row_id) AS place,
+  'say "hi", ' || row_id AS post_url, location_text FROM dirty""")
+def scan_cases_order(spark, sf):
+    """Row ids over two folders of unequal size: the order of files and lines."""
+    path = scratch_path(spark, "cases-in-order")
+    raw = b.dirty(spark, sf).select(
+        *[F.col(c).alias(n) for c, n in _FILE_NAMES.items()],
+        F.concat(F.lit('say "hi", '), F.col("row_id")).alias("Post URL"), "row_id",
+    )
+    for folder, rows in (("a", raw.filter("row_id % 3 = 0")), ("b", raw.filter("row_id % 3 <> 0"))):
+        writers.write_csv(
+            rows.orderBy("row_id").drop("row_id"), f"{path}/{folder}", list(schemas.RAW_CASE_COLUMNS)
+        )
+    found = readers.read_cases(spark, f"{path}/*").select("row_id", "post_url", "location_text")
+    return with_global_row_number(found, ["row_id"], "place").drop("row_id")
+
+
 @query("load_validate", "WITH " + b.DIRTY + """, c AS (
   SELECT TRY_CAST(latitude AS DOUBLE) AS lat, TRY_CAST(longitude AS DOUBLE) AS lon FROM dirty),
  bad AS (SELECT count(*) FILTER (lat < 14 OR lat > 15 OR lon < 120.5 OR lon > 121.5) AS n FROM c)
@@ -152,6 +170,28 @@ def gazetteer_flatten(spark, sf):
     )
 
 
+@query("gazetteer_file", """
+SELECT dense_rank() OVER (ORDER BY r_regionkey) - 1 AS city_pos, r_name AS city,
+  row_number() OVER (PARTITION BY r_regionkey ORDER BY n_nationkey) - 1 AS district_pos,
+  n_name AS district, 'zone ' || n_nationkey AS barangay_range,
+  CAST(n_nationkey + 0.5 AS DOUBLE) AS latitude, CAST(n_nationkey + 100.5 AS DOUBLE) AS longitude
+FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def gazetteer_file(spark, sf):
+    """A nested place file: one JSON array with the regions, a handful of rows."""
+    path = scratch_path(spark, "gazetteer-file")
+    places = b.region_gazetteer(spark, sf)
+    entry = F.struct("city_pos", *[c for c in places.columns if c != "city_pos"])
+    whole = places.agg(F.array_sort(F.collect_list(entry)).alias("a"))
+    bare = F.transform("a", lambda e: e.dropFields("city_pos"))
+    whole.select(F.to_json(bare).alias("value")).write.text(path)
+    found = gz.flatten_districts(readers.read_gazetteer(spark, path))
+    return found.select(
+        F.col("city_pos").cast("long"), "city", F.col("district_pos").cast("long"), "district",
+        "barangay_range", F.col("coordinates.latitude").alias("latitude"),
+        F.col("coordinates.longitude").alias("longitude"),
+    )
+
+
 @query("gazetteer_districts", """
 SELECT n_name AS district, s_acctbal AS latitude, s_acctbal + 1 AS longitude
 FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_name = 'Supplier#000000007'
@@ -265,28 +305,24 @@ def surrogate_ids(spark, sf):
 @query("fill_unknown_id", "WITH " + b.DIRTY + """
 SELECT row_id, coalesce(case_id, printf('UNK-%04d', row_id)) AS case_id FROM dirty""")
 def fill_unknown_id(spark, sf):
-    unknown = F.format_string("UNK-%04d", F.col("row_id"))
-    return b.dirty(spark, sf).select("row_id", F.coalesce("case_id", unknown).alias("case_id"))
+    return b.dirty(spark, sf).select("row_id", fill_missing_id("case_id", "row_id").alias("case_id"))
 
 
 @query("coalesce_key", "WITH " + b.DIRTY + """
 SELECT row_id, trim(coalesce(district, CASE WHEN row_id % 3 = 0 THEN ' ' || location_text END,
        'Unknown')) AS district_key FROM dirty""")
-def coalesce_key(spark, sf):
+def coalesce_key_query(spark, sf):
     unit = F.when(F.col("row_id") % 3 == 0, F.concat(F.lit(" "), F.col("location_text")))
-    return b.dirty(spark, sf).select(
-        "row_id",
-        F.trim(F.coalesce("district", unit, F.lit("Unknown"))).alias("district_key"),
-    )
+    return b.dirty(spark, sf).select("row_id", coalesce_key("district", unit).alias("district_key"))
 
 
 @query("fill_year", "WITH " + b.GAPPY + """
 SELECT row_id, CAST(coalesce(CASE WHEN row_id % 4 = 0 THEN 1990 END, year(reported_date))
        AS INTEGER) AS year FROM gappy""")
-def fill_year(spark, sf):
+def fill_year_query(spark, sf):
     given = F.when(F.col("row_id") % 4 == 0, F.lit(1990))
     return b.gappy(spark, sf).select(
-        "row_id", F.coalesce(given, F.year("reported_date")).alias("year")
+        "row_id", fill_year(given, "reported_date").alias("year")
     )
 
 

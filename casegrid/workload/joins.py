@@ -9,6 +9,7 @@ from ..operators import gazetteer as gz
 from ..operators import joins as jn
 from ..operators import summaries as sm
 from ..operators.places import match_places
+from ..operators.similar import alike
 from . import bindings as b
 from .registry import query, rounded
 
@@ -147,10 +148,32 @@ def fuzzy_location_match(spark, sf):
     aliases = gz.alias_table(b.region_gazetteer(spark, sf))
     return match_places(
         b.place_texts(spark, sf), "location_text", aliases, home_city=b.HOME_CITY,
-        keywords=b.HOME_KEYWORDS, venues=(),
+        keywords=b.HOME_KEYWORDS, venues=b.HOME_VENUES,
     )
 
 
+@query("fuzzy_location_levenshtein", b.edit_match_sql("place_texts", b.PLACE_TEXTS))
+def fuzzy_location_levenshtein(spark, sf):
+    """The whole rule order with edit distance as the similarity."""
+    aliases = gz.alias_table(b.region_gazetteer(spark, sf))
+    return match_places(
+        b.place_texts(spark, sf), "location_text", aliases, home_city=b.HOME_CITY,
+        keywords=b.HOME_KEYWORDS, venues=b.HOME_VENUES, similarity="edit",
+    )
+
+
+@query("edit_similarity_join", f"""WITH {b.PLACE_TEXTS}, {_ALIASES}
+SELECT norm, alias, round(max(1.0 - levenshtein(norm, alias) / greatest(length(norm), length(alias))), 9) AS score
+FROM normed, aliases WHERE norm <> '' AND alias <> ''
+  AND 1.0 - levenshtein(norm, alias) / greatest(length(norm), length(alias)) >= 0.55
+GROUP BY norm, alias""")
+def edit_similarity_join(spark, sf):
+    """Every place text and alias at least 0.55 alike by edit distance."""
+    texts = _normed(spark, sf).select("norm").distinct()
+    found = alike(texts, "norm", "norm", _aliases(spark, sf).select("alias").distinct(), "alias", 0.55)
+    return found.groupBy("norm", "alias").agg(F.round(F.max("score"), 9).alias("score"))
+
+
 # --- forecast grid ---------------------------------------------------------------------------
 
 

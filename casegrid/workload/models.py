@@ -198,11 +198,78 @@ def poisson_scores(spark, sf):
     return scores
 
 
+_ODD = ("odd_count",)
+
+
+def _odd_count(df):
+    return df.withColumn("odd_count", F.col("prev_count") % 2)
+
+
+#: Two groups: the Poisson fit on a 0/1 feature knows only their sizes and totals.
+_GROUPS = f"""WITH {_LAGGED}, f AS (
+  SELECT case_count AS y, prev_count % 2 AS odd FROM lagged),
+ q AS (SELECT CAST(count(*) AS DOUBLE) AS n, sum(y) FILTER (odd = 0) AS t0, sum(y) FILTER (odd = 1) AS t1,
+    avg(y) FILTER (odd = 0) AS m0, avg(y) FILTER (odd = 1) AS m1, avg(odd) AS m, stddev_pop(odd) AS sd FROM f)"""
+
+
+def _two_groups(spark, sf):
+    train = _odd_count(_train(spark, sf)).persist()
+    try:
+        model = fc.fit_counts(train, "poisson", {"alpha": 0.0}, _ODD)
+        return fc.poisson_inference(model, train.count(), spark)
+    finally:
+        train.unpersist()
+
+
+@query("poisson_inference_closed_form", f"""{_GROUPS}, e AS (
+  SELECT 'odd_count' AS feature, ln(m1 / m0) * sd AS c, sd * sqrt(1 / t0 + 1 / t1) AS se FROM q
+  UNION ALL SELECT 'Intercept', ln(m0) + m * ln(m1 / m0), sqrt(1 / t0 + m * m * (1 / t0 + 1 / t1) - 2 * m / t0) FROM q)
+SELECT feature, round(c, 5) AS coefficient, round(se, 5) AS std_error, round(exp(c), 4) AS rate_ratio,
+  round(c - 1.96 * se, 5) AS ci_lower, round(c + 1.96 * se, 5) AS ci_upper FROM e""")
+def poisson_inference_closed_form(spark, sf):
+    """Coefficients, errors and intervals of a fit on one standardised 0/1 feature."""
+    table, _ = _two_groups(spark, sf)
+    return table.select(
+        "feature", *[F.round(c, 5).alias(c) for c in ("coefficient", "std_error", "ci_lower", "ci_upper")],
+        F.round("rate_ratio", 4).alias("rate_ratio"),
+    )
+
+
+@query("poisson_scores_closed_form", f"""{_GROUPS}, l AS (
+  SELECT 2 * sum(y * ln(y / mu) - (y - mu)) AS deviance, sum(y * ln(mu) - mu - lgamma(y + 1)) AS ll, max(n) AS n
+  FROM (SELECT CAST(y AS DOUBLE) AS y, CASE odd WHEN 0 THEN m0 ELSE m1 END AS mu, n FROM f, q))
+SELECT round(4 - 2 * ll, 3) AS aic, round(deviance, 3) AS deviance, round(deviance - (n - 2) * ln(n), 3) AS bic_deviance,
+  round(2 * ln(n) - 2 * ll, 3) AS bic_likelihood, CAST(n AS INTEGER) AS n_rows FROM l""")
+def poisson_scores_closed_form(spark, sf):
+    _, scores = _two_groups(spark, sf)
+    return rounded(scores, 3)
+
+
+@query("forecast_closed_form", f"""{_GROUPS}, prev AS (
+  SELECT district, count(case_id) FILTER (year = 2001) AS n FROM cases GROUP BY district)
+SELECT district, round(CASE prev.n % 2 WHEN 0 THEN m0 ELSE m1 END, 4) AS predicted_cases, prev.n AS prev_count
+FROM prev, q""")
+def forecast_closed_form(spark, sf):
+    """Forecast of every place by the fit on the 0/1 feature: the mean of its group."""
+    model = fc.fit_counts(_odd_count(_train(spark, sf)), "poisson", {"alpha": 0.0}, _ODD)
+    upcoming = _odd_count(fc.next_year_frame(b.cases(spark, sf), 2002))
+    return rounded(model.predict(upcoming).select("district", "predicted_cases", "prev_count"), 4)
+
+
+@query("scenarios_closed_form", f"""{_GROUPS}, p AS (
+  SELECT district, year + 1 AS year, count(case_id) AS n FROM cases GROUP BY 1, 2),
+ y AS (SELECT CAST(unnest([2001, 2002, 2005]) AS INTEGER) AS year), d AS (SELECT DISTINCT district FROM cases)
+SELECT d.district, y.year, round(CASE coalesce(p.n, 0) % 2 WHEN 0 THEN m0 ELSE m1 END, 4) AS predicted_cases
+FROM d CROSS JOIN y LEFT JOIN p ON p.district = d.district AND p.year = y.year, q""")
+def scenarios_closed_form(spark, sf):
+    model = fc.fit_counts(_odd_count(_train(spark, sf)), "poisson", {"alpha": 0.0}, _ODD)
+    rows = _odd_count(fc.scenario_frame(b.cases(spark, sf), [2001, 2002, 2005]))
+    return rounded(model.predict(rows).select("district", "year", "predicted_cases"), 4)
+
+
 @query("gbt_fit")
 def gbt_fit(spark, sf):
-    model = fc.fit_counts(
-        _train(spark, sf), "gradient_boosting", {"n_estimators": 20, "max_depth": 5}
-    )
+    model = fc.fit_counts(_train(spark, sf), "gradient_boosting", {"max_depth": 5})
     return model.importance(spark)
 
 
@@ -221,9 +288,8 @@ def grid_search(spark, sf):
 
 @query("grid_search_gbt")
 def grid_search_gbt(spark, sf):
-    grid = {"n_estimators": (5, 10), "learning_rate": (0.1,), "max_depth": (3,)}
     _, table = fc.grid_search(
-        _train(spark, sf), "gradient_boosting", grid, ["district", "year"], scoring="neg_mse"
+        _train(spark, sf), "gradient_boosting", K.GBT_GRID, ["district", "year"], scoring="neg_mse"
     )
     return table
 
@@ -239,7 +305,7 @@ def rf_location(spark, sf):
     cases = b.cases(spark, sf).select("row_id", "district", "latitude", "longitude", "age",
                                       "reported_date")
     df = fc.temporal_features(cases)
-    return fc.fit_location_classifier(df, trees=10, depth=5)
+    return fc.fit_location_classifier(df)
 
 
 @query("forecast_next_year")
@@ -262,23 +328,81 @@ def scenarios(spark, sf):
     return fc.scenario_forecasts(model, b.cases(spark, sf), [2002, 2003, 2004])
 
 
-_BACKTEST = {
-    "gradient_boosting": {"n_estimators": 20, "max_depth": 3}, "poisson": {"alpha": 0.1},
-}
+#: The trees are searched on the narrow grid; the wide one is an argument like any other.
+_GRIDS = {"gradient_boosting": K.GBT_GRID, "poisson": K.POISSON_GRID_WIDE}
 
 
 @query("backtest")
 def backtest(spark, sf):
-    out, _ = ev.backtest(b.cases(spark, sf), _TEST_YEAR, params=_BACKTEST)
+    out, _ = ev.backtest(b.cases(spark, sf), _TEST_YEAR, grids=_GRIDS)
     return out
 
 
 @query("backtest_report")
 def backtest_report(spark, sf):
     cases = b.cases(spark, sf)
-    out, models = ev.backtest(cases, _TEST_YEAR, params=_BACKTEST)
+    out, models = ev.backtest(cases, _TEST_YEAR, grids=_GRIDS)
     train = fc.training_frame(cases.filter(F.col("year") < _TEST_YEAR))
-    return ev.backtest_report(out, models, train)
+    return ev.backtest_report(out, models, train).join(ev.chosen_params(models, spark), "model")
+
+
+#: A search whose fits have closed forms: on one 0/1 feature, a tree of depth 1 and
+#: an unpenalised Poisson fit predict the mean of their group, a tree of depth 0 that of all.
+_CLOSED = {
+    "gradient_boosting": {"n_estimators": (1,), "learning_rate": (1.0,), "max_depth": (0, 1)},
+    "poisson": {"alpha": (0.0,), "max_iter": (100, 200)},
+}
+_FOLDED = f"""WITH {_LAGGED.replace("FROM cases GROUP BY", f"FROM cases WHERE year < {_TEST_YEAR} GROUP BY")},
+ f AS (SELECT district, year, case_count AS y, prev_count % 2 AS odd,
+    ntile(3) OVER (ORDER BY district, year) - 1 AS fold FROM lagged),
+ m AS (SELECT t.fold, avg(o.y) AS flat, avg(o.y) FILTER (o.odd = 0) AS m0, avg(o.y) FILTER (o.odd = 1) AS m1
+   FROM (SELECT DISTINCT fold FROM f) t JOIN f o ON o.fold <> t.fold GROUP BY t.fold),
+ sc AS (SELECT f.fold, avg((y - flat) ** 2) AS e0, avg((y - CASE odd WHEN 0 THEN m0 ELSE m1 END) ** 2) AS e1
+   FROM f JOIN m USING (fold) GROUP BY f.fold),
+ tot AS (SELECT -avg(e0) AS s0, -avg(e1) AS s1 FROM sc)"""
+
+
+@query("grid_search_closed_form", f"""{_FOLDED}
+SELECT 'n_estimators=1, learning_rate=1.0, max_depth=0' AS params, round(s0, 4) AS mean_score, s0 >= s1 AS best FROM tot
+UNION ALL SELECT 'n_estimators=1, learning_rate=1.0, max_depth=1', round(s1, 4), s1 > s0 FROM tot
+UNION ALL SELECT 'alpha=0.0, max_iter=100', round(s1, 4), true FROM tot
+UNION ALL SELECT 'alpha=0.0, max_iter=200', round(s1, 4), false FROM tot""")
+def grid_search_closed_form(spark, sf):
+    """Scores of both searches on the history where they are group means."""
+    history = b.cases(spark, sf).filter(F.col("year") < _TEST_YEAR)
+    train = _odd_count(fc.training_frame(history)).persist()
+    try:
+        tables = [
+            fc.grid_search(train, kind, grid, ["district", "year"], _ODD, scoring="neg_mse")[1]
+            for kind, grid in _CLOSED.items()
+        ]
+    finally:
+        train.unpersist()
+    return rounded(tables[0].unionByName(tables[1]), 4)
+
+
+@query("backtest_search", f"""{_FOLDED},
+ fit AS (SELECT avg(y) AS flat, avg(y) FILTER (odd = 0) AS m0, avg(y) FILTER (odd = 1) AS m1 FROM f),
+ now AS (SELECT district, count(*) FILTER (year = {_TEST_YEAR} - 1) AS prev_count FROM cases
+   WHERE year < {_TEST_YEAR} GROUP BY district),
+ act AS (SELECT district, count(*) AS n FROM cases WHERE year = {_TEST_YEAR} GROUP BY district),
+ g AS (SELECT district, coalesce(n, 0) AS actual_cases,
+    CASE prev_count % 2 WHEN 0 THEN m0 ELSE m1 END AS mean, flat, s0, s1
+   FROM now LEFT JOIN act USING (district), fit, tot)
+SELECT district, actual_cases, round(CASE WHEN s0 >= s1 THEN flat ELSE mean END, 4) AS predicted_gradient_boosting,
+  round(mean, 4) AS predicted_poisson,
+  'n_estimators=1, learning_rate=1.0, max_depth=' || CASE WHEN s0 >= s1 THEN 0 ELSE 1 END AS chosen_gradient_boosting,
+  'alpha=0.0, max_iter=100' AS chosen_poisson
+FROM g""")
+def backtest_search(spark, sf):
+    """Search, refit and predictions of a back-test where all of them are group means."""
+    out, models = ev.backtest(
+        b.cases(spark, sf), _TEST_YEAR, grids=_CLOSED, features=_ODD, derive=_odd_count
+    )
+    chosen = {f"chosen_{k}": F.lit(fc.params_text(m.params)) for k, m in models.items()}
+    return rounded(out.withColumns(chosen).select(
+        "district", "actual_cases", *[f"predicted_{k}" for k in models], *chosen
+    ), 4)
 
 
 @query("retrain_forecast")
@@ -288,15 +412,15 @@ def retrain_forecast(spark, sf):
 
 @query("retrain_best")
 def retrain_best(spark, sf):
-    return ev.retrain_best(b.cases(spark, sf), _TEST_YEAR, _BACKTEST)
+    return ev.retrain_best(b.cases(spark, sf), _TEST_YEAR, grids=_GRIDS)
 
 
 @query("gbt_onehot_forecast")
 def gbt_onehot_forecast(spark, sf):
-    forecast, _ = fc.one_hot_forecast(
-        sm.panel_centroid(b.cases(spark, sf)), params={"n_estimators": 20}
-    )
-    return forecast
+    """Forecast of every location with the validation scores of the model."""
+    forecast, scores = fc.one_hot_forecast(sm.panel_centroid(b.cases(spark, sf)))
+    one_row = scores.select(*[F.col(c).alias(f"validation_{c}") for c in scores.columns])
+    return forecast.join(F.broadcast(one_row))
 
 
 @query("latest_centroid_clamped", "WITH " + b.CASES + """, p AS (

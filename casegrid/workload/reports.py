@@ -66,12 +66,22 @@ def stateless_clean_query(spark, sf):
     )
 
 
-@query("clean_cases_geo")
+@query("clean_cases_geo", b.edit_match_tables("dirty", b.DIRTY) + f""",
+ c AS (
+  SELECT row_id, case_id, age, upper(trim(gender)[1]) || lower(trim(gender)[2:]) AS gender,
+    {b.MONTH_FIRST} AS reported_date, CASE WHEN reported_time <> 'na' THEN reported_time END AS reported_time,
+    location_text, {SMART_AGE} AS age_group, CAST(year({b.MONTH_FIRST}) AS INTEGER) AS year,
+    CAST(hour(coalesce(try_strptime(reported_time, '%I:%M %p'),
+      try_strptime(reported_time, '%H:%M'))) AS INTEGER) AS hour
+  FROM dirty)
+SELECT q.*, m.district, {b.MATCHED}, printf('MP-%04d', row_number() OVER (ORDER BY row_id)) AS person_id
+FROM c q LEFT JOIN m ON m.raw = q.location_text WHERE reported_date IS NOT NULL""")
 def clean_cases_geo(spark, sf):
     """Raw extract to cleaned cases with matched places and ids."""
     aliases = gz.alias_table(b.region_gazetteer(spark, sf))
     return clean_extract(
-        b.dirty(spark, sf), aliases, home_city=b.HOME_CITY, keywords=b.HOME_KEYWORDS, venues=()
+        b.dirty(spark, sf), aliases, home_city=b.HOME_CITY, keywords=b.HOME_KEYWORDS,
+        venues=b.HOME_VENUES, similarity="edit",
     )
 
 
@@ -98,7 +108,7 @@ def trend_report_query(spark, sf):
 @query("hotspot_study")
 def hotspot_study_query(spark, sf):
     """Raw cases to the forecast layer in one go, all its tables."""
-    return long_table(hotspot_study(b.gappy(spark, sf), (2, 4), n_init=2))
+    return long_table(hotspot_study(b.gappy(spark, sf)))
 
 
 # --- map and chart tables --------------------------------------------------------------------

@@ -14,12 +14,13 @@ from casegrid.operators.places import similarity_kernel
 import pandas as pd
 def seen(batches):
     for b in batches:
-        yield pd.DataFrame({"path": [p for p in sys.path if p == ROOT], "n": 0})
+        yield pd.DataFrame({"found": [sum(p == ROOT for p in sys.path)]})
 texts = spark.createDataFrame([("manila", False, 1)], "norm string, hint boolean, k int")
 aliases = spark.createDataFrame([("o", "city", "manila", True, 1)], "ordinal string, level string, alias string, home boolean, k int")
 rows = texts.groupBy("k").cogroup(aliases.groupBy("k")).applyInPandas(
     similarity_kernel, "norm string, hint boolean, level string, score double, ordinal string").collect()
-print("SCORE", rows[0].score, spark.range(1).mapInPandas(seen, "path string, n int").count())
+found = sum(r.found for r in spark.range(1).mapInPandas(seen, "found long").collect())
+print("SCORE", rows[0].score, found)
 """
 
 
