@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import product
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -30,6 +32,8 @@ BLOCK_TAGS = frozenset(
 SILENT_TAGS = frozenset(
     "script style noscript template svg math iframe object canvas audio video head title".split()
 )
+HEADING_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+LISTED_TAGS = ("li", "dd", "dt", "option")
 #: Elements without an end tag.
 VOID_TAGS = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
@@ -62,10 +66,12 @@ FRAME_TAGS = frozenset("html body article main".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    # a quote opens a value only after an equals sign; any other one is a character
+    r"|<(?P<end>/)?(?P<tag>[a-zA-Z][^\s/>]*)"
+    r"(?P<attrs>(?:[^>\"'=]++|=\s*+(?:\"[^\"]*\"|'[^']*')|[=\"'])*+)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.S)
+_ATTRIBUTE = re.compile(r"([^\s=\"'>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.S)
 _HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?=\s|=|/|$)|aria-hidden\s*=\s*[\"']?true)", re.I)
 _SPACE = re.compile(r"\s+")
 _SILENT_END = {t: re.compile(rf"</{t}\s*(?=[>/\s])[^>]*>", re.I) for t in SILENT_TAGS}
@@ -80,8 +86,8 @@ class Block:
     listed: bool = False
     furniture: bool = False
     article: bool = False
-    #: Elements around the block that may be wrappers of the page, not furniture.
-    wrappers: frozenset[int] = frozenset()
+    #: Innermost element around the block that may be a wrapper of the page, not furniture.
+    wrapper: int = 0
 
     @property
     def density(self) -> float:
@@ -91,9 +97,61 @@ class Block:
 @dataclass
 class _Open:
     tag: str
+    block: bool
     furniture: bool
     article: bool
     wrapper: int = 0
+    #: Inline elements open since a block element was, by tag.
+    inline: Counter = field(default_factory=Counter)
+
+
+class _Stack:
+    """Open elements, with counts of what a block has to know of them."""
+
+    def __init__(self):
+        self.open = [_Open("", True, False, False)]
+        self.tags, self.furniture, self.article, self.levels = Counter(), 0, 0, [0]
+        self.wrappers = [0]
+
+    @property
+    def top(self) -> _Open:
+        return self.open[-1]
+
+    def push(self, element: _Open) -> None:
+        self.open.append(element)
+        self.tags[element.tag] += 1
+        self.furniture += element.furniture and not element.wrapper
+        self.article += element.article
+        if element.wrapper:
+            self.wrappers.append(element.wrapper)
+        if element.block:
+            self.levels.append(len(self.open) - 1)
+        else:
+            self.open[self.levels[-1]].inline[element.tag] += 1
+
+    def pop(self) -> None:
+        element = self.open.pop()
+        self.tags[element.tag] -= 1
+        self.furniture -= element.furniture and not element.wrapper
+        self.article -= element.article
+        if element.wrapper:
+            self.wrappers.pop()
+        if element.block:
+            self.levels.pop()
+        else:
+            self.open[self.levels[-1]].inline[element.tag] -= 1
+
+    def close(self, tag: str) -> None:
+        """End tag: pops to its element; an inline end tag closes no block."""
+        within = self.tags[tag] if tag in BLOCK_TAGS else self.open[self.levels[-1]].inline[tag]
+        while within:
+            done = self.top.tag == tag
+            self.pop()
+            if done:
+                break
+
+    def any(self, tags) -> bool:
+        return any(self.tags[t] for t in tags)
 
 
 @dataclass
@@ -129,27 +187,35 @@ def _marks(tag: str, attrs: str) -> tuple[bool, bool, bool]:
     return furniture or weak or hidden, article or named, loose
 
 
-def _unwrap(page: list[Block]) -> None:
+def _unwrap(page: list[Block], parents: dict[int, int]) -> None:
     """Furniture marks go from elements that hold most of the page's words, with no
-    long text beside them; the outer ones first."""
-    total = sum(b.words - b.linked for b in page)
-    held: dict[int, int] = {}
+    long text beside them; the outer ones first.
+
+    `parents` names the possible wrappers in page order with the one around them.
+    Those that hold most words stand inside each other, so one walk inwards finds
+    which of them are wrappers.
+    """
+    held, long = Counter(), set()
     for b in page:
-        for k in b.wrappers:
-            held[k] = held.get(k, 0) + b.words - b.linked
-    for k in sorted(k for k, n in held.items() if 2 * n > total):
-        beside = (b for b in page if k not in b.wrappers and not b.furniture and not b.wrappers)
-        if not any(b.words - b.linked >= LONG_WORDS for b in beside):
-            for b in page:
-                b.wrappers -= {k}
+        held[b.wrapper] += b.words - b.linked
+        if not b.furniture and b.words - b.linked >= LONG_WORDS:
+            long.add(b.wrapper)
+    for k in reversed(parents):
+        held[parents[k]] += held[k]
+    total, beside, free = held[0], 0 in long, {0}
+    for k in parents:
+        if 2 * held[k] > total and not beside:
+            free.add(k)
+            beside = k in long
     for b in page:
-        b.furniture |= bool(b.wrappers)
+        b.furniture |= b.wrapper not in free
 
 
 def blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order; empty ones are left out."""
+    """Text blocks of a page in order; empty ones are left out.  Linear in the page."""
     out: list[Block] = []
-    stack: list[_Open] = []
+    stack = _Stack()
+    parents: dict[int, int] = {}
     flow = _Flow()
 
     def flush() -> None:
@@ -159,14 +225,11 @@ def blocks(page: str) -> list[Block]:
             # Words of parts can join over inline tags, so link words are capped by all words.
             n = len(text.split())
             linked = min(n, sum(count(p) for p, in_link in zip(flow.parts, flow.linked, strict=True) if in_link))
-            tags = [o.tag for o in stack]
-            header = "header" in tags and not any(o.article for o in stack)
-            article = any(o.article for o in stack)
+            article = stack.article > 0
             out.append(Block(
-                text, n, linked, any(re.fullmatch("h[1-6]", t) for t in tags),
-                any(t in ("li", "dd", "dt", "option") for t in tags),
-                header or any(o.furniture and not o.wrapper for o in stack), article,
-                frozenset(o.wrapper for o in stack if o.wrapper),
+                text, n, linked, stack.any(HEADING_TAGS), stack.any(LISTED_TAGS),
+                stack.tags["header"] > 0 and not article or stack.furniture > 0, article,
+                stack.wrappers[-1],
             ))
         flow.parts.clear()
         flow.linked.clear()
@@ -174,7 +237,7 @@ def blocks(page: str) -> list[Block]:
     def add(text: str) -> None:
         if text:
             flow.parts.append(text)
-            flow.linked.append(any(o.tag == "a" for o in stack))
+            flow.linked.append(stack.tags["a"] > 0)
 
     at = 0
     while m := _TOKEN.search(page, at):
@@ -188,27 +251,25 @@ def blocks(page: str) -> list[Block]:
         if tag in BLOCK_TAGS:
             flush()
         if m["end"]:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in BLOCK_TAGS and tag not in BLOCK_TAGS:
-                    break  # an inline end tag does not close blocks
+            stack.close(tag)
         elif tag in SILENT_TAGS and tag not in ("head",) and not m["attrs"].rstrip().endswith("/"):
             end = _SILENT_END[tag].search(page, at)
             at = end.end() if end else len(page)
         elif tag not in VOID_TAGS and not m["attrs"].rstrip().endswith("/"):
-            if tag in BLOCK_TAGS and stack and stack[-1].tag not in BLOCK_TAGS:
+            if tag in BLOCK_TAGS:
                 # A block inside an unclosed inline element: the element ends here.
-                while stack and stack[-1].tag not in BLOCK_TAGS and stack[-1].tag != "a":
+                while not stack.top.block and stack.top.tag != "a":
                     stack.pop()
-            if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack and stack[-1].tag == tag:
+            if tag in ("p", "li", "dt", "dd", "option", "tr", "td", "th") and stack.top.tag == tag:
                 stack.pop()  # its end tag was left out
             furniture, article, loose = _marks(tag, m["attrs"])
-            stack.append(_Open(tag, furniture, article, m.end() if loose else 0))
+            number = len(parents) + 1 if loose else 0
+            if loose:
+                parents[number] = stack.wrappers[-1]
+            stack.push(_Open(tag, tag in BLOCK_TAGS, furniture, article, number))
     add(page[at:])
     flush()
-    _unwrap(out)
+    _unwrap(out, parents)
     return out
 
 
@@ -238,76 +299,56 @@ def features(page: list[Block]) -> list[list[float]]:
     return [[float(x) for x in r] for r in rows]
 
 
-#: Labelled blocks: what stands on a page, and whether it is main text.  Columns
-#: are those of FEATURES, the last one the label.
-LABELLED = (
-    # paragraphs of an article, long and short, with and without links
-    (60, 0.0, 0, 1, 0, 0, 9, 0.0, 45, 0.0, 0, 0, 1, 1),
-    (45, 0.1, 0, 1, 0, 0, 60, 0.0, 80, 0.0, 0, 0, 1, 1),
-    (3, 0.0, 0, 1, 0, 0, 45, 0.0, 50, 0.0, 0, 0, 1, 1),
-    (1, 0.0, 0, 1, 0, 0, 2, 0.0, 1, 0.0, 0, 0, 1, 1),
-    (8, 0.9, 0, 1, 0, 0, 30, 0.0, 40, 0.0, 0, 0, 1, 1),
-    (120, 0.02, 0, 1, 0, 0, 0, 0.0, 7, 0.0, 0, 1, 1, 1),
-    (12, 0.0, 0, 1, 0, 1, 10, 0.0, 14, 0.0, 0, 0, 1, 1),
-    (6, 1.0, 0, 1, 0, 1, 12, 0.0, 11, 0.5, 0, 0, 1, 1),
-    (50, 0.0, 0, 1, 0, 0, 10, 1.0, 4, 1.0, 1, 1, 1, 1),
-    (2, 0.0, 0, 1, 0, 0, 1, 1.0, 1, 1.0, 0, 0, 1, 1),
-    (9, 0.7, 0, 1, 0, 0, 3, 1.0, 2, 1.0, 0, 0, 1, 1),
-    (3, 1.0, 0, 1, 0, 0, 40, 0.0, 50, 0.0, 0, 0, 1, 1),
-    (2, 1.0, 0, 1, 0, 1, 2, 1.0, 2, 1.0, 0, 0, 1, 1),
-    (4, 0.5, 0, 1, 0, 0, 25, 0.0, 0, 0.0, 0, 0, 1, 1),
-    (4, 0.0, 0, 1, 0, 0, 30, 0.0, 1, 1.0, 0, 1, 1, 1),
-    (8, 0.0, 0, 1, 0, 0, 20, 0.0, 2, 1.0, 0, 1, 1, 1),
-    (3, 0.0, 0, 1, 0, 0, 0, 0.0, 3, 0.9, 0, 0, 1, 1),
-    (10, 0.4, 0, 1, 0, 0, 12, 0.0, 5, 1.0, 0, 0, 1, 1),
-    # its headings
-    (8, 0.0, 0, 1, 1, 0, 6, 0.0, 50, 0.0, 1, 0, 1, 1),
-    (2, 0.0, 0, 1, 1, 0, 70, 0.0, 55, 0.0, 0, 0, 1, 1),
-    # furniture around and inside an article
-    (1, 1.0, 1, 0, 0, 1, 1, 1.0, 1, 1.0, 1, 1, 1, 0),
-    (1, 1.0, 1, 0, 0, 1, 0, 0.0, 1, 1.0, 0, 1, 0, 0),
-    (9, 0.0, 1, 0, 0, 0, 1, 1.0, 8, 0.0, 1, 0, 1, 0),
-    (40, 0.0, 1, 0, 0, 0, 60, 0.0, 0, 0.0, 0, 0, 1, 0),
-    (12, 0.1, 1, 0, 0, 0, 55, 0.0, 0, 0.0, 0, 0, 0, 0),
-    (25, 0.0, 1, 1, 0, 0, 60, 0.0, 50, 0.0, 0, 0, 1, 0),
-    (5, 0.8, 1, 1, 0, 0, 30, 0.0, 4, 0.9, 0, 1, 1, 0),
-    (80, 0.0, 1, 0, 0, 0, 20, 0.0, 70, 0.0, 1, 1, 0, 0),
-    (4, 0.0, 1, 0, 1, 0, 12, 0.0, 30, 0.0, 0, 1, 0, 0),
+#: Kinds of neighbours: words, link density, furniture.
+NONE, MENU, NOTICE = (0, 0.0, 0), (2, 1.0, 1), (12, 0.0, 1)
+LINKS, SHORT, TEXT = (3, 1.0, 0), (6, 0.0, 0), (60, 0.0, 0)
+_ANY = (NONE, MENU, NOTICE, LINKS, SHORT, TEXT)
+_CALM = (NONE, NOTICE, SHORT, TEXT)
+_WORDS = (1, 5, 15, 50, 150)
+
+#: The labelled table, by kinds: words, densities, furniture, article, heading,
+#: listed, what stands before and after, whether the page marks its article, and
+#: whether such blocks are main text.
+KINDS = (
+    # an article: its paragraphs, headings and lists, short and long
+    (_WORDS, (0.0, 0.1, 0.4), (0,), (1,), (0, 1), (0, 1), _ANY, _ANY, (1,), 1),
+    # a linked line or item among text, and lists of links
+    ((2, 6, 12), (0.8, 1.0), (0,), (1,), (0,), (0, 1), _CALM, _CALM, (1,), 1),
+    ((2, 6, 12), (0.8, 1.0), (0,), (1,), (0,), (1,), (LINKS,), _ANY, (1,), 0),
+    ((2, 6, 12), (0.8, 1.0), (0,), (1,), (0,), (1,), _CALM, (LINKS,), (1,), 0),
+    ((2, 9, 25), (0.9, 1.0), (0,), (1,), (0,), (0,), (LINKS,), (LINKS, NONE, MENU), (1,), 0),
+    # page furniture, inside an article or not
+    ((1, 5, 15, 50, 80), (0.0, 0.5, 1.0), (1,), (0, 1), (0, 1), (0, 1), _ANY, _ANY, (0, 1), 0),
     # loose text beside a marked article
-    (7, 0.0, 0, 0, 0, 0, 5, 1.0, 6, 1.0, 1, 1, 1, 0),
-    (30, 0.0, 0, 0, 0, 0, 4, 0.5, 50, 0.0, 0, 0, 1, 0),
-    (5, 0.0, 0, 0, 1, 0, 3, 1.0, 9, 0.0, 1, 0, 1, 0),
-    (3, 1.0, 0, 0, 0, 1, 3, 1.0, 3, 1.0, 0, 0, 1, 0),
-    (20, 0.0, 0, 0, 0, 0, 10, 0.0, 30, 0.0, 0, 0, 1, 0),
-    (60, 0.0, 0, 0, 0, 0, 40, 0.0, 30, 0.0, 0, 0, 1, 0),
-    (45, 0.0, 0, 0, 0, 0, 5, 1.0, 2, 0.0, 0, 0, 1, 0),
-    (2, 0.0, 0, 0, 0, 0, 50, 0.0, 40, 0.0, 0, 0, 1, 0),
-    # pages without a marked article: long text with few links, its headings and short neighbours
-    (70, 0.0, 0, 0, 0, 0, 8, 0.0, 60, 0.0, 0, 0, 0, 1),
-    (25, 0.05, 0, 0, 0, 0, 70, 0.0, 4, 0.0, 0, 0, 0, 1),
-    (15, 0.0, 0, 0, 0, 0, 40, 0.0, 35, 0.0, 0, 0, 0, 1),
-    (12, 0.1, 0, 0, 0, 0, 1, 1.0, 45, 0.0, 1, 0, 0, 1),
-    (5, 0.0, 0, 0, 0, 0, 50, 0.0, 40, 0.0, 0, 0, 0, 1),
-    (55, 0.0, 0, 0, 0, 0, 3, 1.0, 2, 1.0, 0, 0, 0, 1),
-    (40, 0.0, 0, 0, 0, 0, 30, 0.0, 2, 1.0, 0, 1, 0, 1),
-    (20, 0.0, 0, 0, 0, 0, 2, 0.0, 1, 1.0, 0, 0, 0, 1),
-    (6, 0.0, 0, 0, 1, 0, 1, 1.0, 60, 0.0, 1, 0, 0, 1),
-    (3, 0.0, 0, 0, 1, 0, 60, 0.0, 44, 0.0, 0, 0, 0, 1),
-    (14, 0.0, 0, 0, 0, 1, 30, 0.0, 16, 0.0, 0, 0, 0, 1),
-    (2, 0.0, 0, 0, 0, 0, 22, 0.0, 22, 0.0, 0, 0, 0, 1),
-    (4, 0.0, 0, 0, 0, 0, 12, 0.0, 30, 0.0, 0, 0, 0, 1),
-    (1, 0.0, 0, 0, 1, 0, 2, 1.0, 22, 0.0, 1, 0, 0, 1),
-    (4, 0.0, 0, 0, 1, 0, 0, 0.0, 18, 0.0, 0, 0, 0, 1),
-    # and their link lists, bylines far from text, and short leftovers
-    (2, 1.0, 0, 0, 0, 1, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (10, 0.9, 0, 0, 0, 0, 3, 1.0, 9, 0.8, 0, 0, 0, 0),
-    (30, 0.8, 0, 0, 0, 0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
-    (3, 0.5, 0, 0, 0, 0, 60, 0.0, 2, 1.0, 0, 0, 0, 0),
-    (4, 0.0, 0, 0, 0, 0, 2, 1.0, 3, 1.0, 0, 0, 0, 0),
-    (2, 0.0, 0, 0, 1, 0, 2, 1.0, 2, 1.0, 0, 0, 0, 0),
+    (_WORDS, (0.0, 0.4, 1.0), (0,), (0,), (0, 1), (0, 1), _ANY, _ANY, (1,), 0),
+    # no marked article: text with few links, whatever stands beside it
+    ((14, 50, 150), (0.0, 0.1), (0,), (0,), (0, 1), (0, 1), _ANY, _ANY, (0,), 1),
+    # short lines and headings beside text, or on a page of short lines
+    ((1, 5), (0.0, 0.1), (0,), (0,), (0, 1), (0, 1), (TEXT,), _ANY, (0,), 1),
+    ((1, 5), (0.0, 0.1), (0,), (0,), (0, 1), (0, 1), _ANY, (TEXT,), (0,), 1),
+    ((1, 5), (0.0,), (0,), (0,), (0, 1), (0, 1), (NONE, SHORT), (NONE, SHORT), (0,), 1),
+    ((3, 5), (0.0,), (0,), (0,), (0,), (0,), (MENU,), (NONE, SHORT, NOTICE), (0,), 1),
+    # short lines among links, link lists, lines half of links
+    ((2, 5), (0.0, 0.1), (0,), (0,), (0, 1), (0, 1), (LINKS,), (LINKS, MENU, NONE), (0,), 0),
+    ((2, 10, 30), (0.7, 1.0), (0,), (0,), (0, 1), (0, 1), _ANY, _ANY, (0,), 0),
+    ((3,), (0.5,), (0,), (0,), (0,), (0, 1), _ANY, (LINKS,), (0,), 0),
 )
 
 
+def labelled() -> list[tuple]:
+    """Rows of FEATURES with the label last, one for each combination of a kind."""
+    rows = []
+    for words, densities, furniture, article, heading, listed, before, after, marked, label in KINDS:
+        for w, d, f, a, h, li, x, y, m in product(
+            words, densities, furniture, article, heading, listed, before, after, marked
+        ):
+            rows.append((w, d, f, a, h, li, *x[:2], *y[:2], x[2], y[2], m, label))
+    return rows
+
+
+LABELLED = labelled()
+
+
 def _gini(rows) -> float:
     p = sum(r[-1] for r in rows) / len(rows)
     return 2 * p * (1 - p) * len(rows)
