@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from .common import table, whole
 
@@ -81,8 +82,9 @@ def format_chat(
     trained role.  attachments: (kind, ref, tokens) in order of placeholders.
     Turns stand in order of `turn`, NULL first, equal turns by role and then
     content, so that repeated rows stay and come out in a defined order.  A NULL
-    role is an empty one, NULL parts none, NULL conversation ids one conversation.
-    Other columns are ignored.
+    role is an empty one, NULL parts none, NULL conversation ids one conversation;
+    texts and conversations of any length are formatted whole; an empty table
+    gives no rows.  Other columns are ignored.
     """
     part_list = F.coalesce(F.col(parts), F.array().cast(f"array<{PART}>"))
     rows = turns.select(
@@ -98,32 +100,36 @@ def format_chat(
             (whole(role) == trained_role).alias("trained"),
         ).alias("t"),
     )
-    grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list("t")).alias("turns"))
-    line = lambda t: F.concat(F.lit(START), t["role"], F.lit("\n"), t["content"], F.lit(END + "\n"))
-    head = lambda t: F.char_length(t["role"]) + len(START) + 1
-    start = F.struct(
-        F.array().cast("array<struct<start:int,end:int>>").alias("spans"), F.lit(0).alias("at")
+    head = F.char_length("t.role") + len(START) + 1
+    content = F.char_length("t.content")
+    # where a turn ends is a running sum over the turns before it, not a growing array
+    through = F.sum(head + content + len(END) + 1).over(
+        W.partitionBy("conv_id").orderBy("t").rowsBetween(W.unboundedPreceding, 0)
+    )
+    placed = rows.withColumn("through", through)
+    end = F.col("through") - (len(END) + 1)
+    span = F.struct((end - content).cast("int").alias("start"), end.cast("int").alias("end"))
+    grouped = placed.select("conv_id", F.struct("t", "through", span.alias("span")).alias("u")).groupBy("conv_id").agg(
+        F.sort_array(F.collect_list("u")).alias("turns")
     )
 
-    def walk(a, t):
-        begin = a["at"] + head(t)
-        end = begin + F.char_length(t["content"])
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(
-            F.when(t["trained"], F.concat(a["spans"], span)).otherwise(a["spans"]).alias("spans"),
-            (end + len(END) + 1).alias("at"),
-        )
+    def line(u: Column) -> Column:
+        return F.concat(F.lit(START), u["t"]["role"], F.lit("\n"), u["t"]["content"], F.lit(END + "\n"))
 
     return grouped.select(
         "conv_id",
         F.array_join(F.transform("turns", line), "").alias("formatted"),
-        F.aggregate("turns", start, walk, lambda a: a["spans"]).alias("loss_spans"),
-        F.flatten(F.transform("turns", lambda t: t["attachments"])).alias("attachments"),
+        F.transform(F.filter("turns", lambda u: u["t"]["trained"]), lambda u: u["span"]).alias("loss_spans"),
+        F.flatten(F.transform("turns", lambda u: u["t"]["attachments"])).alias("attachments"),
     )
 
 
 def parse_chat(chats: DataFrame, formatted: str = "formatted") -> DataFrame:
-    """Add `turns` (role, text), read back from the formatted string alone."""
+    """Add `turns` (role, text), read back from the formatted string alone.
+
+    A NULL string has NULL turns, an empty one none; repeated rows stay; an empty
+    table gives an empty one.
+    """
     pieces = F.split(F.col(formatted), r"<\|im_end\|>\n", -1)
     bodies = F.transform(
         F.slice(pieces, 1, F.greatest(F.size(pieces) - 1, F.lit(0))),

@@ -634,8 +634,12 @@ def first_of_groups(
     sets, named, _ = _groups(docs, text, doc_id, threshold, size)
     alone = sets.filter("n = 0").select("doc_id", "copy").distinct()
     heads = named.filter("head is not null").select("head.*").unionByName(alone)
-    heads = heads.select(F.col("doc_id").alias("_head"), F.col("copy").alias("_copy"))
-    marked = docs.withColumns({"_head": _number(doc_id), "_copy": _copy(text)})
-    kept = marked.join(heads, ["_head", "_copy"], "left_semi")
-    equal = W.partitionBy("_head", "_copy").orderBy("_copy")
-    return kept.withColumn("_n", F.row_number().over(equal)).filter("_n = 1").select(*docs.columns)
+    # the input goes along as one column, so that no name of it can meet one made here
+    marked = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("in"),
+        _number(doc_id).alias("doc_id"), _copy(text).alias("copy"),
+    )
+    kept = marked.join(heads, ["doc_id", "copy"], "left_semi")
+    equal = W.partitionBy("doc_id", "copy").orderBy("copy")
+    first = kept.withColumn("n", F.row_number().over(equal)).filter("n = 1")
+    return first.select(*[F.col("in")[c].alias(c) for c in docs.columns])

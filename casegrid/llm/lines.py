@@ -80,42 +80,45 @@ def dropped_lines(
     ).select("doc", "row", "pos")
 
 
-def runs_of(positions: Column, n: Column) -> Column:
-    """A keep bitmap as run lengths: kept, dropped, kept, ... adding up to `n`.
+def _shifted(values: Column, first: Column) -> Column:
+    """The values one place on, `first` before them."""
+    return F.concat(F.array(first), F.slice(values, 1, F.size(values) - 1))
 
-    `positions` are the sorted dropped ones; NULL or none make one kept run.
-    """
-    start = F.struct(F.array().cast("array<int>").alias("runs"), F.lit(0).alias("end"))
 
-    def take(a, p):
-        last = F.size(a["runs"])
-        longer = F.concat(
-            F.slice(a["runs"], 1, last - 1), F.array(F.element_at(a["runs"], -1) + 1)
-        )
-        fresh = F.concat(a["runs"], F.array(p - a["end"], F.lit(1)))
-        return F.struct(
-            F.when((last > 0) & (p == a["end"]), longer).otherwise(fresh).alias("runs"),
-            (p + 1).alias("end"),
-        )
+def runs_of(positions: Column) -> Column:
+    """Run lengths kept, dropped, kept, ... up to the last dropped position.
+
+    `positions` are the dropped ones, sorted and not empty.  Every step is one
+    pass over an array, none looks into another one or grows one.
+    """
+    def pair(a, b):
+        return F.struct(a.alias("p"), b.alias("q"))
 
-    return F.aggregate(
-        F.coalesce(positions, F.array().cast("array<int>")), start, take,
-        lambda a: F.concat(a["runs"], F.array((n - a["end"]).cast("int"))),
+    after = F.concat(F.slice(positions, 2, F.size(positions)), F.array(F.lit(-2)))
+    starts = F.transform(
+        F.filter(F.zip_with(positions, _shifted(positions, F.lit(-2)), pair), lambda e: e["p"] != e["q"] + 1),
+        lambda e: e["p"],
     )
+    ends = F.transform(
+        F.filter(F.zip_with(positions, after, pair), lambda e: e["p"] + 1 != e["q"]), lambda e: e["p"] + 1
+    )
+    kept = F.zip_with(starts, _shifted(ends, F.lit(0)), lambda s, e: s - e)
+    dropped = F.zip_with(starts, ends, lambda s, e: e - s)
+    return F.flatten(F.zip_with(kept, dropped, lambda k, d: F.array(k, d)))
 
 
 def keep_bitmaps(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS,
 ) -> DataFrame:
-    """One row per document that loses a line: doc, row, dropped positions, sorted.
+    """One row per document that loses a line: doc, row, runs.
 
-    `runs_of` turns the positions into the run-length bitmap.
+    The bitmap counts kept and dropped lines in turn, up to the last dropped one.
     """
     return (
         dropped_lines(docs, text, doc_id, min_chars, min_docs)
         .groupBy("doc", "row")
-        .agg(F.sort_array(F.collect_set("pos")).alias("positions"))
+        .agg(runs_of(F.sort_array(F.collect_set("pos"))).alias("runs"))
     )
 
 
@@ -125,26 +128,37 @@ def dedup_lines(
 ) -> DataFrame:
     """Add n_lines, n_dropped, keep_runs (the bitmap) and kept_text to every row.
 
-    A NULL or empty text is one empty line, which stays.  An empty table gives an
-    empty table.  Columns of the input named like an added one are replaced.
+    keep_runs counts kept and dropped lines in turn and adds up to n_lines.  A
+    NULL or empty text is one empty line, which stays.  Texts of any length and
+    number of lines are handled whole; of repeated lines in one document all stay
+    or all go; repeated rows get the same decisions.  An empty table gives an
+    empty table.  Columns of the input named like an added one are replaced, all
+    others keep their values, whatever their names.
     """
     made = ["n_lines", "n_dropped", "keep_runs", "kept_text"]
-    bitmaps = keep_bitmaps(docs, text, doc_id, min_chars, min_docs).select(
-        F.col("doc").alias("_doc"), F.col("row").alias("_row"), F.col("positions").alias("_positions")
+    bitmaps = keep_bitmaps(docs, text, doc_id, min_chars, min_docs)
+    kept_columns = [c for c in docs.columns if c not in made]
+    # the input goes along as one column, so that no name of it can meet one made here
+    left = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("in"), F.col(doc_id).alias("id"),
+        F.xxhash64(text).alias("hash"), F.split(whole(text), "\n").alias("split"),
+    )
+    joined = left.join(bitmaps, left["id"].eqNullSafe(bitmaps["doc"]) & (left["hash"] == bitmaps["row"]), "left")
+    n = F.size("split")
+    none = F.array().cast("array<int>")
+    total = F.aggregate(F.coalesce("runs", none), F.lit(0), lambda a, r: a + r)
+    runs = F.concat(F.coalesce("runs", none), F.array(n - total))
+    flags = F.flatten(F.transform(runs, lambda r, k: F.array_repeat(k % 2 == 0, r)))
+    marked = F.zip_with("split", flags, lambda line, keep: F.struct(line.alias("line"), keep.alias("keep")))
+    kept = F.transform(F.filter(marked, lambda e: e["keep"]), lambda e: e["line"])
+    dropped = F.aggregate(
+        F.transform(F.coalesce("runs", none), lambda r, k: F.when(k % 2 == 1, r).otherwise(0)),
+        F.lit(0), lambda a, r: a + r,
+    )
+    unchanged = whole(F.col("in")[text]) if text in kept_columns else F.array_join("split", "\n")
+    return joined.select(
+        *[F.col("in")[c].alias(c) for c in kept_columns],
+        n.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"),
+        runs.alias("keep_runs"),
+        F.when(F.col("runs").isNull(), unchanged).otherwise(F.array_join(kept, "\n")).alias("kept_text"),
     )
-    left = docs.drop(*made).withColumn("_hash", F.xxhash64(text))
-    joined = left.join(
-        bitmaps, left[doc_id].eqNullSafe(bitmaps["_doc"]) & (left["_hash"] == bitmaps["_row"]), "left"
-    ).withColumn("_split", F.split(whole(text), "\n"))
-    n = F.size("_split")
-    joined = joined.withColumn("keep_runs", runs_of(F.col("_positions"), n))
-    flags = F.flatten(F.transform("keep_runs", lambda r, k: F.array_repeat(k % 2 == 0, r)))
-    joined = joined.withColumn("_keep", F.when(F.size("keep_runs") > 1, flags))
-    kept = F.filter("_split", lambda line, i: F.get("_keep", i))
-    return joined.withColumns({
-        "n_lines": n.cast("long"),
-        "n_dropped": F.coalesce(F.size("_positions").cast("long"), F.lit(0).cast("long")),
-        "kept_text": F.when(F.col("_positions").isNull(), whole(text)).otherwise(
-            F.array_join(kept, "\n")
-        ),
-    }).select(*docs.drop(*made).columns, *made)

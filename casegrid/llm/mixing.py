@@ -167,25 +167,30 @@ def repeated(
 ) -> DataFrame:
     """The mix itself: every row as often as it is taken, with its own columns.
 
-    Equal rows (id, text and source) share their repetitions out among them.
+    Equal rows (id, text and source) share their repetitions out among them.  A
+    NULL or empty text has no size and is not taken; an empty table gives no rows.
+    All columns keep their values, whatever their names.
     """
-    keys = ["_id", "_row", "_source"]
     taken = (
         mix(docs, text, source, doc_id, max_epochs, seed)
-        .groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"), F.col("source").alias("_source"))
-        .agg(F.sum("repeats").alias("_repeats"))
-        .filter("_repeats > 0")
+        .groupBy(F.col("doc_id").alias("id"), "row", F.col("source").alias("of"))
+        .agg(F.sum("repeats").alias("repeats"))
+        .filter("repeats > 0")
+    )
+    # the input goes along as one column, so that no name of it can meet one made here
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("in"),
+        F.col(doc_id).alias("key_id"), F.xxhash64(text).alias("key_row"), F.col(source).alias("key_of"),
     )
-    rows = docs.withColumn("_hash", F.xxhash64(text))
     same = (
-        rows[doc_id].eqNullSafe(taken["_id"])
-        & (rows["_hash"] == taken["_row"])
-        & rows[source].eqNullSafe(taken["_source"])
+        rows["key_id"].eqNullSafe(taken["id"]) & (rows["key_row"] == taken["row"])
+        & rows["key_of"].eqNullSafe(taken["of"])
     )
     joined = rows.join(taken, same)
-    equal = W.partitionBy(*keys)
-    number = F.row_number().over(equal.orderBy("_id"))
-    share = joined.withColumns({"_n": number, "_of": F.count("*").over(equal)})
-    times = F.floor((F.col("_repeats") + F.col("_of") - F.col("_n")) / F.col("_of")).cast("int")
-    copies = share.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
-    return copies.select(*docs.columns)
+    equal = W.partitionBy("id", "row", "of")
+    share = joined.withColumns(
+        {"n": F.row_number().over(equal.orderBy("id")), "equals": F.count("*").over(equal)}
+    )
+    times = F.floor((F.col("repeats") + F.col("equals") - F.col("n")) / F.col("equals")).cast("int")
+    copies = share.withColumn("copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return copies.select(*[F.col("in")[c].alias(c) for c in docs.columns])

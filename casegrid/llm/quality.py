@@ -116,16 +116,18 @@ def _passes(rule: Rule) -> Column:
 def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Add counts, ratios, `base_failed` and `kept` to every row.
 
-    A NULL or empty text has no words and fails.  Repeated rows are judged each
-    on its own.  Columns of the input keep their values unless they have the
-    name of a measure, which is replaced; names with a leading underscore are
-    working columns and do not appear in the result.
+    A NULL or empty text has no words and fails; texts of any length are measured
+    whole.  Repeated rows are judged each on its own; an empty table gives an
+    empty one.  Columns of the input keep their values, whatever their names,
+    unless they have the name of a measure, which is replaced.
     """
-    columns = [c for c in docs.columns]
     drop = lambda chars: F.translate("_text", chars, "")
     n_chars = F.char_length("_text")
     has_word = lambda line: F.length(F.regexp_replace(line, GAP, "")) > 0
-    df = docs.withColumn("_text", whole(text))
+    # the input goes along as one column, so that no name of it can meet one made here
+    df = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), whole(text).alias("_text")
+    )
     df = df.withColumns({
         "_words": words(F.col("_text")),
         "_split": F.filter(F.split("_text", "\n"), has_word),
@@ -155,4 +157,4 @@ def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     df = df.withColumns({"base_failed": base_failed, "kept": ~base_failed & verdict & here})
     made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *_measures(),
             "base_failed", "kept"]
-    return df.select(*(c for c in columns if c not in made), *made)
+    return df.select(*(F.col("_in")[c].alias(c) for c in docs.columns if c not in made), *made)
