@@ -152,5 +152,7 @@ GBT_GRID_WIDE = {
     "n_estimators": (50, 100, 200), "learning_rate": (0.01, 0.05, 0.1),
     "max_depth": (3, 5, 7), "min_samples_split": (2, 5, 10),
 }
+#: Most values of a column that a count map holds.
+MAP_CATEGORIES = 1000
 PANEL_FEATURES = ("latitude", "longitude", "year", "prev_count", "age")
 R2_VERDICTS = ((0.3, "strong"), (0.15, "moderate"))

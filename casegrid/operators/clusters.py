@@ -9,10 +9,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..functions.values import cluster_color, percent_label
 from ..session import cut_lineage
 from .ordering import mode_per_group
 from .pairwise import block_count, compare_blocks
+from .labellings import score_labellings
+from .summaries import category_counts
 
 NOISE = -1
 BLOCK_ROWS = 4096
@@ -23,12 +26,13 @@ def without_noise(df: DataFrame, label="cluster") -> DataFrame:
 
 
 def _count_map(df: DataFrame, label: str, col: str, name: str) -> DataFrame:
-    """value -> count map of a category per cluster (counts first, then the map)."""
-    counts = df.filter(F.col(col).isNotNull()).groupBy(label, col).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    """value -> count map per cluster, of the most frequent values where there are many.
+
+    `summaries.category_counts` gives all of them in long form.
+    """
+    counts = category_counts(df.select(label, col), [col], label, K.MAP_CATEGORIES)
     return counts.groupBy(label).agg(
-        F.map_from_entries(F.sort_array(F.collect_list(F.struct(col, "n")))).alias(name)
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("value", "n")))).alias(name)
     )
 
 
@@ -283,10 +287,16 @@ def silhouette_squared(df: DataFrame, features, label="cluster") -> float:
     return evaluator.evaluate(vectors)
 
 
-def quality_report(df: DataFrame, features, label="cluster", lat=None, lon=None) -> DataFrame:
-    """Long table of every quality measure: scope, cluster, metric, value."""
+def quality_report(
+    df: DataFrame, features, label="cluster", lat=None, lon=None, exact: bool = True
+) -> DataFrame:
+    """Long table of every quality measure: scope, cluster, metric, value.
+
+    The silhouette compares all distinct points with each other; `exact=False`
+    takes the linear squared one instead, under the name `silhouette_squared` and
+    for the whole only.
+    """
     features = list(features)
-    samples = cut_lineage(silhouette_samples(df, features, label))
     none = F.lit(None).cast("bigint")
 
     def overall(one_row: DataFrame, *metrics):
@@ -306,13 +316,21 @@ def quality_report(df: DataFrame, features, label="cluster", lat=None, lon=None)
     parts = [
         overall(df.agg(F.count(F.lit(1)).alias("n_samples")), "n_samples"),
         overall(noise_stats(df, label), "n_noise", "n_clusters"),
-        overall(silhouette_exact(samples), "silhouette"),
-        overall(davies_bouldin(df, features, label), "davies_bouldin"),
-        overall(inertia(df, features, label), "inertia"),
         overall(cluster_balance(df, label), "balance"),
         each(cluster_sizes(df, label), "size"),
-        each(silhouette_per_cluster(samples, label), "silhouette"),
     ]
+    if exact:
+        samples = cut_lineage(silhouette_samples(df, features, label))
+        parts += [
+            overall(silhouette_exact(samples), "silhouette"),
+            each(silhouette_per_cluster(samples, label), "silhouette"),
+            overall(davies_bouldin(df, features, label), "davies_bouldin"),
+            overall(inertia(df, features, label), "inertia"),
+        ]
+    else:
+        rows = df.select(F.lit(0).alias("g"), F.col(label).alias("cluster"), *features)
+        scores = score_labellings(rows, features)
+        parts.append(overall(scores, "silhouette_squared", "davies_bouldin", "inertia"))
     if lat and lon:
         parts.append(each(cluster_spread(df, label, lat, lon), "lat_std", "lon_std", "avg_spread"))
     out = parts[0]

@@ -1,9 +1,8 @@
 """Connected components by alternating large-star and small-star steps.
 
 Late rounds are stars: nearly every node of a large component is a neighbour of
-its least one.  A node's least neighbour is found with partial minima, and handed
-to the node's edges by a lookup that broadcasts it for nodes with many edges, so
-the edges of such a hub are dealt over all tasks.
+its least one.  A node's least neighbour is found with partial minima.  For nodes with
+many edges it is broadcast, and their edges are dealt over all tasks.
 """
 
 from __future__ import annotations
@@ -12,7 +11,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .lookups import lookup
+from .lookups import HOT_ROWS, HOT_SHARE
 
 
 def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
@@ -29,13 +28,32 @@ def _settled(edges: DataFrame) -> tuple[DataFrame, tuple]:
     return written, (seen.get["n"], seen.get["content"])
 
 
+def _with_least(edges: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """Edges (g, u, v) with the value `m` that `least` has for (g, u).
+
+    `degree` of `least` is how many of the n edges a node has.  Nodes with more
+    than a ten-thousandth of them number at most ten thousand and are broadcast;
+    their edges go through the join under keys of their own, and what these may
+    meet there is ignored.
+    """
+    limit = max(HOT_ROWS, int(n * HOT_SHARE))
+    hubs = least.filter(F.col("degree") > limit).select("g", "u", F.col("m").alias("hub"))
+    kind = dict(edges.dtypes)["u"]
+    key = F.when(F.col("hub").isNull(), F.col("u")).otherwise(F.xxhash64("u", "v").cast(kind))
+    marked = edges.join(F.broadcast(hubs), ["g", "u"], "left").withColumn("key", key)
+    others = least.select(F.col("g").alias("of"), F.col("u").alias("node"), "m")
+    return marked.join(
+        others, (F.col("g") == F.col("of")) & (F.col("key") == F.col("node")), "left"
+    ).select("g", "u", "v", F.coalesce("hub", "m").alias("m"))
+
+
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select("g", F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("g", "u").agg(
         F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("degree")
     )
     return (
-        lookup(both.filter(F.col("v") > F.col("u")), least, ["g", "u"], "degree", 2 * n)
+        _with_least(both.filter(F.col("v") > F.col("u")), least, 2 * n)
         .select("g", F.col("v").alias("u"), F.col("m").alias("v"))
         .distinct()
     )
@@ -46,9 +64,7 @@ def _small_star(edges: DataFrame, n: int) -> DataFrame:
         "g", F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     ).filter(F.col("u") != F.col("v"))
     least = down.groupBy("g", "u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
-    linked = lookup(down, least, ["g", "u"], "degree", n).select(
-        "g", F.col("v").alias("u"), F.col("m").alias("v")
-    )
+    linked = _with_least(down, least, n).select("g", F.col("v").alias("u"), F.col("m").alias("v"))
     own = least.select("g", "u", F.col("m").alias("v"))
     return linked.unionByName(own).filter(F.col("u") != F.col("v")).distinct()
 

@@ -165,11 +165,13 @@ def column_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def category_map(df: DataFrame, col: str, n: int | None = None) -> Column:
-    """value -> count map of a low-cardinality column, as a scalar subquery."""
+def category_map(df: DataFrame, col: str, n: int = K.MAP_CATEGORIES) -> Column:
+    """value -> count map of the n most frequent values of a column, as a scalar subquery.
+
+    `summaries.category_counts` gives all values of a column with more of them.
+    """
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    if n is not None:
-        counts = counts.orderBy(F.desc("n"), col).limit(n)
+    counts = counts.orderBy(F.desc("n"), col).limit(n)
     return counts.agg(F.map_from_entries(F.collect_list(F.struct(col, "n")))).scalar()
 
 

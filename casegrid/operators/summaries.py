@@ -228,6 +228,33 @@ def known_unknown(df: DataFrame, missing: Column) -> DataFrame:
     return df.agg(F.count_if(~missing).alias("known"), F.count_if(missing).alias("unknown"))
 
 
+def category_counts(
+    df: DataFrame, columns: list[str], by: str | None = None, top: int | None = None
+) -> DataFrame:
+    """([by,] column_name, value, n): how often each value of the columns occurs, per group.
+
+    Long form: a row a value, however many there are.  `top` keeps the most
+    frequent values of each column and group (ties: the smaller value), by a rank
+    limit that is applied before the shuffle.  NULL values and NULL groups are
+    left out.
+    """
+    pairs = F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        for c in columns
+    ])
+    group = [by] if by else []
+    counts = (
+        df.select(*group, F.inline(pairs)).na.drop("any")
+        .groupBy(*group, "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    if top is None:
+        return counts
+    order = W.partitionBy(*group, "column_name").orderBy(F.desc("n"), "value")
+    return counts.withColumn("_rank", F.row_number().over(order)).filter(
+        F.col("_rank") <= top
+    ).drop("_rank")
+
+
 def share_of_total(df: DataFrame, col: str) -> DataFrame:
     counts = _known(df, col).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     total = counts.agg(F.sum("n")).scalar()

@@ -8,22 +8,31 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..operators import forecast as fc
 from ..operators.cluster_search import compare_methods, dbscan_grid, select_dbscan_params
-from ..operators.joins import attach_actuals, forecast_grid
+from ..operators.joins import attach_actuals, fill_coordinates, forecast_grid
 from ..operators.kmeans import best_k, fit_kmeans, k_sweep
 from ..operators.ordering import label_encode
 from ..session import materialize
+from ..sources.writers import metric_document, write_csv
 
 
 def evaluate_clustering(
     df: DataFrame, features, k_range=(2, 15), eps_list=K.DBSCAN_EPS_GRID_WIDE,
     min_samples_list=K.DBSCAN_MIN_SAMPLES_GRID, n_init=10, row_id="row_id", exact=False,
+    districts: DataFrame | None = None, out: str | None = None,
 ) -> dict[str, DataFrame]:
     """Search k and (eps, min_samples), then compare both methods at their best.
 
+    With `districts` (district, latitude, longitude) rows without a position take
+    that of their district first, and those that still lack one are left out.
     Returns the tables by name: `k_search`, `recommended_k`, `dbscan_grid`,
-    `dbscan_choice`, `comparison` and, of the clusters with the recommended k,
-    their sizes and centres as `clusters`.
+    `dbscan_choice`, `comparison`, of the clusters with the recommended k their
+    sizes and centres as `clusters`, and the metric document as `summary`.  With
+    `out` the search tables are written there as CSV and the document as JSON.
     """
+    features = list(features)
+    if districts is not None:
+        df = fill_coordinates(df, districts, lat=features[0], lon=features[1])
+    df = materialize(df)
     sweep = k_sweep(df, features, k_range, n_init=n_init, exact=exact)
     best = best_k(sweep)
     k = best.first()["k_silhouette"]
@@ -31,18 +40,49 @@ def evaluate_clustering(
     choice = select_dbscan_params(grid)
     chosen = choice.first()
     clustered = fit_kmeans(df, features, k=k, n_init=n_init).transform(df)
-    return {
+    comparison = compare_methods(
+        df, features, k, chosen["eps"], chosen["min_samples"], n_init, row_id, exact
+    )
+    tables = {
         "k_search": sweep,
         "recommended_k": best,
         "dbscan_grid": grid,
         "dbscan_choice": choice,
-        "comparison": compare_methods(
-            df, features, k, chosen["eps"], chosen["min_samples"], n_init, row_id, exact
-        ),
+        "comparison": comparison,
         "clusters": clustered.groupBy("cluster").agg(
             F.count(F.lit(1)).alias("size"), *[F.avg(c).alias(c) for c in features]
         ),
+        "summary": evaluation_document(df, best, choice, comparison),
     }
+    if out is not None:
+        for name in ("k_search", "dbscan_grid", "comparison"):
+            write_csv(tables[name], f"{out}/{name}")
+        tables["summary"].write.mode("overwrite").text(f"{out}/summary")
+    return tables
+
+
+def evaluation_document(
+    df: DataFrame, best: DataFrame, choice: DataFrame, comparison: DataFrame
+) -> DataFrame:
+    """One JSON text: rows, the k and the parameter pair that were chosen, their scores."""
+    def scores(method: str, prefix: str) -> DataFrame:
+        names = ("n_clusters", "silhouette", "davies_bouldin", "inertia", "noise_points")
+        return comparison.filter(F.col("method") == method).select(
+            *[F.col(c).alias(f"{prefix}_{c}") for c in names]
+        )
+
+    # five tables of one row each
+    row = df.agg(F.count(F.lit(1)).alias("records")).join(
+        best.select(F.col("k_silhouette").alias("kmeans_k"))
+    ).join(
+        choice.select(F.col("eps").alias("dbscan_eps"), F.col("min_samples").alias("dbscan_min_samples"))
+    ).join(scores("K-Means", "kmeans")).join(scores("DBSCAN", "dbscan"))
+    return metric_document(
+        row, dataset=["records"],
+        kmeans=["kmeans_k", "kmeans_silhouette", "kmeans_davies_bouldin", "kmeans_inertia"],
+        dbscan=["dbscan_eps", "dbscan_min_samples", "dbscan_n_clusters", "dbscan_silhouette",
+                "dbscan_davies_bouldin", "dbscan_noise_points"],
+    )
 
 
 def long_table(tables: dict[str, DataFrame]) -> DataFrame:

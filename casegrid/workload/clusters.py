@@ -13,9 +13,10 @@ from ..operators.dbscan import cluster_centers, dbscan, dbscan_grid_labels
 from ..operators.kmeans import best_k, certificate, fit_kmeans, k_sweep, label_with_centers
 from ..operators.labellings import score_labellings
 from ..operators.ordering import top_n_per_group
-from ..operators.summaries import location_centroid
+from ..operators.summaries import category_counts, location_centroid
 from ..plans.evaluation import demographic_clusters as demographic_plan
 from ..plans.evaluation import evaluate_clustering, long_table
+from ..session import scratch_path
 from . import bindings as b
 from .registry import query, rounded
 
@@ -491,8 +492,47 @@ def cluster_compare(spark, sf):
 
 @query("clustering_eval")
 def clustering_eval(spark, sf):
-    """Whole evaluation on the positions of the customers' cases, all its tables."""
-    places = location_centroid(b.cases(spark, sf), "person").withColumnRenamed(
-        "person", "row_id"
-    )
-    return long_table(evaluate_clustering(places, _XY))
+    """Whole evaluation on the positions of the customers' cases, all its tables.
+
+    Every seventh position is missing and comes from the customer's district.
+    """
+    cases = b.cases(spark, sf)
+    home = cases.select("person", "district").distinct()
+    places = location_centroid(cases, "person").join(home, "person").withColumnRenamed("person", "row_id")
+    gap = F.col("row_id") % 7 == 0
+    gappy = places.withColumns({c: F.when(~gap, F.col(c)) for c in _XY})
+    districts = location_centroid(cases).select("district", *_XY)
+    path = scratch_path(spark, "clustering-eval")
+    return long_table(evaluate_clustering(gappy, _XY, districts=districts, out=path))
+
+
+@query("cluster_category_counts", f"""WITH {_IN}, u AS (
+  SELECT cluster, 'gender' AS column_name, gender AS value FROM inp UNION ALL
+  SELECT cluster, 'age_group', age_group FROM inp UNION ALL SELECT cluster, 'district', district FROM inp)
+SELECT cluster, column_name, value, count(*) AS n FROM u GROUP BY ALL
+QUALIFY row_number() OVER (PARTITION BY cluster, column_name ORDER BY count(*) DESC, value) <= 3""")
+def cluster_category_counts(spark, sf):
+    """The three most frequent values of three columns in every cluster."""
+    rows = cl.without_noise(b.points(spark, sf))
+    return category_counts(rows, ["gender", "age_group", "district"], "cluster", 3)
+
+
+@query("category_counts", f"""WITH {b.CASES}
+SELECT 'gender' AS column_name, gender AS value, count(*) AS n FROM cases GROUP BY gender
+UNION ALL SELECT 'person', CAST(person AS VARCHAR), count(*) FROM cases GROUP BY person""")
+def category_counts_query(spark, sf):
+    """All values of a column with few of them and of one with many."""
+    return category_counts(b.cases(spark, sf), ["gender", "person"])
+
+
+@query("cluster_quality_linear", f"""WITH {b.POINTS},
+ inn AS (SELECT 0 AS g, row_id AS i, latitude AS x, longitude AS y, cluster AS label FROM points WHERE cluster <> -1),
+ {_SCORES}
+SELECT metric, round(value, 6) AS value FROM (
+  SELECT 'silhouette_squared' AS metric, any_value(s) AS value FROM sil
+  UNION ALL SELECT 'davies_bouldin', any_value(db) FROM db
+  UNION ALL SELECT 'inertia', sum(inertia) FROM sp)""")
+def cluster_quality_linear(spark, sf):
+    report = cl.quality_report(b.points(spark, sf), _XY, exact=False)
+    wanted = ["silhouette_squared", "davies_bouldin", "inertia"]
+    return rounded(report.filter(F.col("metric").isin(wanted)).select("metric", "value"))

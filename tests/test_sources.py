@@ -159,3 +159,25 @@ def test_row_ids_follow_the_files_by_name(spark, tmp_path):
 
     got = read_cases(spark, str(tmp_path), schema).orderBy("row_id").select("id").collect()
     assert [r[0] for r in got] == ["a0", *(f"b{i}" for i in range(50)), "c0", "c1", "c2"]
+
+
+def test_row_ids_follow_files_and_lines(spark, tmp_path):
+    """One read and no shuffle; ids grow with the path and the line, over many blocks."""
+    for name, n in (("b file", 3000), ("a", 20), ("c", 1)):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        lines = "\n".join(f"{name}-{i},{'x' * 50}" for i in range(n))
+        (tmp_path / "in" / name / "part.csv").write_text(f"Person ID,Gender\n{lines}\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        df = readers.read_cases(spark, f"{tmp_path}/in/*", "`Person ID` string, Gender string")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        rows = df.select("row_id", "case_id").collect()
+        assert df.rdd.getNumPartitions() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert "hashpartitioning" not in plan and plan.count("FileScan csv") == 1
+    assert len({r.row_id for r in rows}) == 3021
+    order = [r.case_id for r in sorted(rows, key=lambda r: r.row_id)]
+    assert order == [f"{name}-{i}" for name, n in (("a", 20), ("b file", 3000), ("c", 1)) for i in range(n)]
