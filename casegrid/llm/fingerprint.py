@@ -7,13 +7,14 @@ maximum.  A phrase is named by a hash of its symbols, and the names are parsed
 again, level on level, up to one name for the text.  A cut depends on a few
 symbols around it only, so equal substrings have the same phrases inside,
 wherever they stand.  The fingerprint keeps the name of the whole text and, for
-two levels, the smallest phrase names; likeness estimates the share of phrases
-that two texts have in common.
+two levels, the smallest phrase names, a number that grows with the phrases;
+likeness estimates the share of phrases that two texts have in common.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import partitions, whole
 
-#: Levels whose phrase names are kept, and how many of each.
+#: Levels whose phrase names are kept: all of them up to KEPT, of more of them the
+#: smallest KEPT or SHARE of them, whichever is more.
 LEVELS = (2, 3)
-KEPT = 24
+KEPT = 64
+SHARE = 0.25
 #: Characters that are parsed together.
 CHUNK = 1 << 20
 #: Ranges of document ids per shuffle partition.
@@ -85,15 +88,20 @@ def next_level(x: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _mix(np.add.reduceat(named, at)), doc[at]
 
 
-def _smallest(x: np.ndarray, doc: np.ndarray, n: int) -> list[np.ndarray]:
-    """The KEPT smallest distinct 32-bit names of each text."""
+def _smallest(x: np.ndarray, doc: np.ndarray, n: int) -> list[tuple[np.ndarray, bool]]:
+    """The smallest distinct 32-bit names of each text, and whether these are all."""
     short = (x >> np.uint64(32)).astype(np.uint32)
     ends = np.searchsorted(doc, np.arange(n + 1))
-    return [np.unique(short[a:b])[:KEPT] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    out = []
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        names = np.unique(short[a:b])
+        kept = max(KEPT, math.ceil(len(names) * SHARE))
+        out.append((names[:kept], len(names) <= kept))
+    return out
 
 
-def parse(texts: list[str]) -> list[tuple[int, list[np.ndarray]]]:
-    """(name of the text, smallest names per kept level) of every text."""
+def parse(texts: list[str]) -> list[tuple[int, list[tuple[np.ndarray, bool]]]]:
+    """(name of the text, smallest names per kept level and whether all are) of every text."""
     n = len(texts)
     points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
     x = np.concatenate(points).astype(np.uint64) if n else np.empty(0, np.uint64)
@@ -108,24 +116,33 @@ def parse(texts: list[str]) -> list[tuple[int, list[np.ndarray]]]:
         roots[doc[alone]] = x[alone] ^ np.uint64(level)
         if level >= max(LEVELS):
             x, doc = x[~alone], doc[~alone]
-    empty = [np.empty(0, np.uint32)] * n
+    empty = [(np.empty(0, np.uint32), True)] * n
     sketches += [empty] * (len(LEVELS) - len(sketches))
     return [(int(roots[i]), [s[i] for s in sketches]) for i in range(n)]
 
 
 def to_text(parsed) -> str:
+    """Name of the text and, after a full stop each, the names kept of a level."""
     root, levels = parsed
-    return f"{root:016x}" + "".join("." + "".join(f"{v:08x}" for v in names.tolist()) for names in levels)
+    return f"{root:016x}" + "".join("." + names.astype(">u4").tobytes().hex() for names, _ in levels)
 
 
 def likeness(a, b) -> float:
-    """Mean over levels of the estimated share of common phrases; 1 for equal texts."""
+    """Mean over levels of the estimated share of common phrases; 1 for equal texts.
+
+    The names of both texts together are known up to the last one kept of the
+    text that kept fewer; the share among these is the estimate, and exact where
+    all names were kept.
+    """
     if a[0] == b[0]:
         return 1.0
     shares = []
-    for x, y in zip(a[1], b[1], strict=True):
+    for (x, all_x), (y, all_y) in zip(a[1], b[1], strict=True):
         if len(x) and len(y):
-            union = np.union1d(x, y)[:KEPT]
+            union = np.union1d(x, y)
+            known = [names[-1] for names, whole in ((x, all_x), (y, all_y)) if not whole]
+            if known:
+                union = union[: np.searchsorted(union, min(known), side="right")]
             both = np.isin(union, x, assume_unique=True) & np.isin(union, y, assume_unique=True)
             shares.append(both.mean())
     return float(np.mean(shares)) if shares else 0.0

@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from .common import share, shared_value
 
 #: Labelled rows per language, characters of each, and characters of all languages
-#: together: the bounds of the sample that is collected for training.
+#: together: with LANGUAGES the bounds of the sample that is collected for training.
 SAMPLE_ROWS = 64
 SAMPLE_CHARS = 1_000
 TOTAL_CHARS = 200_000
@@ -33,10 +33,13 @@ LANGUAGE_CHARS = 40_000
 #: Characters in the table; the others of the samples are looked up in the sorted
 #: list.  Only a character of no sample is a phrase by itself in every language.
 ALPHABET = 95
-#: A phrase ends at every multiple of this many characters.
+#: Languages learned at most, the most frequent ones.
+LANGUAGES = 500
+#: Characters of a segment: the segments of a text are parsed side by side.
 SEGMENT = 1_024
-#: Segments that step together.
+#: Segments that step together, and (segment, language) pairs with their characters.
 LANES = 4_096
+CELLS = 1 << 24
 _RESTART = np.int32(1 << 30)
 _BETWEEN = re.compile(r"[\W\d_]+")
 
@@ -106,8 +109,8 @@ class CrossParser:
     def _width(self) -> int:
         return len(self.chars) + len(self.rare) + 1
 
-    def _rare_moves(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
-        """Moves under rare characters; states are (languages, texts)."""
+    def _rare_moves(self, state: np.ndarray, code: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """Moves under rare characters; the arguments are broadcast against each other."""
         def find(states):
             if not len(self.keys):
                 return np.zeros(states.shape, bool), np.zeros(states.shape, np.int32)
@@ -115,13 +118,25 @@ class CrossParser:
             at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
             return self.keys[at] == wanted, self.targets[at]
 
-        roots = np.repeat(np.array(self.roots, np.int32)[:, None], state.shape[1], 1)
+        roots = np.broadcast_to(roots, state.shape)
         known, to = find(state)
         begins, first = find(roots)
-        return np.where(known, to, np.where(begins, first, roots) | _RESTART)
+        # at the start, and after a character that no phrase has, any character begins one
+        again = np.where(state == roots, to | _RESTART, to)
+        return np.where(known, again, np.where(begins, first, roots) | _RESTART)
+
+    def _move(self, table: np.ndarray, state: np.ndarray, code: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """Next states, with the restart bit where the character begins a phrase."""
+        width = len(self.chars) + 1
+        move = table[state * width + np.where(code < width, code, 0)]
+        rare = np.flatnonzero(code >= width)
+        if len(rare):
+            own = roots if roots.shape[-1] == 1 else roots[..., rare]
+            move[..., rare] = self._rare_moves(state[..., rare], code[rare], own)
+        return move
 
     def table(self) -> np.ndarray:
-        """Flat (state, code) table; the restart bit marks the end of a phrase."""
+        """Flat (state, code) table; the restart bit marks that the character begins a phrase."""
         width = len(self.chars) + 1
         flat = np.zeros((self.states, width), np.int32)
         state, code, to = self.moves.T
@@ -131,7 +146,7 @@ class CrossParser:
             own = state == root
             again[code[own]] = to[own]
             flat[root:end] = again | _RESTART
-        flat[state, code] = to
+        flat[state, code] = np.where(np.isin(state, self.roots), to | _RESTART, to)
         return flat.ravel()
 
     def codes(self, text: str) -> np.ndarray:
@@ -146,8 +161,14 @@ class CrossParser:
         return out
 
     def phrases(self, table: np.ndarray, codes: list[np.ndarray]) -> np.ndarray:
-        """(texts, languages): phrases of each text against each language."""
-        width, roots = len(self.chars) + 1, np.array(self.roots, np.int32)
+        """(texts, languages): phrases of each text against each language.
+
+        All segments are parsed side by side as if each began a text.  What a
+        phrase over a cut changes is mended afterwards: the parse of the segment
+        before goes on into a segment until both begin a phrase at one place,
+        from where they are the same.
+        """
+        roots = np.array(self.roots, np.int32)
         lengths = np.array([len(c) for c in codes], np.int64)
         flat = np.concatenate(codes) if codes else np.empty(0, np.int32)
         first = np.r_[0, np.cumsum(lengths)[:-1]]
@@ -156,36 +177,81 @@ class CrossParser:
         within = np.arange(len(owner)) - np.repeat(np.r_[0, np.cumsum(segments)[:-1]], segments)
         starts = first[owner] + within * SEGMENT
         sizes = np.minimum(SEGMENT, lengths[owner] - within * SEGMENT)
+        count = np.zeros((len(owner), len(roots)), np.int64)
+        final = np.zeros((len(owner), len(roots)), np.int32)
+        marks = np.zeros((len(owner), len(roots), -(-SEGMENT // 8)), np.uint8)
         order = np.argsort(-sizes, kind="stable")
-        total = np.zeros((len(codes), len(roots)), np.int64)
-        for at in range(0, len(order), LANES):
-            lanes = order[at : at + LANES]
+        wide = max(1, min(LANES, CELLS // (SEGMENT * max(1, len(roots)))))
+        for at in range(0, len(order), wide):
+            lanes = order[at : at + wide]
             begin, size = starts[lanes], sizes[lanes]
             state = np.repeat(roots[:, None], len(lanes), 1)
-            count = np.zeros(state.shape, np.int32)
-            for step in range(int(size[0]) if len(size) else 0):
+            ends = np.zeros((int(size[0]), *state.shape), bool)
+            for step in range(int(size[0])):
                 n = int(np.searchsorted(-size, -step))  # lanes longer than `step`
-                code = flat[begin[:n] + step]
-                move = table[state[:, :n] * width + np.where(code < width, code, 0)]
-                rare = np.flatnonzero(code >= width)
-                if len(rare):
-                    move[:, rare] = self._rare_moves(state[:, rare], code[rare])
-                count[:, :n] += move >> 30
+                move = self._move(table, state[:, :n], flat[begin[:n] + step], roots[:, None])
+                ends[step, :, :n] = move >> 30
                 state[:, :n] = move & (_RESTART - 1)
-            count += 1  # the phrase that the end cuts
-            np.add.at(total, owner[lanes], count.T)
+            count[lanes] = ends.sum(0).T
+            final[lanes] = state.T
+            packed = np.packbits(ends.transpose(2, 1, 0), axis=2)
+            marks[lanes, :, : packed.shape[2]] = packed
+        self._mend(table, flat, starts, sizes, within, count, final, marks)
+        total = np.zeros((len(codes), len(roots)), np.int64)
+        np.add.at(total, owner, count)
         return total
 
+    def _mend(self, table, flat, starts, sizes, within, count, final, marks) -> None:
+        """Bring counts and final states of segments to those of the whole text."""
+        roots, alone = np.array(self.roots, np.int32), final.copy()
+        seg, lang = np.nonzero(np.repeat((within > 0)[:, None], len(roots), 1))
+        while len(seg):
+            state, own = final[seg - 1, lang], roots[lang]
+            before = final[seg, lang].copy()
+            live, seen, passed = np.arange(len(seg)), np.zeros(len(seg), np.int64), np.zeros(len(seg), np.int64)
+            step = 0
+            while len(live):
+                over = step >= sizes[seg[live]]
+                if over.any():  # never together: this parse is the one of the segment
+                    gone = live[over]
+                    final[seg[gone], lang[gone]] = state[gone]
+                    count[seg[gone], lang[gone]] = seen[gone]
+                    live = live[~over]
+                    if not len(live):
+                        break
+                s, k = seg[live], lang[live]
+                move = self._move(table, state[live], flat[starts[s] + step], own[live])
+                mine = (move >> 30).astype(bool)
+                theirs = (marks[s, k, step >> 3] >> (7 - (step & 7)) & 1).astype(bool)
+                state[live] = move & (_RESTART - 1)
+                seen[live] += mine
+                passed[live] += theirs
+                together = live[mine & theirs]
+                count[seg[together], lang[together]] += seen[together] - passed[together]
+                final[seg[together], lang[together]] = alone[seg[together], lang[together]]
+                live = live[~(mine & theirs)]
+                step += 1
+            # a segment that now ends in another state changes the one after it
+            changed = final[seg, lang] != before
+            seg, lang = seg[changed] + 1, lang[changed]
+            inside = seg < len(within)
+            inside[inside] = within[seg[inside]] > 0
+            seg, lang = seg[inside], lang[inside]
+            # the marks of these are still those of a parse from their start
+            count[seg, lang] = np.bitwise_count(marks[seg, lang]).sum(1)
+
 
 def sample(docs: DataFrame, text: str, label: str, doc_id: str) -> dict[str, str]:
     """The bounded labelled sample: rows in hash order of their id, per language."""
     order = W.partitionBy("label").orderBy(F.md5(F.coalesce("id", F.lit(""))), F.xxhash64("text"))
+    labelled = docs.select(
+        F.col(label).alias("label"), F.col(doc_id).cast("string").alias("id"),
+        F.substring(text, 1, SAMPLE_CHARS).alias("text"),
+    ).filter("label is not null and length(text) > 0")
+    names = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    names = names.orderBy(F.desc("rows"), "label").limit(LANGUAGES).select("label")
     rows = (
-        docs.select(
-            F.col(label).alias("label"), F.col(doc_id).cast("string").alias("id"),
-            F.substring(text, 1, SAMPLE_CHARS).alias("text"),
-        )
-        .filter("label is not null and length(text) > 0")
+        labelled.join(F.broadcast(names), "label")  # LANGUAGES rows at most
         .withColumn("n", F.row_number().over(order))
         .filter(F.col("n") <= SAMPLE_ROWS)
         .collect()
