@@ -164,20 +164,24 @@ def backtest_report(scored: DataFrame, models: dict, train: DataFrame) -> DataFr
 
 def retrain_and_forecast(
     cases: DataFrame, last_year: int, kind="poisson", params: dict | None = None,
-    location="district",
+    location="district", features=K.PANEL_FEATURES, derive=None,
 ) -> DataFrame:
-    """Refit on history plus the last year, forecast the year after it."""
+    """Refit on history plus the last year, forecast the year after it.
+
+    `derive` and `features` are those of `backtest`.
+    """
+    derive = derive or (lambda df: df)
     history = cases.filter(F.col("year") < last_year)
     last = cases.filter(F.col("year") == last_year)
-    columns = ["latitude", "longitude", "year", "prev_count", "age", "case_count"]
-    train = fc.training_frame(history, location).select(*columns)
+    columns = [*features, "case_count"]
+    train = derive(fc.training_frame(history, location)).select(*columns)
     test = attach_actuals(
-        forecast_grid(history, last, last_year, location).filter(F.col(location).isNotNull()),
+        derive(forecast_grid(history, last, last_year, location)).filter(F.col(location).isNotNull()),
         last, location,
     ).withColumnRenamed("actual_cases", "case_count").select(*columns)
-    model = fc.fit_counts(train.unionByName(test), kind, params)
-    upcoming = forecast_grid(
-        cases.filter(F.col("year") <= last_year), last, last_year + 1, location
+    model = fc.fit_counts(train.unionByName(test), kind, params, features)
+    upcoming = derive(
+        forecast_grid(cases.filter(F.col("year") <= last_year), last, last_year + 1, location)
     ).filter(F.col(location).isNotNull())
     return model.predict(upcoming).select(
         location, "latitude", "longitude", "predicted_cases", "prev_count"
@@ -186,18 +190,20 @@ def retrain_and_forecast(
 
 def retrain_best(
     cases: DataFrame, test_year: int, params: dict | None = None, location="district",
-    grids: dict | None = None,
+    grids: dict | None = None, features=K.PANEL_FEATURES, derive=None,
 ) -> DataFrame:
     """Back-test the models, refit the one with the best test R2 on all years, forecast.
 
     With `grids` the parameters of both models are searched in the back-test, and
     the winner keeps those it was chosen with.  `model` and `params` name it.
     """
-    scored, models = backtest(cases, test_year, location, params, grids)
+    scored, models = backtest(cases, test_year, location, params, grids, features, derive)
     train = fc.training_frame(cases.filter(F.col("year") < test_year), location)
-    report = backtest_report(scored, models, train)
+    report = backtest_report(scored, models, derive(train) if derive else train)
     best = report.filter("best").first()["model"]
     chosen = models[best].params
-    return retrain_and_forecast(cases, test_year, best, chosen, location).withColumns(
+    return retrain_and_forecast(
+        cases, test_year, best, chosen, location, features, derive
+    ).withColumns(
         {"model": F.lit(best), "params": F.lit(fc.params_text(chosen))}
     )

@@ -330,17 +330,20 @@ _SCORES = """cent AS (SELECT g, label, count(*) AS n, avg(x) AS mx, avg(y) AS my
 _FIRST_CENTERS = tuple(range(2, 16))
 
 
-@query("labelling_scores", f"""WITH {b.POINTS}, s AS (
+_FIRST_K = f"""WITH {b.POINTS}, s AS (
   SELECT avg(latitude) AS m1, stddev_pop(latitude) AS s1, avg(longitude) AS m2,
          stddev_pop(longitude) AS s2 FROM points),
  z AS (SELECT row_id AS i, (latitude - m1) / s1 AS x, (longitude - m2) / s2 AS y FROM points, s),
  c AS (SELECT row_number() OVER (ORDER BY i) - 1 AS label, x AS cx, y AS cy FROM z ORDER BY i LIMIT 15),
  inn AS (SELECT g, i, x, y, arg_min(label, ((x - cx) ** 2 + (y - cy) ** 2, label)) AS label
    FROM (SELECT CAST(unnest(range(2, 16)) AS INTEGER) AS g) k JOIN c ON label < g, z GROUP BY ALL),
- {_SCORES}
-SELECT ctr.g AS k, count(*) AS n_clusters, round(sum(inertia), 6) AS inertia,
-  round(any_value(sil.s), 6) AS silhouette_squared, round(any_value(db.db), 6) AS davies_bouldin
-FROM ctr LEFT JOIN sil USING (g) LEFT JOIN db USING (g) GROUP BY ctr.g""")
+ {_SCORES},
+ scores AS (SELECT ctr.g AS k, count(*) AS n_clusters, round(sum(inertia), 6) AS inertia,
+   round(any_value(sil.s), 6) AS silhouette_squared, round(any_value(db.db), 6) AS davies_bouldin
+   FROM ctr LEFT JOIN sil USING (g) LEFT JOIN db USING (g) GROUP BY ctr.g)"""
+
+
+@query("labelling_scores", _FIRST_K + " SELECT * FROM scores")
 def labelling_scores(spark, sf):
     """Scores of fourteen labellings at once: rows to the nearest of the first k points."""
     z = ["latitude_z", "longitude_z"]
@@ -350,6 +353,16 @@ def labelling_scores(spark, sf):
     return rounded(score_labellings(labelled, z).withColumnRenamed("g", "k"))
 
 
+@query("k_choice", _FIRST_K + """
+SELECT (SELECT k FROM scores ORDER BY silhouette_squared DESC, k LIMIT 1) AS k_silhouette,
+  (SELECT max(silhouette_squared) FROM scores) AS silhouette,
+  (SELECT k FROM scores ORDER BY davies_bouldin, k LIMIT 1) AS k_davies_bouldin,
+  (SELECT min(davies_bouldin) FROM scores) AS davies_bouldin""")
+def k_choice(spark, sf):
+    """The recommended k of a table of scores."""
+    return best_k(labelling_scores(spark, sf))
+
+
 # --- DBSCAN -----------------------------------------------------------------------------
 
 _EPS, _MIN = 0.25, 6
@@ -459,6 +472,20 @@ def dbscan_grid_exact(spark, sf):
     return rounded(grid.select("eps", "min_samples", "silhouette"), 6, "silhouette")
 
 
+@query("compare_dbscan", _GRID_LABELS.replace(
+    str(list(_EPS_LIST)), "[0.25]").replace(str(list(_MIN_LIST)), "[6]").replace(
+    f"{max(_EPS_LIST)} * {max(_EPS_LIST)}", "0.25 * 0.25") + f""", {_SCORES}
+SELECT 'DBSCAN' AS method, count(DISTINCT CASE WHEN label <> -1 THEN label END) AS n_clusters,
+  count(*) FILTER (label = -1) AS noise_points, round((SELECT s FROM sil), 6) AS silhouette,
+  round((SELECT db FROM db), 6) AS davies_bouldin FROM labels""")
+def compare_dbscan(spark, sf):
+    """The row of the comparison that has no random start."""
+    table = cs.compare_methods(b.points(spark, sf).drop("cluster"), _XY, 5, _EPS, _MIN)
+    return rounded(table.filter("method = 'DBSCAN'").select(
+        "method", "n_clusters", "noise_points", "silhouette", "davies_bouldin"
+    ))
+
+
 _GRID = b.CASES + """, grid AS (
   SELECT year / 10000.0 AS eps, CAST(month AS INTEGER) AS min_samples, count(*) % 7 AS n_clusters,
     count(*) % 11 AS n_noise, avg(age) AS noise_pct,
@@ -509,7 +536,7 @@ def clustering_eval(spark, sf):
 @query("cluster_category_counts", f"""WITH {_IN}, u AS (
   SELECT cluster, 'gender' AS column_name, gender AS value FROM inp UNION ALL
   SELECT cluster, 'age_group', age_group FROM inp UNION ALL SELECT cluster, 'district', district FROM inp)
-SELECT cluster, column_name, value, count(*) AS n FROM u GROUP BY ALL
+SELECT cluster, column_name, value, count(*) AS n FROM u GROUP BY 1, 2, 3
 QUALIFY row_number() OVER (PARTITION BY cluster, column_name ORDER BY count(*) DESC, value) <= 3""")
 def cluster_category_counts(spark, sf):
     """The three most frequent values of three columns in every cluster."""

@@ -415,6 +415,32 @@ def retrain_best(spark, sf):
     return ev.retrain_best(b.cases(spark, sf), _TEST_YEAR, grids=_GRIDS)
 
 
+@query("retrain_search", f"""{_FOLDED},
+ hist AS (SELECT district, count(*) FILTER (year = {_TEST_YEAR} - 1) AS prev FROM cases
+   WHERE year < {_TEST_YEAR} GROUP BY district),
+ act AS (SELECT district, count(*) AS n FROM cases WHERE year = {_TEST_YEAR} GROUP BY district),
+ every AS (SELECT y, odd FROM f UNION ALL SELECT coalesce(n, 0), coalesce(prev, 0) % 2
+   FROM hist FULL JOIN act USING (district)),
+ fit AS (SELECT avg(y) FILTER (odd = 0) AS m0, avg(y) FILTER (odd = 1) AS m1 FROM every),
+ now AS (SELECT DISTINCT district FROM cases WHERE year <= {_TEST_YEAR})
+SELECT district, coalesce(n, 0) AS prev_count, round(CASE coalesce(n, 0) % 2 WHEN 0 THEN m0 ELSE m1 END, 4)
+  AS predicted_cases, 'poisson' AS model, 'alpha=0.0, max_iter=100' AS params
+FROM now LEFT JOIN act USING (district), fit""")
+def retrain_search(spark, sf):
+    """Search, back-test, refit on all years and forecast where the fit is a group mean."""
+    out = ev.retrain_best(
+        b.cases(spark, sf), _TEST_YEAR, grids={"poisson": _CLOSED["poisson"]}, features=_ODD, derive=_odd_count
+    )
+    return rounded(out.select("district", "prev_count", "predicted_cases", "model", "params"), 4)
+
+
+@query("feature_importance_closed_form", f"""{_GROUPS}
+SELECT 'odd_count' AS feature, round(abs(ln(m1 / m0)) * sd, 5) AS importance FROM q""")
+def feature_importance_closed_form(spark, sf):
+    model = fc.fit_counts(_odd_count(_train(spark, sf)), "poisson", {"alpha": 0.0}, _ODD)
+    return rounded(model.importance(spark), 5)
+
+
 @query("gbt_onehot_forecast")
 def gbt_onehot_forecast(spark, sf):
     """Forecast of every location with the validation scores of the model."""

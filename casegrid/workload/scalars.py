@@ -33,6 +33,13 @@ def dropna_any(spark, sf):
     return q.handle_missing(b.gappy(spark, sf), "drop")
 
 
+@query("missing_untouched", "WITH " + b.GAPPY + """
+SELECT * FROM gappy""")
+def missing_untouched(spark, sf):
+    """The strategy that is accepted and does nothing."""
+    return q.handle_missing(b.gappy(spark, sf), "fill")
+
+
 @query("dropna_subset", "WITH " + b.GAPPY + """
 SELECT * FROM gappy WHERE latitude IS NOT NULL AND longitude IS NOT NULL
   AND reported_date IS NOT NULL""")
