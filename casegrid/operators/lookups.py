@@ -19,8 +19,9 @@ def lookup(
     `count` is a column of `named`: how many of the `total` rows have that key, at
     least roughly.  Keys with more than a ten-thousandth of the rows number at
     most ten thousand and are broadcast, so their rows stay where they are; the
-    other rows are shuffled, and none of their keys can make a task large.  The
-    result has no column `count`.
+    other rows are shuffled, and none of their keys can make a task large.  Rows
+    with a NULL key meet nothing and are not shuffled either.  The result has no
+    column `count`.
     """
     limit = max(HOT_ROWS, int(total * HOT_SHARE))
     flag = "_hot"
@@ -29,7 +30,12 @@ def lookup(
     values = [c for c in named.columns if c not in keys and c != count]
     hot = named.filter(F.col(count) > limit).drop(count).withColumn(flag, F.lit(True))
     rest = named.filter(F.col(count) <= limit).drop(count)
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
     marked = rows.join(F.broadcast(hot), keys, "left")
     found = marked.filter(F.col(flag)).drop(flag)
-    other = marked.filter(F.col(flag).isNull()).drop(flag, *values).join(rest, keys, how)
-    return found.unionByName(other)
+    other = marked.filter(F.col(flag).isNull())
+    met = other.filter(known).drop(flag, *values).join(rest, keys, how)
+    out = found.unionByName(met)
+    return out if how == "inner" else out.unionByName(other.filter(~known).drop(flag))

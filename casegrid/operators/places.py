@@ -32,6 +32,7 @@ from ..functions.text import any_of, city_label, normalize_text, tail_phrases
 from ..functions.text import district_from_keyword
 from ..session import cut_lineage, materialize
 from .gazetteer import contained_aliases
+from .lookups import lookup
 from .pairwise import block_count, compare_blocks
 from .similar import alike
 
@@ -361,10 +362,14 @@ def match_places(df: DataFrame, text: str, aliases: DataFrame, home_city=K.HOME_
 
     Columns of the same names that the rows already have are replaced.
     """
-    # written with its true size, so a small result is broadcast to the rows
-    found = materialize(match_distinct_texts(df, text, aliases, home_city, **kw))
-    bare = df.drop(*_PLACE, "score")
-    out = bare.join(found.withColumnRenamed("raw", text), text, "left")
+    counts = materialize(
+        df.filter(F.col(text).isNotNull()).groupBy(text).agg(F.count(F.lit(1)).alias("_asked"))
+    )
+    found = match_distinct_texts(counts, text, aliases, home_city, **kw)
+    # every distinct text, matched or not, so that a frequent one is known as such
+    named = materialize(counts.join(found.withColumnRenamed("raw", text), text, "left"))
+    total = counts.agg(F.coalesce(F.sum("_asked"), F.lit(0))).first()[0]
+    out = lookup(df.drop(*_PLACE, "score"), named, [text], "_asked", total, "left")
     return out.withColumns(
         {
             "city": city_label("city", home_city),

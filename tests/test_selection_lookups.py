@@ -59,6 +59,15 @@ def test_lookup_equals_a_join(spark, how):
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
 
 
+def test_lookup_of_unknown_keys(spark):
+    rows = spark.createDataFrame([(None, 1), ("a", 2), ("b", 3), (None, 4)], "k string, v int")
+    named = spark.createDataFrame([("a", "x", 5000)], "k string, name string, n long")
+    assert sorted(map(tuple, lookup(rows, named, ["k"], "n", 4, "left").collect()), key=repr) == sorted(
+        [(None, 1, None), ("a", 2, "x"), ("b", 3, None), (None, 4, None)], key=repr
+    )
+    assert [tuple(r) for r in lookup(rows, named, ["k"], "n", 4).collect()] == [("a", 2, "x")]
+
+
 def test_rows_of_a_hot_key_stay_in_many_tasks(spark):
     rows = spark.range(0, 40_000, 1, 16).select(
         F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), "id"
