@@ -30,7 +30,7 @@ from .common import Memo, kept_value, share_kept
 BUCKET = 2
 #: Distinct pre-tokens whose ids a worker process keeps (twice: this generation and the last),
 #: and the longest one that is kept.
-CACHE = 400_000
+CACHE = 250_000
 KEPT_LENGTH = 64
 #: Longest text whose pre-tokens are listed at once; longer ones go by slices of this many.
 LISTED = 1 << 20

@@ -139,11 +139,13 @@ def dedup_lines(
     bitmaps = keep_bitmaps(docs, text, doc_id, min_chars, min_docs)
     kept_columns = [c for c in docs.columns if c not in made]
     # the input goes along as one column, so that no name of it can meet one made here
+    carried = kept_columns if text in kept_columns else [*kept_columns, text]
     left = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("in"), F.col(doc_id).alias("id"),
-        F.xxhash64(text).alias("hash"), F.split(whole(text), "\n").alias("split"),
+        F.struct(*[F.col(f"`{c}`") for c in carried]).alias("in"), F.col(doc_id).alias("id"),
+        F.xxhash64(text).alias("hash"),
     )
     joined = left.join(bitmaps, left["id"].eqNullSafe(bitmaps["doc"]) & (left["hash"] == bitmaps["row"]), "left")
+    joined = joined.withColumn("split", F.split(whole(F.col("in")[text]), "\n"))
     n = F.size("split")
     none = F.array().cast("array<int>")
     total = F.aggregate(F.coalesce("runs", none), F.lit(0), lambda a, r: a + r)
@@ -155,7 +157,7 @@ def dedup_lines(
         F.transform(F.coalesce("runs", none), lambda r, k: F.when(k % 2 == 1, r).otherwise(0)),
         F.lit(0), lambda a, r: a + r,
     )
-    unchanged = whole(F.col("in")[text]) if text in kept_columns else F.array_join("split", "\n")
+    unchanged = whole(F.col("in")[text])
     return joined.select(
         *[F.col("in")[c].alias(c) for c in kept_columns],
         n.cast("long").alias("n_lines"), dropped.cast("long").alias("n_dropped"),

@@ -91,6 +91,12 @@ def _repeat_positions(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0).cast("long")))
 
 
+#: Names of the ratios that rules can ask for.
+RATIOS = (
+    "symbol_ratio", "exclamation_ratio", "stop_word_ratio", "adjacent_ratio", "dup_line_ratio", "mean_word_chars",
+)
+
+
 def _measures() -> dict[str, Column]:
     per_word = lambda c: F.col(c) / F.greatest("n_words", F.lit(1))
     return {
@@ -124,10 +130,11 @@ def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     drop = lambda chars: F.translate("_text", chars, "")
     n_chars = F.char_length("_text")
     has_word = lambda line: F.length(F.regexp_replace(line, GAP, "")) > 0
-    # the input goes along as one column, so that no name of it can meet one made here
-    df = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_in"), whole(text).alias("_text")
-    )
+    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *RATIOS,
+            "base_failed", "kept"]
+    # the input goes along under numbered names, so that no name of it can meet one made here
+    held = {c: f"_in{i}" for i, c in enumerate(docs.columns) if c not in made}
+    df = docs.select(whole(text).alias("_text"), *[F.col(f"`{c}`").alias(n) for c, n in held.items()])
     df = df.withColumns({
         "_words": words(F.col("_text")),
         "_split": F.filter(F.split("_text", "\n"), has_word),
@@ -155,6 +162,4 @@ def quality(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES
     # is then not pushed below the arrays, where it would compute them per element.
     here = F.monotonically_increasing_id() >= 0
     df = df.withColumns({"base_failed": base_failed, "kept": ~base_failed & verdict & here})
-    made = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *_measures(),
-            "base_failed", "kept"]
-    return df.select(*(F.col("_in")[c].alias(c) for c in docs.columns if c not in made), *made)
+    return df.select(*(F.col(n).alias(c) for c, n in held.items()), *made)
