@@ -1,13 +1,19 @@
-"""K-means on standardised features: fits, assignment and the search for k."""
+"""K-means on standardised features: fits, assignment and the search for k.
+
+All starts of all k move on together: one pass over the points draws the next
+seed of every start, and one pass is a round of every fit that still moves.  So
+the number of jobs does not grow with the number of fits.  Equal points are one
+point with a weight.
+"""
 
 from __future__ import annotations
 
 import math
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,12 +23,28 @@ from .clusters import silhouette_exact, silhouette_samples
 from .labellings import score_labellings
 from .scaling import Scaler
 
-_PARALLEL_FITS = 8
+#: Centres that move less than this (in deviations) are at rest.
+TOLERANCE = 1e-4
+#: Distinct points of one task, where the cores allow it.
+_TASK_POINTS = 8_000
+#: Partial sums of so many tasks are added by the driver, those of more by Spark first.
+_FEW_TASKS = 32
+_WEIGHT = "_w"
+
+
+@dataclass(frozen=True)
+class Centers:
+    """Centres of a fit in standardised units; the lowest index wins a tie."""
+
+    points: tuple[tuple[float, ...], ...]
+
+    def clusterCenters(self) -> list[np.ndarray]:
+        return [np.array(c) for c in self.points]
 
 
 @dataclass(frozen=True)
 class FittedKMeans:
-    model: KMeansModel
+    model: Centers
     scaler: Scaler
     inertia: float
     start_costs: tuple[float, ...] = ()
@@ -33,9 +55,9 @@ class FittedKMeans:
 
     def transform(self, df: DataFrame, label="cluster") -> DataFrame:
         """Rows with the label of their nearest centre."""
-        vectors = _vectors(df, self.scaler)
-        out = self.model.setPredictionCol(label).transform(vectors)
-        return out.drop("_features", *[f"_z_{c}" for c in self.features])
+        z = [f"_z_{c}" for c in self.features]
+        scaled = self.scaler.transform(df, prefix="_z_")
+        return scaled.withColumn(label, _nearest(z, self.model.points)).drop(*z)
 
     def centers(self, spark) -> DataFrame:
         """Centres in the original units."""
@@ -94,32 +116,169 @@ def _squared(features: list[str], center) -> Column:
     return sum(terms[1:], terms[0])
 
 
-def _vectors(df: DataFrame, scaler: Scaler) -> DataFrame:
-    scaled = scaler.transform(df, prefix="_z_")
-    return VectorAssembler(
-        inputCols=[f"_z_{c}" for c in scaler.features], outputCol="_features"
-    ).transform(scaled)
+def _nearest(features: list[str], points) -> Column:
+    ranked = [
+        F.struct(_squared(features, c).alias("d"), F.lit(i).alias("i")) for i, c in enumerate(points)
+    ]
+    return F.array_min(F.array(*ranked))["i"]
+
+
+def _weighted_points(df: DataFrame, scaler: Scaler) -> DataFrame:
+    """The distinct standardised points with their number of rows, dealt out to all cores."""
+    z = [f"_z_{c}" for c in scaler.features]
+    points = scaler.transform(df.select(*scaler.features), prefix="_z_").groupBy(*z).agg(
+        F.count(F.lit(1)).cast("double").alias(_WEIGHT)
+    )
+    points = materialize(points)
+    # a set number of partitions: the work of a round does not show in its bytes
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return points.repartition(min(2 * cores, 1 + points.count() // _TASK_POINTS), *z)
+
+
+def _draws(x: np.ndarray, seed: int) -> np.ndarray:
+    """A number in (0, 1] per point that depends on the point and the seed only."""
+    h = np.full(len(x), (seed * 0x9E3779B97F4A7C15 + 1) & 0xFFFFFFFFFFFFFFFF, np.uint64)
+    for column in (x + 0.0).T:  # -0.0 becomes 0.0
+        h ^= np.ascontiguousarray(column).view(np.uint64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+        h ^= h >> np.uint64(31)
+    return ((h >> np.uint64(11)).astype(float) + 1.0) / 2.0**53
+
+
+def _columns(batch: pd.DataFrame, z: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    x = batch[z].to_numpy(float)
+    if not np.isfinite(x).all():
+        raise ValueError("K-means needs finite features in every row")
+    return x, batch[_WEIGHT].to_numpy(float)
+
+
+def _seed_kernel(z: list[str], starts: list[list], seed: int):
+    """The point of the least draw for each start: the next seed, drawn by weight and squared distance."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        best: dict = {}
+        for batch in batches:
+            x, w = _columns(batch, z)
+            for i, chosen in enumerate(starts):
+                d2 = np.ones(len(x)) if not chosen else np.full(len(x), np.inf)
+                for c in chosen:
+                    np.minimum(d2, ((x - c) ** 2).sum(1), out=d2)
+                # the least of exponential times with these rates falls on a row by its rate
+                with np.errstate(divide="ignore"):
+                    t = -np.log(_draws(x, (seed + i) * 1009 + len(chosen))) / (w * d2)
+                t[d2 <= 0] = np.inf
+                at = int(t.argmin()) if len(t) else -1
+                if at >= 0 and np.isfinite(t[at]):
+                    found = (float(t[at]), x[at].tolist())
+                    best[i] = min(best.get(i, found), found)
+        yield pd.DataFrame(
+            [(i, t, x) for i, (t, x) in best.items()], columns=["start", "t", "x"]
+        )
+
+    return run
 
 
-def _best_fits(vectors: DataFrame, ks, n_init: int, max_iter: int, seed: int) -> dict:
-    """k -> (cost, model, costs of all starts): best of several seeded starts for every k.
+def _seeds(
+    points: DataFrame, z: list[str], k: int, n_init: int, seed: int, tasks: int
+) -> list[list]:
+    """k-means++ seeds of each start; fewer than k where there are fewer distinct points.
 
-    The fits are independent Spark jobs, so a few run at a time.
+    The first seeds for a larger k are seeds for a smaller one.
     """
-    def one(task):
-        k, i = task
-        model = KMeans(
-            k=k, seed=seed + i, maxIter=max_iter, featuresCol="_features",
-            predictionCol="cluster",
-        ).fit(vectors)
-        return k, model.summary.trainingCost, i, model
-
-    tasks = [(k, i) for k in ks for i in range(n_init)]
-    best: dict = {}
-    with ThreadPoolExecutor(_PARALLEL_FITS) as pool:
-        for k, cost, i, model in pool.map(one, tasks):
-            least, kept, costs = best.get(k, (math.inf, None, ()))
-            best[k] = (min(cost, least), model if cost < least else kept, (*costs, cost))
+    starts: list[list] = [[] for _ in range(n_init)]
+    for step in range(k):
+        found = points.mapInPandas(
+            _seed_kernel(z, starts, seed), "start int, t double, x array<double>"
+        )
+        if tasks > _FEW_TASKS:
+            found = found.groupBy("start").agg(F.min(F.struct("t", "x")).alias("b")).select("start", "b.*")
+        drawn: dict = {}
+        for r in found.collect():  # one point a start
+            one = (r["t"], r["x"])
+            drawn[r["start"]] = min(drawn.get(r["start"], one), one)
+        for i, (_, x) in drawn.items():
+            starts[i].append(list(x))
+        if all(len(chosen) <= step for chosen in starts):
+            break
+    return starts
+
+
+def _round_kernel(z: list[str], fits: dict):
+    """(fit, cluster): weight, sums of the features and squared distances of its points."""
+    names = list(fits)
+    centers = [np.array(fits[f]) for f in names]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = [np.zeros((len(c), len(z) + 2)) for c in centers]
+        for batch in batches:
+            x, w = _columns(batch, z)
+            columns = [np.ascontiguousarray(c) for c in x.T]
+            for c, total in zip(centers, totals):
+                label, near = np.zeros(len(x), np.intp), None
+                for j, center in enumerate(c):
+                    d2 = (columns[0] - center[0]) ** 2
+                    for column, v in zip(columns[1:], center[1:]):
+                        d2 += (column - v) ** 2
+                    if near is None:
+                        near = d2
+                    else:
+                        label[d2 < near] = j
+                        np.minimum(near, d2, out=near)
+                for i, value in enumerate((w, w * near, *[w * column for column in columns])):
+                    total[:, i] += np.bincount(label, value, len(c))
+        yield pd.DataFrame(
+            [(f, j, r[0], r[1], r[2:].tolist()) for f, total in enumerate(totals)
+             for j, r in enumerate(total) if r[0]],
+            columns=["fit", "cluster", "n", "cost", "x"],
+        )
+
+    return run
+
+
+def _round(points: DataFrame, z: list[str], fits: dict, tasks: int) -> dict:
+    """fit -> (cost, means of the clusters that have points)."""
+    names = list(fits)
+    parts = points.mapInPandas(
+        _round_kernel(z, fits), "fit int, cluster int, n double, cost double, x array<double>"
+    )
+    if tasks > _FEW_TASKS:
+        parts = parts.groupBy("fit", "cluster").agg(
+            F.sum("n").alias("n"), F.sum("cost").alias("cost"),
+            F.array(*[F.sum(F.col("x")[i]) for i in range(len(z))]).alias("x"),
+        )
+    totals: dict = {name: {} for name in names}
+    for r in parts.collect():  # a row per centre
+        one = totals[names[r["fit"]]]
+        one[r["cluster"]] = one.get(r["cluster"], 0.0) + np.array([r["cost"], r["n"], *r["x"]])
+    return {
+        name: (float(sum(v[0] for v in found.values())),
+               {j: (v[2:] / v[1]).tolist() for j, v in found.items()})
+        for name, found in totals.items()
+    }
+
+
+def _best_fits(points: DataFrame, z: list[str], ks, n_init: int, max_iter: int, seed: int) -> dict:
+    """k -> (cost, centres, costs of all starts): best of several seeded starts for every k."""
+    ks = list(ks)
+    tasks = points.rdd.getNumPartitions()
+    starts = _seeds(points, z, max(ks), n_init, seed, tasks)
+    fits = {(k, i): starts[i][:k] for k in ks for i in range(n_init)}
+    moving = dict(fits)
+    for _ in range(max_iter):
+        for name, (_, means) in _round(points, z, moving, tasks).items():
+            old = fits[name]
+            fits[name] = [means.get(j, c) for j, c in enumerate(old)]
+            if max((math.dist(a, b) for a, b in zip(old, fits[name])), default=0.0) <= TOLERANCE:
+                del moving[name]
+        moving = {name: fits[name] for name in moving}
+        if not moving:
+            break
+    costs = {name: cost for name, (cost, _) in _round(points, z, fits, tasks).items()}
+    best = {}
+    for k in ks:
+        own = tuple(costs[k, i] for i in range(n_init))
+        least = min(range(n_init), key=lambda i: (own[i], i))
+        best[k] = (own[least], Centers(tuple(map(tuple, fits[k, least]))), own)
     return best
 
 
@@ -129,11 +288,12 @@ def fit_kmeans(
     max_iter: int = K.KMEANS_DEFAULTS["max_iter"], seed: int = K.KMEANS_DEFAULTS["seed"],
 ) -> FittedKMeans:
     scaler = Scaler.fit(df, features)
-    vectors = _vectors(df, scaler).select("_features").persist()
+    points = _weighted_points(df, scaler).persist()
     try:
-        cost, model, costs = _best_fits(vectors, [k], n_init, max_iter, seed)[k]
+        z = [f"_z_{c}" for c in scaler.features]
+        cost, model, costs = _best_fits(points, z, [k], n_init, max_iter, seed)[k]
     finally:
-        vectors.unpersist()
+        points.unpersist()
     return FittedKMeans(model, scaler, cost, costs)
 
 
@@ -144,7 +304,7 @@ def k_sweep(
 ) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin for every k of the range.
 
-    The fits are independent jobs; one projection then names the nearest centre
+    All fits share their passes; one projection then names the nearest centre
     for all k, and all labellings are scored together.  The silhouette is the
     linear squared-distance one, under its own name; ``exact=True`` takes the
     Euclidean one, which needs all distances.
@@ -152,20 +312,20 @@ def k_sweep(
     features = list(features)
     scaler = Scaler.fit(df, features)
     z = [f"_z_{c}" for c in features]
-    vectors = _vectors(df.select(*features), scaler).select("_features", *z).persist()
+    points = _weighted_points(df, scaler).persist()
     try:
-        fits = _best_fits(
-            vectors, range(k_range[0], k_range[1] + 1), n_init, max_iter, seed
-        )
-        centers = {k: [c.tolist() for c in model.clusterCenters()] for k, (_, model, _) in fits.items()}
-        labelled = materialize(label_with_centers(vectors.select(*z), z, centers))
+        fits = _best_fits(points, z, range(k_range[0], k_range[1] + 1), n_init, max_iter, seed)
+        centers = {k: model.points for k, (_, model, _) in fits.items()}
+        labelled = label_with_centers(points, z, centers, [_WEIGHT])
+        scores = materialize(score_labellings(labelled, z, weight=_WEIGHT))
     finally:
-        vectors.unpersist()
-    scores = score_labellings(labelled, z)
+        points.unpersist()
     name = "silhouette" if exact else "silhouette_squared"
     if exact:
+        rows = label_with_centers(scaler.transform(df.select(*features), prefix="_z_"), z, centers)
+        rows = materialize(rows)
         found = [
-            (k, silhouette_exact(silhouette_samples(labelled.filter(F.col("g") == k), z)).first()[0])
+            (k, silhouette_exact(silhouette_samples(rows.filter(F.col("g") == k), z)).first()[0])
             for k in centers
         ]
         euclidean = df.sparkSession.createDataFrame(found, "g int, silhouette double")
@@ -173,23 +333,16 @@ def k_sweep(
     return scores.select(F.col("g").alias("k"), "inertia", name, "davies_bouldin")
 
 
-def label_with_centers(df: DataFrame, features, centers: dict) -> DataFrame:
-    """(g, cluster, features): every row once for each set of centres, with its nearest one.
+def label_with_centers(df: DataFrame, features, centers: dict, keep=()) -> DataFrame:
+    """(g, cluster, features, kept columns): every row once for each set of centres, with its nearest one.
 
     `centers` maps g to a list of centres; the lowest index wins a tie.
     """
-    def nearest(points) -> Column:
-        ranked = [
-            F.struct(_squared(features, c).alias("d"), F.lit(i).alias("i"))
-            for i, c in enumerate(points)
-        ]
-        return F.array_min(F.array(*ranked))["i"]
-
     labels = F.array(*[
-        F.struct(F.lit(g).alias("g"), nearest(points).cast("bigint").alias("cluster"))
+        F.struct(F.lit(g).alias("g"), _nearest(features, points).cast("bigint").alias("cluster"))
         for g, points in centers.items()
     ])
-    return df.select(F.inline(labels), *features)
+    return df.select(F.inline(labels), *features, *keep)
 
 
 def best_k(sweep: DataFrame) -> DataFrame:
