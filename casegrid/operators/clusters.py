@@ -19,6 +19,8 @@ from .summaries import category_counts
 
 NOISE = -1
 BLOCK_ROWS = 4096
+#: Distances worked out at a time: two such tables stay in a core's cache.
+_TILE = 65_536
 
 
 def without_noise(df: DataFrame, label="cluster") -> DataFrame:
@@ -227,15 +229,24 @@ def silhouette_samples(df: DataFrame, features, label="cluster", block_rows=BLOC
     blocks = block_count(points.count(), block_rows)
 
     def sums(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        x, y = a[features].to_numpy(), b[features].to_numpy()
-        groups, code = np.unique(b[label].to_numpy(), return_inverse=True)
-        total = np.zeros((len(a), len(groups)))
-        step = max(1, 2_000_000 // max(len(b), 1))
+        b = b.sort_values(label, kind="stable")  # a cluster is one run of columns
+        x, y = a[features].to_numpy(float), b[features].to_numpy(float)
+        groups, first = np.unique(b[label].to_numpy(), return_index=True)
+        weights = b["w"].to_numpy(float)
+        total = np.empty((len(a), len(groups)))
+        step = max(1, _TILE // max(len(b), 1))
+        d, part = np.empty((step, len(b))), np.empty((step, len(b)))
         for i in range(0, len(a), step):
-            d = np.sqrt(((x[i:i + step, None, :] - y[None, :, :]) ** 2).sum(axis=2))
-            d = d * b["w"].to_numpy()
-            for g in range(len(groups)):
-                total[i:i + step, g] = d[:, code == g].sum(axis=1)
+            rows = x[i:i + step]
+            near, own = d[: len(rows)], part[: len(rows)]
+            near.fill(0.0)
+            for f in range(len(features)):
+                np.subtract(rows[:, f, None], y[None, :, f], out=own)
+                np.multiply(own, own, out=own)
+                np.add(near, own, out=near)
+            np.sqrt(near, out=near)
+            np.multiply(near, weights, out=near)
+            total[i:i + step] = np.add.reduceat(near, first, axis=1)
         n = len(groups)
         out = {c: np.repeat(a[c].to_numpy(), n) for c in [label, *features, "w"]}
         out["other"] = np.tile(groups, len(a))

@@ -117,3 +117,11 @@ def test_constant_feature_scales_to_zero(spark):
         (-1.0, 0.0), (1.0, 0.0),
     ]
     assert Scaler.fit(df, ["x", "y"]).scales == (1.0, 1.0)
+
+
+def test_silhouette_kernel_works_in_small_tiles(data, monkeypatch):
+    """Tiles of distances are bounded, and how many there are changes nothing."""
+    x, label, df = data
+    monkeypatch.setattr(cl, "_TILE", 300)
+    samples = cl.silhouette_samples(df, ["x", "y"], block_rows=100)
+    assert cl.silhouette_exact(samples).first()[0] == pytest.approx(silhouettes(x, label).mean())
