@@ -129,7 +129,8 @@ def backtest(
     train = materialize(derive(fc.training_frame(history, location)))
     # the grid keeps a NULL location; it is not a place and gets no forecast
     grid = derive(forecast_grid(history, test, test_year, location))
-    out = attach_actuals(grid.filter(F.col(location).isNotNull()), test, location)
+    # a row per location, read by every score of every model
+    out = materialize(attach_actuals(grid.filter(F.col(location).isNotNull()), test, location))
     models = {}
     if grids is None:
         for kind, options in (params or {"gradient_boosting": {}, "poisson": {}}).items():
@@ -152,6 +153,7 @@ def chosen_params(models: dict, spark) -> DataFrame:
 
 def backtest_report(scored: DataFrame, models: dict, train: DataFrame) -> DataFrame:
     """Model table of a back-test: test scores, overfit gap, best model."""
+    train = materialize(train)
     train_r2 = {
         kind: fc.regression_metrics(m.predict(train), "case_count", "predicted_cases")
         .first()["r2"]
