@@ -93,3 +93,20 @@ def test_unseen_formats_are_found(spark):
     for text in plain:
         seen = [secrets.windows(text, a, b) for a, _, b in secrets.token_spans(text, secrets.base_spans(text))]
         assert not (detector.probabilities(seen) >= detector.thresholds["token"]).any(), text
+
+
+def test_secret_net_learns_from_all_documents(spark, monkeypatch):
+    """Every finding is in some shard, shards are bounded, and a rerun gives the same network."""
+    monkeypatch.setattr(secrets, "SHARD", 500)
+    monkeypatch.setattr(secrets, "EPOCHS", 2)
+    letters = str.maketrans("0123456789", "GhIjKlMnOp")
+    key = lambda i: f"{i * 7919:036d}".translate(letters)
+    docs = spark.createDataFrame(
+        [(i, f"login of user {i} is here today ghp_{key(i)} and id {i:014d} stays") for i in range(9000)],
+        "doc_id long, text string",
+    ).repartition(4)
+    findings = secrets.labelled_findings(docs, "text", "doc_id")
+    assert findings.own.select("window").filter("kind = 'token' and label = 1").distinct().count() == 9000
+    one, two = (secrets.train(secrets.labelled_findings(d, "text", "doc_id")) for d in (docs, docs.repartition(3)))
+    assert all((one.net.p[k] == two.net.p[k]).all() for k in one.net.p)
+    assert one.thresholds == two.thresholds
