@@ -15,6 +15,10 @@ _CONNECTOR = r"(?i)\band\b|[,&/]"
 GRAM = 4
 #: Parts that the rows of one piece are dealt out to, as every text may hold it.
 SALT = 8
+#: Up to so many pieces, reading a text once for each costs less than cutting it up.
+FEW_PIECES = 64
+#: Aliases that may be sent to every executor whatever the planner's threshold.
+FEW_ALIASES = 100_000
 
 
 # --- range texts ----------------------------------------------------------------
@@ -242,28 +246,51 @@ def contained_aliases(
 ) -> DataFrame:
     """Every (text, alias) with the normalised alias inside the normalised text.
 
-    An equi-join on the rarest piece of each alias finds the candidates, the
-    whole alias is checked on them.  The keyed aliases are written, so that the
-    planner knows their size and broadcasts a small table; a larger one meets the
-    pieces of the texts in a shuffle, in which each piece is dealt out to SALT
-    parts.  Only the id travels with the pieces.  An alias without a word is
-    contained in nothing.  `merge` asks for the shuffle whatever the size.
+    The rarest piece of each alias finds the candidates, the whole alias is checked
+    on them.  The keyed aliases are written, so that their number and size are
+    known.  If they have few pieces, each text is searched for each piece where it
+    was read: one pass, nothing of a text is shuffled.  Otherwise the texts are
+    written once under a row number, and an equi-join on the pieces of their words
+    meets the aliases: broadcast if small, else in a shuffle in which each piece is
+    dealt out to SALT parts and only the row number travels.  An alias without a
+    word is contained in nothing.  `merge` asks for the shuffle whatever the size.
     """
     keyed = materialize(_rarest_pieces(aliases))
-    lengths = [r[0] for r in keyed.select(F.length("_gram")).distinct().collect()]  # 1..GRAM
+    sizes = (
+        keyed.groupBy(F.length("_gram").alias("q"))  # 1..GRAM
+        .agg(F.count("*").alias("aliases"), F.count_distinct("_gram").alias("pieces"))
+        .collect()
+    )
+    few = (
+        sum(r.pieces for r in sizes) <= FEW_PIECES
+        and sum(r.aliases for r in sizes) <= FEW_ALIASES
+    )
+    if few and not merge:
+        pieces = keyed.select("_gram").distinct()
+        found = texts.join(
+            F.broadcast(pieces), F.contains(F.col(text), F.col("_gram"))
+        ).join(F.broadcast(keyed), "_gram")
+    else:
+        found = _candidates_by_piece(texts, text, keyed, [r.q for r in sizes], merge)
+    return found.filter(F.contains(F.col(text), F.col("alias"))).select(
+        *texts.columns, *aliases.columns
+    )
+
+
+def _candidates_by_piece(
+    texts: DataFrame, text: str, keyed: DataFrame, lengths: list[int], merge: bool
+) -> DataFrame:
+    """Texts next to the aliases whose key is a piece of one of their words."""
+    texts = materialize(texts.withColumn("_row", F.monotonically_increasing_id()))
     pieces = texts.select(
-        text_id, F.explode(_grams(F.col(text), sorted(lengths) or [GRAM])).alias("_gram"),
-        F.pmod(F.xxhash64(text_id), F.lit(SALT)).alias("_salt"),
+        "_row", F.explode(_grams(F.col(text), sorted(lengths) or [GRAM])).alias("_gram"),
+        F.pmod(F.xxhash64("_row"), F.lit(SALT)).alias("_salt"),
     )
     salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     if merge:
         salted = salted.hint("merge")
     candidates = pieces.join(salted, ["_gram", "_salt"]).drop("_gram", "_salt")
-    return (
-        texts.join(candidates, text_id)
-        .filter(F.contains(F.col(text), F.col("alias")))
-        .select(*texts.columns, *aliases.columns)
-    )
+    return texts.join(candidates, "_row")
 
 
 def first_contained_alias(

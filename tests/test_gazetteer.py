@@ -118,3 +118,24 @@ def test_a_piece_that_most_aliases_share_is_the_key_of_few(spark):
     keyed = gz._rarest_pieces(spark.createDataFrame(names, "alias string"))
     assert keyed.filter("_gram = 'bara'").count() <= 1
     assert keyed.groupBy("_gram").count().agg({"count": "max"}).first()[0] <= 60
+
+
+@pytest.mark.parametrize("many", [False, True])
+@pytest.mark.parametrize("merge", [False, True])
+def test_containment_reads_each_text_once_and_keeps_rows_of_any_id(spark, many, merge):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    texts = [(1, "an old ring road"), (1, "goldring 77"), (None, "oldring"), (2, "s tring"), (3, "")]
+    names = ["old", "ring", "old ring", "tring", "absent"] + [f"{n}x{n}" for n in range(100) if many]
+    want = sorted((str(i), x) for i, text in texts for x in names if x in text)
+    t = spark.createDataFrame(texts, "i int, text string").mapInPandas(counted, "i int, text string")
+    a = spark.createDataFrame([(x,) for x in names], "alias string")
+    assert (gz._rarest_pieces(a).select("_gram").distinct().count() > gz.FEW_PIECES) == many
+    got = gz.contained_aliases(t, "i", "text", a, merge=merge).select("i", "alias").collect()
+    assert sorted((str(r.i), r.alias) for r in got) == want
+    assert read.value == len(texts)
