@@ -280,16 +280,28 @@ def contained_aliases(
 def _candidates_by_piece(
     texts: DataFrame, text: str, keyed: DataFrame, lengths: list[int], merge: bool
 ) -> DataFrame:
-    """Texts next to the aliases whose key is a piece of one of their words."""
+    """Texts next to the aliases whose key is a piece of one of their words.
+
+    A word is cut up once, in however many texts it is.  The words that hold a key
+    are written, so that the planner knows their size too.
+    """
     texts = materialize(texts.withColumn("_row", F.monotonically_increasing_id()))
-    pieces = texts.select(
-        "_row", F.explode(_grams(F.col(text), sorted(lengths) or [GRAM])).alias("_gram"),
-        F.pmod(F.xxhash64("_row"), F.lit(SALT)).alias("_salt"),
+    words = texts.select(
+        "_row", F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("_word")
+    )
+    cut = words.select("_word").distinct().select(
+        "_word", F.explode(_grams(F.col("_word"), sorted(lengths) or [GRAM])).alias("_gram")
     )
-    salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    if merge:
-        salted = salted.hint("merge")
-    candidates = pieces.join(salted, ["_gram", "_salt"]).drop("_gram", "_salt")
+    marked = materialize(cut.join(keyed.select("_gram").distinct(), "_gram"))
+    salt = F.pmod(F.xxhash64("_row"), F.lit(SALT)).alias("_salt")
+
+    def salted(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        return df.hint("merge") if merge else df
+
+    held = words.select("*", salt).join(salted(marked), ["_word", "_salt"])
+    pieces = held.select("_row", "_gram", "_salt").distinct()
+    candidates = pieces.join(salted(keyed), ["_gram", "_salt"]).drop("_gram", "_salt")
     return texts.join(candidates, "_row")
 
 
