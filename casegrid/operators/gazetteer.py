@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import as_col, normalize_text, strip
 from ..session import materialize
+from .lookups import lookup
 
 _RANGE = r"^(\d+)\s*(?:[-–]|to)\s*(\d+)$"
 _CONNECTOR = r"(?i)\band\b|[,&/]"
@@ -247,13 +248,13 @@ def contained_aliases(
     """Every (text, alias) with the normalised alias inside the normalised text.
 
     The rarest piece of each alias finds the candidates, the whole alias is checked
-    on them.  The keyed aliases are written, so that their number and size are
-    known.  If they have few pieces, each text is searched for each piece where it
-    was read: one pass, nothing of a text is shuffled.  Otherwise the texts are
-    written once under a row number, and an equi-join on the pieces of their words
-    meets the aliases: broadcast if small, else in a shuffle in which each piece is
-    dealt out to SALT parts and only the row number travels.  An alias without a
-    word is contained in nothing.  `merge` asks for the shuffle whatever the size.
+    on them.  The keyed aliases are written, so that their number is known.  If they
+    have few pieces, each text is searched for each piece where it was read: one
+    pass, nothing of a text is shuffled.  Otherwise the texts are written once under
+    a row number, and an equi-join on the pieces of their words meets the aliases:
+    broadcast if few, else in a shuffle in which each piece is dealt out to SALT
+    parts and only the row number travels.  An alias without a word is contained in
+    nothing.  `merge` asks for the shuffle whatever the number.
     """
     keyed = materialize(_rarest_pieces(aliases))
     sizes = (
@@ -261,48 +262,58 @@ def contained_aliases(
         .agg(F.count("*").alias("aliases"), F.count_distinct("_gram").alias("pieces"))
         .collect()
     )
-    few = (
-        sum(r.pieces for r in sizes) <= FEW_PIECES
-        and sum(r.aliases for r in sizes) <= FEW_ALIASES
-    )
-    if few and not merge:
+    few = sum(r.aliases for r in sizes) <= FEW_ALIASES and not merge
+    if few and sum(r.pieces for r in sizes) <= FEW_PIECES:
         pieces = keyed.select("_gram").distinct()
         found = texts.join(
             F.broadcast(pieces), F.contains(F.col(text), F.col("_gram"))
         ).join(F.broadcast(keyed), "_gram")
     else:
-        found = _candidates_by_piece(texts, text, keyed, [r.q for r in sizes], merge)
+        found = _candidates_by_piece(texts, text, keyed, [r.q for r in sizes], few)
     return found.filter(F.contains(F.col(text), F.col("alias"))).select(
         *texts.columns, *aliases.columns
     )
 
 
 def _candidates_by_piece(
-    texts: DataFrame, text: str, keyed: DataFrame, lengths: list[int], merge: bool
+    texts: DataFrame, text: str, keyed: DataFrame, lengths: list[int], few: bool
 ) -> DataFrame:
     """Texts next to the aliases whose key is a piece of one of their words.
 
-    A word is cut up once, in however many texts it is.  The words that hold a key
-    are written, so that the planner knows their size too.
+    A word is cut up once, in however many texts it is, and has one row with all its
+    keys.  The size of a file says little about the rows in it, so what grows with
+    the texts is never left to the planner's broadcast: words that many texts hold
+    are broadcast, at most ten thousand, and all else is shuffled.
     """
     texts = materialize(texts.withColumn("_row", F.monotonically_increasing_id()))
     words = texts.select(
         "_row", F.explode(F.array_distinct(F.split(F.col(text), " "))).alias("_word")
     )
-    cut = words.select("_word").distinct().select(
-        "_word", F.explode(_grams(F.col("_word"), sorted(lengths) or [GRAM])).alias("_gram")
+    cut = words.groupBy("_word").agg(F.count(F.lit(1)).alias("_asked")).select(
+        "_word", "_asked",
+        F.explode(_grams(F.col("_word"), sorted(lengths) or [GRAM])).alias("_gram"),
+    )
+    keys = keyed.select("_gram").distinct()
+    keys = F.broadcast(keys) if few else keys.hint("merge")
+    marked = materialize(
+        cut.join(keys, "_gram").groupBy("_word").agg(
+            F.first("_asked").alias("_asked"), F.collect_list("_gram").alias("_grams")
+        )
+    )
+    total = marked.agg(F.sum("_asked")).first()[0] or 0
+    held = lookup(words, marked.hint("merge"), ["_word"], "_asked", total)
+    pieces = held.groupBy("_row").agg(
+        F.array_distinct(F.flatten(F.collect_list("_grams"))).alias("_grams")
     )
-    marked = materialize(cut.join(keyed.select("_gram").distinct(), "_gram"))
+    if few:
+        met = texts.hint("merge").join(pieces, "_row").withColumn("_gram", F.explode("_grams"))
+        return met.join(F.broadcast(keyed), "_gram")
     salt = F.pmod(F.xxhash64("_row"), F.lit(SALT)).alias("_salt")
-
-    def salted(df: DataFrame) -> DataFrame:
-        df = df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        return df.hint("merge") if merge else df
-
-    held = words.select("*", salt).join(salted(marked), ["_word", "_salt"])
-    pieces = held.select("_row", "_gram", "_salt").distinct()
-    candidates = pieces.join(salted(keyed), ["_gram", "_salt"]).drop("_gram", "_salt")
-    return texts.join(candidates, "_row")
+    salted = keyed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    candidates = pieces.select("_row", F.explode("_grams").alias("_gram"), salt).join(
+        salted.hint("merge"), ["_gram", "_salt"]
+    )
+    return texts.hint("merge").join(candidates.drop("_gram", "_salt"), "_row")
 
 
 def first_contained_alias(

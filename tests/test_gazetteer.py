@@ -139,3 +139,19 @@ def test_containment_reads_each_text_once_and_keeps_rows_of_any_id(spark, many,
     got = gz.contained_aliases(t, "i", "text", a, merge=merge).select("i", "alias").collect()
     assert sorted((str(r.i), r.alias) for r in got) == want
     assert read.value == len(texts)
+
+
+@pytest.mark.parametrize("first", [False])
+def test_what_grows_with_the_texts_is_not_broadcast(spark, first):
+    """A written text is a few bytes, as in a file of many equal ones; its row is not."""
+    t = spark.range(300).selectExpr("id", "concat('unit ', id, ' old town') as text")
+    a = spark.range(100).selectExpr("concat('', id) as alias", "id as ordinal")
+    found = gz.first_contained_alias if first else gz.contained_aliases
+    got = found(t, "id", "text", a)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_row" not in plan  # the texts
+    assert "explode(sequence(0" not in plan  # a copy of every word or alias for each part
+    hits = {(i, n) for i in range(300) for n in range(100) if str(n) in str(i)}
+    rows = [(r.id, int(r.alias)) for r in got.collect()]
+    assert set(rows) == ({(i, min(n for j, n in hits if j == i)) for i in range(300)} if first else hits)
+    assert len(rows) == len(set(rows))
