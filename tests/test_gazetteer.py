@@ -141,7 +141,7 @@ def test_containment_reads_each_text_once_and_keeps_rows_of_any_id(spark, many,
     assert read.value == len(texts)
 
 
-@pytest.mark.parametrize("first", [False])
+@pytest.mark.parametrize("first", [False, True])
 def test_what_grows_with_the_texts_is_not_broadcast(spark, first):
     """A written text is a few bytes, as in a file of many equal ones; its row is not."""
     t = spark.range(300).selectExpr("id", "concat('unit ', id, ' old town') as text")
