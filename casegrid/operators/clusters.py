@@ -14,7 +14,7 @@ from ..functions.values import cluster_color, percent_label
 from ..session import cut_lineage
 from .ordering import mode_per_group
 from .pairwise import block_count, compare_blocks
-from .labellings import score_labellings
+from .labellings import PAGE, score_labellings, worst_by_tiles
 from .summaries import category_counts
 
 NOISE = -1
@@ -204,9 +204,16 @@ def davies_bouldin(df: DataFrame, features, label="cluster") -> DataFrame:
         return pd.DataFrame({"label": a[label], "ratio": ratio.max(axis=1)})
 
     blocks = block_count(k, BLOCK_ROWS // 4)
-    ratios = compare_blocks(
-        own, own, worst, "label bigint, ratio double", blocks, blocks, label, label
-    )
+    if blocks > 1:
+        table = own.select(
+            F.lit(0).alias("g"), F.col(label).alias("cluster"), F.col("_s").alias("s"),
+            F.array(*cols).alias("m"),
+        )
+        ratios = worst_by_tiles(table, len(features)).withColumnRenamed("cluster", "label")
+    else:
+        ratios = compare_blocks(
+            own, own, worst, "label bigint, ratio double", blocks, blocks, label, label
+        )
     per_cluster = ratios.groupBy("label").agg(F.max("ratio").alias("ratio"))
     return per_cluster.agg(
         F.when(F.count(F.lit(1)) > 1, F.avg("ratio")).alias("davies_bouldin")
@@ -290,10 +297,16 @@ def silhouette_exact(samples: DataFrame) -> DataFrame:
 
 
 def silhouette_squared(df: DataFrame, features, label="cluster") -> float:
-    """Silhouette on squared distances: one linear pass, a different number."""
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(
-        without_noise(df, label)
-    )
+    """Silhouette on squared distances: one linear pass, a different number.
+
+    The evaluator compares each row with every cluster; with more than a page of
+    clusters rows meet those only that can be the nearest.
+    """
+    rows = without_noise(df, label)
+    if rows.select(label).distinct().count() > PAGE:
+        one = rows.select(F.lit(0).alias("g"), F.col(label).alias("cluster"), *features)
+        return score_labellings(one, features).first()["silhouette_squared"]
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(rows)
     evaluator = ClusteringEvaluator(featuresCol="features", predictionCol=label)
     return evaluator.evaluate(vectors)
 

@@ -242,3 +242,18 @@ def test_many_clusters_are_scored_without_all_pairs_of_them(spark):
         for name in ("inertia", "silhouette_squared", "davies_bouldin"):
             assert got[g][name] == pytest.approx(whole[g][name])
     assert [got[2][c] for c in ("n_clusters", "silhouette_squared", "davies_bouldin")] == [1, None, None]
+
+
+def test_one_labelling_of_many_clusters_equals_its_evaluator(spark, monkeypatch):
+    from casegrid.operators import clusters
+
+    rng = np.random.default_rng(6)
+    rows = [(i % 130 - 1, *(float(v) for v in rng.normal(size=2))) for i in range(900)]
+    df = spark.createDataFrame(rows, "cluster bigint, x double, y double")
+    few = clusters.silhouette_squared(df, ["x", "y"]), clusters.davies_bouldin(df, ["x", "y"]).first()[0]
+    monkeypatch.setattr(clusters, "PAGE", 64)
+    monkeypatch.setattr(clusters, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(clusters, "compare_blocks", None)
+    monkeypatch.setattr(clusters, "ClusteringEvaluator", None)
+    many = clusters.silhouette_squared(df, ["x", "y"]), clusters.davies_bouldin(df, ["x", "y"]).first()[0]
+    assert many == pytest.approx(few)
